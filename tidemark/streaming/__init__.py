@@ -1,0 +1,5 @@
+"""No streaming operators: the workloads covered here are all batch jobs.
+
+The line parsers in ``tidemark.sources`` are plain column projections, so they
+also run unchanged on the frame of ``spark.readStream.text(...)``.
+"""
