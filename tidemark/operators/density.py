@@ -16,24 +16,25 @@ def bandwidth(samples: DataFrame, column: str) -> DataFrame:
     return samples.agg(_bandwidth(F.col(column)).alias("bandwidth"))
 
 
-def _densities(samples: DataFrame, column: str, points: Column, summary: Column) -> DataFrame:
-    """Mean kernel height per point.
+def _densities(samples: DataFrame, column: str, count: int, place: Column, h: Column) -> DataFrame:
+    """Mean kernel height at each of ``count`` points; ``place`` gives a point's x.
 
     Every sample meets every point, but the pairs are summed as they are made:
     only one row per point leaves a task.
     """
     pairs = samples.filter(F.col(column).isNotNull()).select(
-        F.col(column).cast("double").alias("s"), F.posexplode(points).alias("point", "x")
+        F.col(column).cast("double").alias("s"),
+        F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("point"),
     )
-    height = normal_pdf(F.col("x"), F.col("s"), summary["h"])
-    return pairs.groupBy("point", "x").agg(F.avg(height).alias("density"))
+    heights = pairs.groupBy("point").agg(F.avg(normal_pdf(place, F.col("s"), h)).alias("density"))
+    return heights.select("point", place.alias("x"), "density")
 
 
 def estimate(samples: DataFrame, column: str, points: list[float]) -> DataFrame:
     """Density of the sample at the given points: ``(point, x, density)``."""
-    summary = samples.agg(F.struct(_bandwidth(F.col(column)).alias("h"))).scalar()
-    literal = F.array(*[F.lit(float(p)) for p in points])
-    return _densities(samples, column, literal, summary)
+    h = samples.agg(_bandwidth(F.col(column))).scalar()
+    at = F.array(*[F.lit(float(p)) for p in points])
+    return _densities(samples, column, len(points), F.get(at, F.col("point")), h)
 
 
 def density_curve(samples: DataFrame, column: str, steps: int = 100) -> DataFrame:
@@ -42,5 +43,5 @@ def density_curve(samples: DataFrame, column: str, steps: int = 100) -> DataFram
     summary = samples.agg(
         F.struct(_bandwidth(c).alias("h"), F.min(c).alias("lo"), F.max(c).alias("hi"))
     ).scalar()
-    grid = [summary["lo"] + F.lit(i) * (summary["hi"] - summary["lo"]) / F.lit(float(steps)) for i in range(steps)]
-    return _densities(samples, column, F.array(*grid), summary)
+    place = summary["lo"] + F.col("point") * (summary["hi"] - summary["lo"]) / F.lit(float(steps))
+    return _densities(samples, column, steps, place, summary["h"])

@@ -123,7 +123,7 @@ def fitted(returns: DataFrame, features: DataFrame, weights: DataFrame, instrume
     joined = lookup_join(returns, features.select("date", "x"), ["date"], "inner")
     joined = lookup_join(joined, weights.select(instrument, "weights"), [instrument], "inner")
     value = instrument_return(F.col("weights"), F.col("x"))
-    return joined.drop("x", "weights").withColumn("fitted", value)
+    return joined.withColumn("fitted", value).drop("x", "weights")
 
 
 def instrument_return(weights, x):

@@ -83,7 +83,7 @@ def parse_labeled_points(spark, folder):
     return delimited.parse_labeled_points(lines).select("label", F.posexplode("features").alias("pos", "value"))
 
 
-HISTORY = f"WITH {BRAND_DAILY} SELECT series, CAST(date AS VARCHAR) AS date, round(value, 4) AS value FROM brand_daily"
+HISTORY = f"WITH {BRAND_DAILY} SELECT series, CAST(date AS VARCHAR) AS date, round(value, 6) AS value FROM brand_daily"
 
 
 def _csv_lines(spark, folder):
@@ -95,7 +95,7 @@ def _csv_lines(spark, folder):
 
 
 def _shown(history):
-    return history.select("series", F.col("date").cast("string").alias("date"), rounded("value", 4).alias("value"))
+    return history.select("series", F.col("date").cast("string").alias("date"), rounded("value", 6).alias("value"))
 
 
 @query("parse_history_csv", HISTORY)

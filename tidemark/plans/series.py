@@ -33,7 +33,7 @@ def stock_returns(spark, folder):
     return timeseries.series_returns(brand_daily(spark, folder), START, END)
 
 
-def dated(df, *columns, digits=4):
+def dated(df, *columns, digits=6):
     shown = [F.col("date").cast("string").alias("date")]
     return df.select(*[c for c in df.columns if c not in ("date", *columns)], *shown, *[rounded(c, digits).alias(c) for c in columns])
 
@@ -42,7 +42,7 @@ def dated(df, *columns, digits=4):
     "min_history",
     f"""
     WITH {BRAND_DAILY}
-    SELECT series, CAST(date AS VARCHAR) AS date, round(value, 4) AS value
+    SELECT series, CAST(date AS VARCHAR) AS date, round(value, 6) AS value
     FROM brand_daily QUALIFY count(*) OVER (PARTITION BY series) >= 1310
     """,
 )
@@ -54,7 +54,7 @@ def min_history(spark, folder):
     "trim_to_region",
     f"""
     WITH {BRAND_DAILY}, {trimmed_sql('brand_daily', 'trimmed')}
-    SELECT series, CAST(date AS VARCHAR) AS date, round(value, 4) AS value FROM trimmed
+    SELECT series, CAST(date AS VARCHAR) AS date, round(value, 6) AS value FROM trimmed
     """,
 )
 def trim_to_region(spark, folder):
@@ -65,7 +65,7 @@ def trim_to_region(spark, folder):
     "locf_weekdays",
     f"""
     WITH {BRAND_DAILY}, {trimmed_sql('brand_daily', 'trimmed')}, {filled_sql('trimmed', 'filled')}
-    SELECT series, CAST(date AS VARCHAR) AS date, round(value, 4) AS value FROM filled
+    SELECT series, CAST(date AS VARCHAR) AS date, round(value, 6) AS value FROM filled
     """,
 )
 def locf_weekdays(spark, folder):
@@ -75,7 +75,7 @@ def locf_weekdays(spark, folder):
 
 @query(
     "two_week_returns",
-    f"WITH {STOCK_RETURNS} SELECT series, CAST(date AS VARCHAR) AS date, round(ret, 4) AS ret FROM stock_ret",
+    f"WITH {STOCK_RETURNS} SELECT series, CAST(date AS VARCHAR) AS date, round(ret, 6) AS ret FROM stock_ret",
 )
 def two_week_returns(spark, folder):
     return dated(stock_returns(spark, folder), "ret")
@@ -86,9 +86,9 @@ def two_week_returns(spark, folder):
     f"""
     WITH {STOCK_RETURNS}, {FACTOR_RETURNS},
     kept AS (SELECT series FROM brand_daily GROUP BY series HAVING count(*) >= 1310)
-    SELECT series, 'stock' AS kind, CAST(date AS VARCHAR) AS date, round(ret, 4) AS ret
+    SELECT series, 'stock' AS kind, CAST(date AS VARCHAR) AS date, round(ret, 6) AS ret
     FROM stock_ret WHERE series IN (SELECT series FROM kept)
-    UNION ALL SELECT series, 'factor', CAST(date AS VARCHAR), round(ret, 4) FROM factor_ret
+    UNION ALL SELECT series, 'factor', CAST(date AS VARCHAR), round(ret, 6) FROM factor_ret
     """,
 )
 def aligned_returns(spark, folder):
@@ -99,14 +99,14 @@ def aligned_returns(spark, folder):
     "factor_matrix",
     f"""
     WITH {FACTOR_MATRIX}
-    SELECT CAST(date AS VARCHAR) AS date, round(a, 4) AS f_a, round(n, 4) AS f_n, round(r, 4) AS f_r, round(o, 4) AS f_o
+    SELECT CAST(date AS VARCHAR) AS date, round(a, 6) AS f_a, round(n, 6) AS f_n, round(r, 6) AS f_r, round(o, 6) AS f_o
     FROM matrix
     """,
 )
 def factor_matrix(spark, folder):
     out = matrix(spark, folder)
     return out.select(
-        F.col("date").cast("string").alias("date"), *[rounded(f, 4).alias(f"f_{f.lower()}") for f in FACTORS]
+        F.col("date").cast("string").alias("date"), *[rounded(f, 6).alias(f"f_{f.lower()}") for f in FACTORS]
     )
 
 
@@ -147,14 +147,15 @@ FEATURES = FACTOR_MATRIX + """,
     "featurize",
     f"""
     WITH {FEATURES}
-    SELECT CAST(date AS VARCHAR) AS date, CAST(i - 1 AS INTEGER) AS j, round(x[i], 3) AS x FROM feat, range(1, 13) t(i)
+    SELECT CAST(date AS VARCHAR) AS date, CAST(i - 1 AS INTEGER) AS j, round(CASE WHEN i <= 4 THEN x[i] / 1e6 ELSE x[i] END, 6) AS x
+    FROM feat, range(1, 13) t(i)
     """,
 )
 def featurize(spark, folder):
     features = regression.factor_features(matrix(spark, folder), FACTORS)
-    return features.select(F.col("date").cast("string").alias("date"), F.posexplode("x").alias("j", "x")).withColumn(
-        "x", rounded("x", 3)
-    )
+    long = features.select(F.col("date").cast("string").alias("date"), F.posexplode("x").alias("j", "x"))
+    # The squares are shown in millions.
+    return long.withColumn("x", rounded(F.when(F.col("j") < 4, F.col("x") / 1e6).otherwise(F.col("x")), 6))
 
 
 @query(
@@ -209,7 +210,7 @@ OLS = STOCK_RETURNS + "," + FEATURES + """,
             CASE WHEN i = k THEN list_transform(m[k], lambda v: v / m[k][k])
                  ELSE list_transform(range(1, 15), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END)
         FROM elim WHERE k <= 13),
-    slopes AS (SELECT series, j, m[j + 1][14] / mom.s AS w, mom.m AS mean FROM elim, mom WHERE k = 14),
+    slopes AS (SELECT series, j, elim.m[j + 1][14] / mom.s AS w, mom.m AS mean FROM elim, mom WHERE k = 14),
     weights AS (
         SELECT series, j, w FROM slopes
         UNION ALL
@@ -248,8 +249,8 @@ def ols_weights(spark, folder):
     "instrument_returns",
     f"""
     WITH RECURSIVE {OLS}
-    SELECT stock_ret.series, CAST(stock_ret.date AS VARCHAR) AS date, round(ret, 2) AS ret,
-           round(sum(w * coalesce(x, 1.0)), 2) AS fitted
+    SELECT stock_ret.series, CAST(stock_ret.date AS VARCHAR) AS date, round(ret, 6) AS ret,
+           round(sum(w * coalesce(x, 1.0)), 2) + 0.0 AS fitted
     FROM stock_ret JOIN weights ON stock_ret.series = weights.series
     LEFT JOIN long_x ON long_x.date = stock_ret.date AND long_x.j = weights.j
     GROUP BY stock_ret.series, stock_ret.date, ret
@@ -257,6 +258,7 @@ def ols_weights(spark, folder):
 )
 def instrument_returns(spark, folder):
     w, features = weights(spark, folder)
-    return dated(regression.fitted(stock_returns(spark, folder), features, w), "ret", "fitted", digits=2)
+    out = dated(regression.fitted(stock_returns(spark, folder), features, w), "ret")
+    return out.withColumn("fitted", rounded("fitted", 2))
 
 

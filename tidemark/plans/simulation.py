@@ -202,7 +202,7 @@ KUPIEC = """
                1 - 2 * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
                            * exp(-0.5 * pow(i * sqrt(greatest(statistic, 0)) / 4000, 2)) / sqrt(2 * pi()))
                        * sqrt(greatest(statistic, 0)) / 4000 / 3 AS p_value
-        FROM stat, range(0, 4001) t(i) GROUP BY ALL)
+        FROM stat, range(0, 4001) t(i) GROUP BY periods, failures, statistic)
 """
 
 
@@ -244,9 +244,9 @@ def kde_bandwidth(spark, folder):
 @query(
     "kde",
     f"""
-    WITH {PNL_SQL}, {BANDWIDTH_SQL}, at AS (SELECT unnest({POINTS_AT}) AS p)
+    WITH {PNL_SQL}, {BANDWIDTH_SQL}, grid AS (SELECT unnest({POINTS_AT}::DOUBLE[]) AS p)
     SELECT p AS x, round(1e6 * avg(exp(-0.5 * pow((p - x) / h, 2)) / (h * sqrt(2 * pi()))), 8) AS density
-    FROM pnl, bw, at GROUP BY p
+    FROM pnl, bw, grid GROUP BY p
     """,
 )
 def kde(spark, folder):
@@ -257,10 +257,10 @@ def kde(spark, folder):
 @query(
     "density_curve",
     f"""
-    WITH {PNL_SQL}, {BANDWIDTH_SQL}, at AS (SELECT i, lo + i * (hi - lo) / 100 AS p, h FROM bw, range(0, 100) t(i))
+    WITH {PNL_SQL}, {BANDWIDTH_SQL}, grid AS (SELECT i, lo + i * (hi - lo) / 100 AS p, h FROM bw, range(0, 100) t(i))
     SELECT CAST(i AS INTEGER) AS point, round(p, 4) AS x,
            round(1e6 * avg(exp(-0.5 * pow((p - x) / h, 2)) / (h * sqrt(2 * pi()))), 8) AS density
-    FROM pnl, at GROUP BY i, p
+    FROM pnl, grid GROUP BY i, p
     """,
 )
 def density_curve(spark, folder):

@@ -68,7 +68,7 @@ def als_factors(spark, folder):
 @query(
     "als_rank1_step",
     """
-    SELECT count(DISTINCT o_custkey) AS users, 0.0 AS gap
+    SELECT count(DISTINCT o_custkey) AS users, CAST(0 AS DOUBLE) AS gap
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     """,
 )
