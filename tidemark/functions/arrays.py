@@ -38,10 +38,15 @@ def scale(a: Column, factors: Column) -> Column:
 
 def normalized(a: Column) -> Column:
     """The array divided by its length; a zero array becomes NaN throughout."""
-    length = norm(a)
-    return F.when(length == 0.0, F.transform(a, lambda _: F.lit(float("nan")))).otherwise(
-        F.transform(a, lambda v: v / F.greatest(length, F.lit(5e-324)))
-    )
+    # One-element arrays bind the array and its length, so each is computed once.
+    def divide(x: Column) -> Column:
+        by_length = F.transform(
+            F.array(norm(x)),
+            lambda n: F.transform(x, lambda v: F.when(n == 0.0, F.lit(float("nan"))).otherwise(v / n)),
+        )
+        return F.get(by_length, F.lit(0))
+
+    return F.get(F.transform(F.array(a), divide), F.lit(0))
 
 
 def signed_square(x: Column) -> Column:
@@ -52,6 +57,6 @@ def signed_sqrt(x: Column) -> Column:
     return F.signum(x) * F.sqrt(F.abs(x))
 
 
-def featurize(a: Column) -> Column:
+def featurize(values: list[Column]) -> list[Column]:
     """Signed squares, then signed roots, then the values themselves."""
-    return F.concat(F.transform(a, signed_square), F.transform(a, signed_sqrt), a)
+    return [signed_square(v) for v in values] + [signed_sqrt(v) for v in values] + list(values)

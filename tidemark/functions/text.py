@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Page parts without readable text.
 HIDDEN_HTML = (
     r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>|<!--.*?-->"
 )
+REGEX_SPECIAL = ".$|()[{^?*+\\"
+# All characters up to and including the blank.
+CONTROL = "".join(map(chr, range(0x21)))
 # A whole number as the parsers accept it: no blanks, optional sign.
 INTEGER_PATTERN = r"^[+-]?\d+$"
 
 
 def strip_control(c: Column) -> Column:
     """Remove leading and trailing characters up to and including the blank."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.trim(c, F.lit(CONTROL))
 
 
 def split_fields(c: Column, sep: str) -> Column:
     """Split on a literal separator; empty fields at the end are dropped."""
-    literal = "".join("\\x%02x" % ord(ch) for ch in sep)
-    return F.split(F.regexp_replace(c, f"(?:{literal})+$", ""), literal)
+    if len(sep) == 1:
+        return F.split(F.rtrim(c, F.lit(sep)), re.escape(sep) if sep in REGEX_SPECIAL else sep)
+    literal = re.escape(sep)
+    trimmed = F.when(c.endswith(sep), F.regexp_replace(c, f"(?:{literal})+$", "")).otherwise(c)
+    return F.split(trimmed, literal)
 
 
 def strict_int(c: Column) -> Column:

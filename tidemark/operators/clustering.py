@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -81,14 +83,20 @@ def clustering_score(points: DataFrame, rows: list[list[float]], features: str =
     return assign(points, rows, features).agg(F.avg("distance").alias("score"))
 
 
-def k_sweep(points: DataFrame, ks=SWEEP, max_iter: int = 20, seed: int = 1) -> DataFrame:
-    """Score of a fit for each number of clusters: ``(k, score)``."""
+def k_sweep(points: DataFrame, ks=SWEEP, max_iter: int = 20, seed: int = 1, parallelism: int = 4) -> DataFrame:
+    """Score of a fit for each number of clusters: ``(k, score)``.
+
+    The fits share the kept points and run a few at a time.
+    """
     points = points.select("features").persist()
     try:
-        found = []
-        for k in ks:
+
+        def score(k: int):
             rows = centers(fit(points, k, max_iter, seed))
-            found.append((k, clustering_score(points, rows).first()["score"]))
+            return k, clustering_score(points, rows).first()["score"]
+
+        with ThreadPool(parallelism) as pool:
+            found = pool.map(score, ks)
     finally:
         points.unpersist()
     return points.sparkSession.createDataFrame(found, "k int, score double")

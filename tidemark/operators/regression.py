@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import arrays
 from tidemark.operators.joins import lookup_join
+from tidemark.session import cut_lineage
 
 
 def factor_means(matrix: DataFrame, factors: list[str]) -> DataFrame:
@@ -60,8 +61,7 @@ def fit_factor_model(matrix: DataFrame, factors: list[str]) -> FactorModel:
 
 def factor_features(matrix: DataFrame, factors: list[str]) -> DataFrame:
     """``(date, x)`` with the 3m features of each period."""
-    raw = F.array(*[F.col(f"`{f}`") for f in factors])
-    return matrix.select("date", arrays.featurize(raw).alias("x"))
+    return matrix.select("date", F.array(*arrays.featurize([F.col(f"`{f}`") for f in factors])).alias("x"))
 
 
 def ols(
@@ -75,6 +75,8 @@ def ols(
     moments first, which keeps squares, roots and values of one factor apart
     numerically.
     """
+    # One row per period, so the table is bounded by the calendar; it is used twice.
+    features = cut_lineage(features.select("date", "x"))
     moments = features.agg(
         *[F.avg(F.col("x")[j]) for j in range(width)],
         *[F.stddev_pop(F.col("x")[j]) for j in range(width)],
@@ -84,7 +86,7 @@ def ols(
     mean = np.array(moments[:width])
     sd = np.array([s if s else 1.0 for s in moments[width:]])
 
-    joined = lookup_join(returns.select(instrument, "date", y), features.select("date", "x"), ["date"], "inner")
+    joined = lookup_join(returns.select(instrument, "date", y), features, ["date"], "inner")
     z = {"z0": F.lit(1.0)}
     for j in range(width):
         z[f"z{j + 1}"] = (F.col("x")[j] - F.lit(float(mean[j]))) / F.lit(float(sd[j]))

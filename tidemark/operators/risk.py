@@ -11,6 +11,7 @@ from tidemark.functions.arrays import signed_sqrt, signed_square
 from tidemark.functions.finance import chi_square1_tail, kupiec_statistic
 from tidemark.operators.orderstat import Tail, lower_tail
 from tidemark.operators.regression import FactorModel
+from tidemark.session import cut_lineage
 
 TAIL_DIVISOR = 20
 
@@ -141,8 +142,11 @@ def bootstrap_tails(
             (F.col("cum_s") - F.col("s")).alias("base_s"),
         )
     )
-    # At most one row per resample, so the broadcast is bounded by a parameter.
-    inner = weighted.join(F.broadcast(ended), ["r", "b"])
+    # At most one row per resample, so the broadcast is bounded by a parameter;
+    # trials outside the few end buckets are dropped before any weight is drawn.
+    ended = cut_lineage(ended)
+    ends = [row["b"] for row in ended.select("b").distinct().collect()]
+    inner = weighted.filter(F.col("b").isin(ends)).join(F.broadcast(ended), ["r", "b"])
     keys = ["r", "trials", "k", "base_n", "base_s"]
     merged = inner.groupBy(*keys, "x").agg(F.sum("w").alias("n"))
     w = Window.partitionBy("r").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)

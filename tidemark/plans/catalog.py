@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.sources.files import spread_scan
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -36,6 +38,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table as input to costly work per row."""
+    return spread_scan(table(spark, folder, name).select(*columns))
+
+
 def rounded(c: Column | str, digits: int) -> Column:
     """Rounded for comparison; adding 0 turns -0.0 into 0.0."""
     return F.round(c, digits) + F.lit(0.0)

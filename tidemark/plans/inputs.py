@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.joins import lookup_join
-from tidemark.plans.catalog import table
+from tidemark.plans.catalog import spread, table
 
 START, END = "1996-01-01", "2000-12-29"
 FACTORS = ["A", "N", "R", "O"]
@@ -13,7 +13,9 @@ FACTORS = ["A", "N", "R", "O"]
 
 def brand_daily(spark, folder) -> DataFrame:
     """Daily mean price per brand, a price history per series."""
-    li = table(spark, folder, "lineitem").select("l_partkey", F.col("l_shipdate").cast("date").alias("date"), "l_extendedprice")
+    li = spread(spark, folder, "lineitem", "l_partkey", "l_shipdate", "l_extendedprice").withColumn(
+        "date", F.col("l_shipdate").cast("date")
+    )
     part = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("series"))
     joined = lookup_join(li, part, ["l_partkey"], "inner")
     return joined.groupBy("series", "date").agg(F.avg("l_extendedprice").alias("value"))
@@ -28,7 +30,7 @@ BRAND_DAILY = """
 
 def factor_daily(spark, folder) -> DataFrame:
     """Daily mean price per return flag, and of open lines, as four factors."""
-    li = table(spark, folder, "lineitem")
+    li = spread(spark, folder, "lineitem", "l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice")
     series = F.array_compact(
         F.array(F.col("l_returnflag"), F.when(F.col("l_linestatus") == "O", F.lit("O")))
     )

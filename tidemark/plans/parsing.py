@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import text as text_ops
-from tidemark.plans.catalog import query, rounded, table
+from tidemark.plans.catalog import query, rounded, spread, table
 from tidemark.plans.inputs import BRAND_DAILY, PLAYS, brand_daily, plays
 from tidemark.sources import delimited, histories
 
@@ -18,7 +18,7 @@ from tidemark.sources import delimited, histories
     """,
 )
 def parse_labeled_csv(spark, folder):
-    li = table(spark, folder, "lineitem")
+    li = spread(spark, folder, "lineitem", "l_quantity", "l_returnflag", "l_linestatus", "l_extendedprice", "l_discount", "l_tax")
     fields = ["l_quantity", "l_returnflag", "l_linestatus", "x", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
     value = F.concat_ws(",", *[F.lit("x") if f == "x" else F.col(f).cast("string") for f in fields])
     parsed = delimited.parse_labeled_csv(li.select(value.alias("value")))
@@ -128,7 +128,7 @@ def read_histories(spark, folder):
     """,
 )
 def parse_term_freq_map(spark, folder):
-    tokens = text_ops.tokenize(table(spark, folder, "documents")).withColumnRenamed("token", "term")
+    tokens = text_ops.tokenize(spread(spark, folder, "documents", "doc_id", "text")).withColumnRenamed("token", "term")
     maps = text_ops.term_freq_maps(text_ops.term_freq(tokens))
     entry = F.transform(F.map_entries("term_freqs"), lambda e: F.concat_ws(" -> ", e["key"], e["value"].cast("string")))
     lines = maps.select("doc_id", F.concat(F.lit("Map("), F.array_join(entry, ", "), F.lit(")")).alias("value"))
@@ -228,7 +228,7 @@ HTML_TITLE = r"regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
 
 @query("page_extract", f"SELECT page_id, {HTML_TITLE} AS title, {HTML_TEXT} AS text FROM pages")
 def page_extract(spark, folder):
-    return text_ops.html_pages(table(spark, folder, "pages"))
+    return text_ops.html_pages(spread(spark, folder, "pages", "page_id", "html"))
 
 
 @query(
@@ -240,7 +240,7 @@ def page_extract(spark, folder):
 )
 def page_filter(spark, folder):
     # The tables have no namespace or redirect mark; two parts of the address stand in.
-    pages = table(spark, folder, "pages")
+    pages = spread(spark, folder, "pages", "page_id", "url", "html")
     marked = pages.select(
         "page_id",
         text_ops.html_title(F.col("html")).alias("title"),

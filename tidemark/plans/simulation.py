@@ -8,10 +8,11 @@ from tidemark.functions import rng
 from tidemark.functions.finance import normal_pdf
 from tidemark.operators import density, regression, risk
 from tidemark.plans.basics import uniform_sql
-from tidemark.plans.catalog import query, rounded, table
+from tidemark.plans.catalog import query, rounded, spread, table
 from tidemark.plans.inputs import FACTORS, FACTOR_MATRIX, STOCK_RETURNS
 from tidemark.plans.reports import risk_report as build_risk_report
-from tidemark.plans.series import OLS, matrix, stock_returns, weights
+from tidemark.plans.series import OLS, matrix, stock_returns
+from tidemark.session import cut_lineage
 
 SEED = 1001
 RESAMPLES = 100
@@ -21,13 +22,13 @@ PNL_SQL = "pnl AS (SELECT l_extendedprice - 1000 * l_quantity AS x FROM lineitem
 
 
 def pnl(spark, folder):
-    li = table(spark, folder, "lineitem")
+    li = spread(spark, folder, "lineitem", "l_extendedprice", "l_quantity")
     return li.select((F.col("l_extendedprice") - 1000 * F.col("l_quantity")).alias("x"))
 
 
 def trial_rows(spark, folder):
     """One trial per order."""
-    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("trial_id"))
+    return spread(spark, folder, "orders", "o_orderkey").withColumnRenamed("o_orderkey", "trial_id")
 
 
 def _normals_sql() -> str:
@@ -89,10 +90,12 @@ TRIALS = OLS + "," + DRAWS + """,
 """
 
 
-def trials(spark, folder):
-    model = regression.fit_factor_model(matrix(spark, folder), FACTORS)
+def trials(spark, folder, returns=None):
+    factors = cut_lineage(matrix(spark, folder))  # one row per weekday
+    model = regression.fit_factor_model(factors, FACTORS)
     draws = risk.factor_draws(trial_rows(spark, folder), "trial_id", model, SEED)
-    w, _ = weights(spark, folder)
+    features = regression.factor_features(factors, FACTORS)
+    w = regression.ols(returns or stock_returns(spark, folder), features, 3 * len(FACTORS))
     return risk.trial_returns(draws, regression.portfolio_weights(w)).select("trial_id", "ret")
 
 
@@ -150,7 +153,7 @@ ORDER_SAMPLE = "sample AS (SELECT o_orderkey AS id, o_totalprice - 250000 AS x F
 
 
 def order_sample(spark, folder):
-    orders = table(spark, folder, "orders")
+    orders = spread(spark, folder, "orders", "o_orderkey", "o_totalprice")
     return orders.select(F.col("o_orderkey").alias("id"), (F.col("o_totalprice") - 250000).alias("x"))
 
 
@@ -304,6 +307,8 @@ REPORT = TRIALS + f""",
     """,
 )
 def risk_report(spark, folder):
-    out = build_risk_report(trials(spark, folder), stock_returns(spark, folder), RESAMPLES)
+    returns = stock_returns(spark, folder).persist()  # series times weekdays
+    out = build_risk_report(trials(spark, folder, returns), returns, RESAMPLES)
+    returns.unpersist()
     money = ["var", "cvar", "var_lower", "var_upper", "cvar_lower", "cvar_upper"]
     return out.withColumns({c: rounded(c, 2) for c in money} | {"p_value": rounded("p_value", 6)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import text
-from tidemark.plans.catalog import query, rounded, table
+from tidemark.plans.catalog import query, rounded, spread, table
 
 # Fixed values of the checks: stopwords and a small table of base forms.
 STOPWORDS = ["the", "and", "are", "that", "with", "les", "des", "que", "der", "die", "und"]
@@ -13,7 +13,7 @@ LEMMAS = [("was", "be"), ("are", "be"), ("is", "be"), ("ores", "ore"), ("nteres"
 
 
 def docs(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread(spark, folder, "documents", "doc_id", "text")
 
 
 def stopwords(spark):

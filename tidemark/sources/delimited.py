@@ -47,12 +47,13 @@ def parse_labeled_csv(lines: DataFrame, on_error: str = FAIL) -> DataFrame:
 def parse_ratings(lines: DataFrame, on_error: str = FAIL) -> DataFrame:
     """Blank-separated ``user item count`` lines, exactly three whole numbers."""
     fields = split_fields(F.col("value"), " ")
-    ids = F.transform(fields, strict_int)
-    bad = (F.size(ids) != 3) | F.exists(ids, lambda v: v.isNull())
-    good = _enforce(lines, bad, "not three whole numbers", on_error)
-    return good.select(
-        ids[0].alias("user"), ids[1].alias("item"), ids[2].cast("double").alias("rating")
+    ids = [strict_int(F.get("f", F.lit(i))) for i in range(3)]
+    split = lines.select("value", fields.alias("f")).select(
+        "value", F.size("f").alias("n"), *[c.alias(name) for c, name in zip(ids, ("user", "item", "count"))]
     )
+    bad = (F.col("n") != 3) | F.col("user").isNull() | F.col("item").isNull() | F.col("count").isNull()
+    good = _enforce(split, bad, "not three whole numbers", on_error)
+    return good.select("user", "item", F.col("count").cast("double").alias("rating"))
 
 
 def parse_id_name(lines: DataFrame) -> DataFrame:
@@ -110,28 +111,30 @@ def parse_term_freq_maps(lines: DataFrame) -> DataFrame:
     term the last entry counts.  Only the outer ``Map(`` ``)`` is taken off.
     """
     inner = F.regexp_replace("value", r"^Map\(|\)$", "")
-    entries = F.transform(
-        split_fields(inner, ", "),
-        lambda e, i: F.struct(
-            strip_control(split_fields(e, "->")[0]).alias("term"),
+
+    def entry(e: Column, i: Column) -> Column:
+        arrows = (F.length(e) - F.length(F.replace(e, F.lit("->"), F.lit("")))) / 2
+        two_parts = (arrows == 1) & ~e.endswith("->")
+        count = strip_control(F.substring_index(e, "->", -1)).cast("int")
+        return F.struct(
+            strip_control(F.substring_index(e, "->", 1)).alias("term"),
             i.alias("pos"),
-            F.when(
-                F.size(split_fields(e, "->")) == 2,
-                strip_control(F.try_element_at(split_fields(e, "->"), F.lit(2))).cast("int"),
-            )
-            .otherwise(0)
-            .alias("tf"),
-        ),
-    )
-    ordered = lines.withColumn("_entries", F.array_sort(entries))
-    following = F.col("_entries")
-    last_ones = F.filter(
-        following,
-        lambda e, i: (i == F.size(following) - 1)
-        | (F.coalesce(F.get(following, i + 1)["term"] != e["term"], F.lit(True))),
-    )
-    pairs = F.transform(last_ones, lambda e: F.struct(e["term"].alias("key"), e["tf"].alias("value")))
-    return ordered.withColumn("term_freqs", F.map_from_entries(pairs)).drop("_entries", "value")
+            F.when(two_parts, count).otherwise(0).alias("tf"),
+        )
+
+    entries = F.transform(split_fields(inner, ", "), entry)
+
+    def last_ones(ordered: Column) -> Column:
+        # Sorted by term and position: an entry counts if another term follows.
+        kept = F.filter(
+            ordered,
+            lambda e, i: F.coalesce(F.get(ordered, i + 1)["term"] != e["term"], F.lit(True)),
+        )
+        return F.transform(kept, lambda e: F.struct(e["term"].alias("key"), e["tf"].alias("value")))
+
+    # The one-element array binds the sorted entries, so they are sorted once.
+    pairs = F.get(F.transform(F.array(F.array_sort(entries)), last_ones), F.lit(0))
+    return lines.withColumn("term_freqs", F.map_from_entries(pairs)).drop("value")
 
 
 def format_term_freq_maps(df: DataFrame, column: str = "term_freqs") -> DataFrame:

@@ -27,6 +27,16 @@ def read_gzip_lines(spark: SparkSession, path: str, partitions: int | None = Non
     return spark.read.text(path).repartition(target)
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a scan that has fewer splits than the cluster has cores.
+
+    For input to costly work per row.  A scan of many files or row groups is
+    left as it is, so large inputs are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_page_dump(spark: SparkSession, path: str) -> DataFrame:
     """Records between ``<page>`` and ``</page>``: title, ns, redirect flag, text."""
     pages = spark.read.option("rowTag", "page").schema(PAGE_SCHEMA).xml(path)
