@@ -11,7 +11,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions import rng
-from tidemark.operators.joins import lookup_join, salted_join
+from tidemark.operators.gram import gram_matrix
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.matrix import (
     matrix_row,
     multiply_diagonal,
@@ -25,6 +26,8 @@ from tidemark.sources.delimited import with_vector
 
 # The library keeps V on the driver: at most this many numbers (400 MB).
 LOCAL_NUMBERS = 50_000_000
+# A block of at most this many numbers (32 MB) is broadcast to the entries.
+BLOCK_NUMBERS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -80,31 +83,21 @@ def svd(rows: DataFrame, k: int) -> Decomposition:
 def _half_step(entries: DataFrame, blocks: DataFrame, key: str, other: str, k: int) -> DataFrame:
     """``(id, vec)``: the sum of v times the block row of ``other``, per ``key``."""
     keyed = blocks.select(F.col("id").alias(other), F.col("vec").alias("_q"))
-    joined = salted_join(entries.select(key, other, "v"), keyed, [other], "inner")
+    # ``blocks`` is checkpointed, so counting it is cheap; small ones are broadcast.
+    joined = lookup_join(entries.select(key, other, "v"), keyed, [other], "inner", BLOCK_NUMBERS // k)
     sums = [F.sum(F.col("v") * F.col("_q")[j]) for j in range(k)]
     return joined.groupBy(F.col(key).alias("id")).agg(F.array(*sums).alias("vec"))
 
 
-def _gram(blocks: DataFrame, k: int) -> np.ndarray:
-    """k by k products of the columns, one aggregate."""
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = blocks.agg(*[F.sum(F.col("vec")[i] * F.col("vec")[j]) for i, j in pairs]).first()
-    out = np.zeros((k, k))
-    for (i, j), value in zip(pairs, sums):
-        out[i, j] = out[j, i] = value or 0.0
-    return out
+def _times(blocks: DataFrame, small: np.ndarray) -> DataFrame:
+    """Each row times a small matrix."""
+    height = small.shape[0]
 
+    def multiply(batch: pa.Array) -> pa.Array:
+        table = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), height)
+        return pa.array(list(table @ small), pa.list_(pa.float64()))
 
-def _times(blocks: DataFrame, small: np.ndarray) -> DataFrame:
-    """Each row times a k by k matrix."""
-    out = []
-    for column in small.T:
-        value = F.lit(0.0)
-        for i, c in enumerate(column):
-            if c != 0.0:
-                value = value + F.col("vec")[i] * F.lit(float(c))
-        out.append(value)
-    return blocks.select("id", F.array(*out).alias("vec"))
+    return blocks.select("id", F.arrow_udf(multiply, "array<double>")("vec").alias("vec"))
 
 
 def start_block(entries: DataFrame, k: int, seed: int = 1) -> DataFrame:
@@ -120,9 +113,9 @@ def power_rounds(entries: DataFrame, block: DataFrame, k: int, rounds: int) -> D
     folder, so the plan does not grow and a lost executor costs one round.
     """
     for _ in range(rounds):
-        image = _half_step(entries, block, "row", "col", k)
+        image = cut_lineage(_half_step(entries, block, "row", "col", k))
         raw = cut_lineage(_half_step(entries, image, "col", "row", k))
-        triangle = np.linalg.cholesky(_gram(raw, k)).T
+        triangle = np.linalg.cholesky(gram_matrix(raw, F.col("vec"), k)).T
         block = cut_lineage(_times(raw, np.linalg.inv(triangle)))
     return block
 
@@ -134,9 +127,9 @@ def subspace_svd(entries: DataFrame, k: int, rounds: int = 8, oversample: int =
     Accuracy grows with ``rounds`` and ``oversample``.
     """
     size = k + oversample
-    block = power_rounds(entries, start_block(entries, size, seed), size, rounds)
+    block = power_rounds(entries, cut_lineage(start_block(entries, size, seed)), size, rounds)
     image = cut_lineage(_half_step(entries, block, "row", "col", size))
-    values, vectors = np.linalg.eigh(_gram(image, size))
+    values, vectors = np.linalg.eigh(gram_matrix(image, F.col("vec"), size))
     order = np.argsort(values)[::-1][:k]
     s = np.sqrt(np.clip(values[order], 0.0, None))
     rotation = vectors[:, order]

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import arrays
+from tidemark.operators.gram import grouped_gram, triangle
 from tidemark.operators.joins import lookup_join
 from tidemark.session import cut_lineage
 
@@ -87,35 +88,30 @@ def ols(
     sd = np.array([s if s else 1.0 for s in moments[width:]])
 
     joined = lookup_join(returns.select(instrument, "date", y), features, ["date"], "inner")
-    z = {"z0": F.lit(1.0)}
-    for j in range(width):
-        z[f"z{j + 1}"] = (F.col("x")[j] - F.lit(float(mean[j]))) / F.lit(float(sd[j]))
-    columns = joined.select(instrument, F.col(y).alias("_y"), *[c.alias(k) for k, c in z.items()])
+    scaled = [
+        (F.col("x")[j] - F.lit(float(mean[j]))) / F.lit(float(sd[j])) for j in range(width)
+    ]
     size = width + 1
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = columns.groupBy(instrument).agg(
-        F.array(
-            *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")) for i, j in pairs],
-            *[F.sum(F.col(f"z{i}") * F.col("_y")) for i in range(size)],
-        ).alias("sums")
-    )
-    left, right = np.triu_indices(size)
+    # Intercept, features and response in one array; the last column of products belongs to y.
+    products = grouped_gram(joined, F.array(F.lit(1.0), *scaled, F.col(y)), size + 1, instrument)
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    sums = products.groupBy(instrument).agg(F.transform(ordered, lambda e: e["value"]).alias("sums"))
+    left, right = triangle(size + 1)
 
     def solve(batch: pd.Series) -> pd.Series:
         out = []
         for values in batch:
-            values = np.asarray(values, dtype=float)
-            gram = np.zeros((size, size))
-            gram[left, right] = values[: len(left)]
-            gram[right, left] = values[: len(left)]
+            full = np.zeros((size + 1, size + 1))
+            full[left, right] = full[right, left] = np.asarray(values, dtype=float)
+            gram, moment = full[:size, :size], full[:size, size]
             enough = gram[0, 0] >= size and np.linalg.matrix_rank(gram, tol=1e-9 * gram[0, 0]) == size
             if not enough:
                 out.append(None)
                 continue
-            beta = np.linalg.solve(gram, values[len(left) :])
+            beta = np.linalg.solve(gram, moment)
             slopes = beta[1:] / sd
             out.append(np.concatenate([[beta[0] - slopes @ mean], slopes]))
-        return pd.Series(out)
+        return pd.Series(out, dtype=object)
 
     return sums.select(instrument, F.pandas_udf(solve, "array<double>")("sums").alias("weights"))
 

@@ -102,12 +102,14 @@ def term_ids(df: DataFrame) -> DataFrame:
     return dense_index(df, [F.desc("df"), F.asc("term")], "term_id")
 
 
-def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
+def tfidf(tf: DataFrame, idf: DataFrame, idf_is_stored: bool = False) -> DataFrame:
     """Weights ``(doc_id, term, ..., w)`` for the terms of ``idf``.
 
     A document's length counts all its terms, also those outside the
-    vocabulary.  Widespread terms are salted in the join on terms.
+    vocabulary.  Widespread terms are salted in the join on terms; an ``idf`` that
+    is stored already, so that counting it is cheap, is broadcast when small.
     """
     totals = tf.groupBy("doc_id").agg(F.sum("tf").alias("terms_in_doc"))
-    known = salted_join(tf, idf, ["term"], "inner")
+    join = lookup_join if idf_is_stored else salted_join
+    known = join(tf, idf, ["term"], "inner")
     return known.join(totals, "doc_id").withColumn("w", F.col("tf") / F.col("terms_in_doc") * F.col("idf"))

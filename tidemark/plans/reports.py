@@ -70,7 +70,7 @@ def concept_analysis(
         df = text.top_vocabulary(text.doc_freq(tf), vocabulary)
         weights = text.idf(df, docs)
         terms = stats.dense_index(weights, [F.desc("df"), F.asc("term")], "id")
-        entries = text.tfidf(tf, terms).select(
+        entries = text.tfidf(tf, terms, idf_is_stored=True).select(
             F.col("doc_id").alias("row"), F.col("id").alias("col"), F.col("w").alias("v")
         )
         entries = entries.persist()
