@@ -66,12 +66,13 @@ def brute_bootstrap(values, resamples, seed, divisor=20):
     return out
 
 
+@pytest.mark.parametrize("few_rows", [100_000, 3])
 @pytest.mark.parametrize("kind", ["normal", "hot"])
-def test_bootstrap_equals_explicit_resampling(spark, kind):
+def test_bootstrap_equals_explicit_resampling(spark, kind, few_rows):
     values = np.round(np.random.default_rng(5).normal(size=500), 3)
     if kind == "hot":
         values[:200] = -1.0
-    got = risk.bootstrap_tails(frame(spark, values), "id", "x", 10, seed=4, buckets=7).orderBy("r").collect()
+    got = risk.bootstrap_tails(frame(spark, values), "id", "x", 10, seed=4, buckets=7, few_rows=few_rows).orderBy("r").collect()
     for g, w in zip(got, brute_bootstrap(values, 10, 4), strict=True):
         assert tuple(g)[:4] == w[:4]
         assert g.cvar == pytest.approx(w[4])

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # A lookup side up to this many (narrow) rows is sent to every executor.
 BROADCAST_ROWS = 200_000
-# Beyond it both sides are shuffled, each hot key spread over this many tasks.
+# Up to this many it is copied per salt, so that a hot key is spread over many tasks.
+SALT_ROWS = 50_000_000
 SALTS = 16
 
 
@@ -27,16 +28,21 @@ def lookup_join(
 
     A lookup side of proven size is broadcast, so the large side does not move.
     A larger one is copied per salt and joined on (key, salt): the rows of one
-    hot key then land in many tasks.  The salt is a hash of the row, so a task
-    that runs again gives the same rows.
+    hot key then land in many tasks.  Where the copies would be too many, both
+    sides are shuffled once and the adaptive skew join splits hot partitions.
     """
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), on, how)
-    return salted_join(big, lookup, on, how, salts)
+    if lookup.count() <= SALT_ROWS:
+        return salted_join(big, lookup, on, how, salts)
+    return big.join(lookup, on, how)
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str, salts: int = SALTS) -> DataFrame:
-    """The join of the second kind; it needs no look at the lookup side first."""
+    """The join of the second kind; it needs no look at the lookup side first.
+
+    The salt is a hash of the row, so a task that runs again gives the same rows.
+    """
     hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions import rng
 from tidemark.functions.arrays import signed_sqrt, signed_square
 from tidemark.functions.finance import chi_square1_tail, kupiec_statistic
-from tidemark.operators.orderstat import Tail, lower_tail
+from tidemark.operators.orderstat import FEW_ROWS, Tail, lower_tail
 from tidemark.operators.regression import FactorModel
 from tidemark.session import cut_lineage
 
@@ -63,37 +64,57 @@ def tail_frame(spark: SparkSession, tail: Tail | None) -> DataFrame:
     )
 
 
-def _bucket(x: Column, edges: list[float]) -> Column:
-    """Number of edges below ``x``, as a balanced tree of comparisons."""
+def _with_bucket(samples: DataFrame, edges: list[float]) -> DataFrame:
+    """Add ``b``, the place of ``x`` among the edges.
+
+    Odd numbers are the edges themselves, even ones the open spans between, so
+    that a value held by many rows has a bucket of its own once it is an edge.
+    """
+    if not edges:
+        return samples.withColumn("b", F.lit(0))
+    splits = [-math.inf, *edges, math.inf]
+    found = Bucketizer(splits=splits, inputCol="x", outputCol="_i").transform(samples)
+    upto = F.col("_i").cast("int")  # edges at or below x
+    highest = F.get(F.array(*map(F.lit, edges)), upto - 1)
+    place = 2 * upto - F.when(F.col("x") == highest, 1).otherwise(0)
+    return found.withColumn("b", place).drop("_i")
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x <= F.lit(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return tree(0, len(edges))
+def _quantiles(samples: DataFrame, shares: list[float]) -> list[float]:
+    found = samples.agg(F.percentile_approx("x", F.array(*map(F.lit, shares)), 10_000)).first()[0]
+    return sorted(set(found or []))
 
 
-def _weighted(trials: DataFrame, row_id: str, column: str, resamples: int, seed: int, edges: list[float]) -> DataFrame:
-    """Rows ``(b, x, r, w)``: the weight of each trial in each resample.
+def _weighted(samples: DataFrame, kept: list[str], resamples: int, seed: int) -> DataFrame:
+    """Rows of ``kept`` columns, resample ``r`` and weight ``w``, where w > 0.
 
     The weights are recomputed from the row id wherever they are needed and
     never stored.
     """
-    blocks = (resamples + 3) // 4
-    based = trials.select(
-        F.col(row_id).alias("_id"),
-        F.col(column).cast("double").alias("x"),
-        _bucket(F.col(column).cast("double"), edges).alias("b"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    ).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    hashed = based.select("b", "x", "block", rng.digest(seed, F.col("_id"), F.col("block")).alias("d"))
-    spread = hashed.select("b", "x", "block", F.posexplode(F.array(*rng.lanes(F.col("d")))).alias("lane", "h"))
-    weighed = spread.select("b", "x", (F.col("block") * 4 + F.col("lane")).alias("r"), rng.poisson1(F.col("h")).alias("w"))
+    blocks = F.explode(F.sequence(F.lit(0), F.lit((resamples + 3) // 4 - 1)))
+    based = samples.select("id", *kept, blocks.alias("block"))
+    hashed = based.select(*kept, "block", rng.digest(seed, F.col("id"), F.col("block")).alias("d"))
+    spread = hashed.select(*kept, "block", F.posexplode(F.array(*rng.lanes(F.col("d")))).alias("lane", "h"))
+    r = (F.col("block") * 4 + F.col("lane")).alias("r")
+    weighed = spread.select(*kept, r, rng.poisson1(F.col("h")).alias("w"))
     return weighed.filter((F.col("w") > 0) & (F.col("r") < resamples))
 
 
+CARRIED = ["r", "trials", "k", "base_n", "base_s"]
+
+
+def _crossing(sums: DataFrame, place: str) -> DataFrame:
+    """Of rows ``(carried, place, n, s)``, the one per resample where the tail ends.
+
+    ``base_n`` and ``base_s`` of the result count everything below that row.
+    """
+    upto = Window.partitionBy("r").orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = sums.withColumns({"_n": F.sum("n").over(upto), "_s": F.sum("s").over(upto)})
+    below_n, below_s = F.col("base_n") + F.col("_n") - F.col("n"), F.col("base_s") + F.col("_s") - F.col("s")
+    reached = running.filter((below_n < F.col("k")) & (below_n + F.col("n") >= F.col("k")))
+    return reached.select("r", "trials", "k", below_n.alias("base_n"), below_s.alias("base_s"), place, "n")
+
+
 def bootstrap_tails(
     trials: DataFrame,
     row_id: str,
@@ -101,69 +122,58 @@ def bootstrap_tails(
     resamples: int = 100,
     seed: int = 1,
     divisor: int = TAIL_DIVISOR,
-    buckets: int = 64,
+    buckets: int = 128,
+    few_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """Value at risk and tail mean of every resample: ``(r, trials, tail_size, var, cvar)``.
 
-    All resamples run together.  A first aggregate sums weights per resample and
-    value bucket; it shows in which bucket the tail of a resample ends.  Only
-    the rows of that bucket are ranked, after equal values have been merged.
+    All resamples run together.  An aggregate sums the weights per resample and
+    value bucket and shows in which bucket the tail of each resample ends; only
+    rows of these buckets are looked at again.  Buckets are split further until
+    what a resample has left to rank is small, with equal values merged.
     """
-    # The edges follow the sample, finest around the end of the tail.
-    top = 1.5 / divisor
-    shares = [top * (i + 1) / buckets for i in range(buckets)]
-    found = trials.agg(F.percentile_approx(F.col(column).cast("double"), F.array(*map(F.lit, shares)), 10_000)).first()[0]
-    edges = sorted(set(found or []))
-    weighted = _weighted(trials, row_id, column, resamples, seed, edges)
-
-    per_bucket = weighted.groupBy("r", "b").agg(
-        F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("s")
-    )
-    whole = Window.partitionBy("r")
-    upto = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ended = (
-        per_bucket.select(
-            "r",
-            "b",
-            "n",
-            "s",
-            F.sum("n").over(whole).alias("trials"),
-            F.sum("n").over(upto).alias("cum"),
-            F.sum("s").over(upto).alias("cum_s"),
-        )
-        .withColumn("k", F.greatest(F.floor(F.col("trials") / divisor), F.lit(1)))
-        .filter((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("n") < F.col("k")))
-        .select(
-            "r",
-            "b",
-            "trials",
-            "k",
-            (F.col("cum") - F.col("n")).alias("base_n"),
-            (F.col("cum_s") - F.col("s")).alias("base_s"),
-        )
-    )
-    # At most one row per resample, so the broadcast is bounded by a parameter;
-    # trials outside the few end buckets are dropped before any weight is drawn.
-    ended = cut_lineage(ended)
-    ends = [row["b"] for row in ended.select("b").distinct().collect()]
-    inner = weighted.filter(F.col("b").isin(ends)).join(F.broadcast(ended), ["r", "b"])
-    keys = ["r", "trials", "k", "base_n", "base_s"]
-    merged = inner.groupBy(*keys, "x").agg(F.sum("w").alias("n"))
-    w = Window.partitionBy("r").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = merged.withColumns(
-        {
-            "cum": F.col("base_n") + F.sum("n").over(w),
-            "cum_s": F.col("base_s") + F.sum(F.col("x") * F.col("n")).over(w),
-        }
-    ).filter((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("n") < F.col("k")))
-    below_s = F.col("cum_s") - F.col("x") * F.col("n")
-    rest = F.col("k") - (F.col("cum") - F.col("n"))
-    return ranked.select(
+    samples = trials.select(F.col(row_id).alias("id"), F.col(column).cast("double").alias("x"))
+    samples = samples.filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    n, s = F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("s")
+
+    # The edges follow the sample, up to somewhat beyond the end of the tail.
+    edges = _quantiles(samples, [1.5 / divisor * (i + 1) / buckets for i in range(buckets)])
+    placed = _with_bucket(samples, edges)
+    sums = _weighted(placed, ["x", "b"], resamples, seed).groupBy("r", "b").agg(n, s)
+    whole = F.sum("n").over(Window.partitionBy("r"))
+    first = sums.withColumns({"trials": whole, "base_n": F.lit(0).cast("bigint"), "base_s": F.lit(0.0)})
+    first = first.withColumn("k", F.greatest(F.floor(F.col("trials") / divisor), F.lit(1)))
+    # One row per resample at most, here and below: the number is a parameter.
+    ended = cut_lineage(_crossing(first, "b"))
+
+    while True:
+        found = ended.select("b", "n").collect()
+        ends = sorted({row["b"] for row in found})
+        inside = placed.filter(F.col("b").isin(ends))
+        if max((row["n"] for row in found if row["b"] % 2 == 0), default=0) <= few_rows:
+            break
+        finer = _quantiles(inside, [(i + 1) / (buckets + 1) for i in range(buckets)])
+        finer = sorted(set(edges) | set(finer))
+        if len(finer) == len(edges):
+            break
+        edges = finer
+        split = _with_bucket(inside.withColumnRenamed("b", "p"), edges)
+        open_rows = _weighted(split, ["x", "p", "b"], resamples, seed)
+        parents = ended.select(*CARRIED, F.col("b").alias("p"))
+        sums = open_rows.join(F.broadcast(parents), ["r", "p"]).groupBy(*CARRIED, "b").agg(n, s)
+        ended = cut_lineage(_crossing(sums, "b"))
+        placed = split.drop("p")
+
+    rows = _weighted(inside, ["x", "b"], resamples, seed)
+    left = rows.join(F.broadcast(ended.select(*CARRIED, "b")), ["r", "b"]).groupBy(*CARRIED, "x").agg(n)
+    final = _crossing(left.withColumn("s", F.col("n") * F.col("x")), "x")
+    rest = F.col("k") - F.col("base_n")
+    return final.select(
         "r",
         "trials",
         F.col("k").alias("tail_size"),
         F.col("x").alias("var"),
-        ((below_s + rest * F.col("x")) / F.col("k")).alias("cvar"),
+        ((F.col("base_s") + rest * F.col("x")) / F.col("k")).alias("cvar"),
     )
 
 

@@ -44,12 +44,12 @@ def kmeans_assign(spark, folder):
 
 @query(
     "dist_to_centroid",
-    f"WITH {NEAREST} SELECT vec_id, label, round(distance, 8) AS score FROM near ORDER BY score DESC, vec_id LIMIT 100",
+    f"WITH {NEAREST} SELECT vec_id, label, round(distance, 8) AS score FROM near",
 )
 def dist_to_centroid(spark, folder):
-    """The hundred points farthest from their centre."""
+    """The anomaly score of every point, the farthest first."""
     scored = assigned(spark, folder).select("vec_id", "label", rounded("distance", 8).alias("score"))
-    return scored.orderBy(F.desc("score"), "vec_id").limit(100)
+    return scored.orderBy(F.desc("score"), "vec_id")
 
 
 @query("clustering_score", f"WITH {NEAREST} SELECT round(avg(distance), 8) AS score FROM near")
