@@ -169,7 +169,12 @@ def top_docs_per_concept(u: DataFrame, docs: DataFrame, concepts: int = 4, n: in
 
 
 def _named(scored: DataFrame, names: DataFrame) -> DataFrame:
-    """Add ``name`` for the few scored ids; an id without a name is kept."""
+    """Add ``name`` for the few scored ids; an id without a name is kept.
+
+    The scores are a bounded number of rows.  They are stored first, because
+    they are used twice and come from a scan of a whole matrix.
+    """
+    scored = cut_lineage(scored)
     few = F.broadcast(scored.select("id").distinct())
     wanted = names.select("id", "name").join(few, "id", "left_semi")
     return scored.join(wanted, "id", "left")

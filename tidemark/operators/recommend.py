@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import arrays
+from tidemark.session import cut_lineage
 
 # Settings of the training run.
 RANK, ITERATIONS, REGULARIZATION, ALPHA = 10, 20, 0.01, 50.0
@@ -64,7 +65,8 @@ def recommend_products(model: ALSModel, user: int, n: int = 5) -> DataFrame:
 
 def with_names(recommended: DataFrame, names: DataFrame) -> DataFrame:
     """Add item names, keeping the rank and items that have no name."""
-    # The recommendations are a handful of rows, bounded by n.
+    # The recommendations are a handful of rows, bounded by n, and used twice.
+    recommended = cut_lineage(recommended)
     named = names.select(F.col("id").alias("item"), "name")
     matched = named.join(F.broadcast(recommended.select("item")), "item", "left_semi")
     return recommended.join(matched, "item", "left")

@@ -105,6 +105,7 @@ def term_ids(df: DataFrame) -> DataFrame:
 def tfidf(tf: DataFrame, idf: DataFrame, idf_is_stored: bool = False) -> DataFrame:
     """Weights ``(doc_id, term, ..., w)`` for the terms of ``idf``.
 
+    ``tf`` is read more than once; store it first when it comes from a long plan.
     A document's length counts all its terms, also those outside the
     vocabulary.  Widespread terms are salted in the join on terms; an ``idf`` that
     is stored already, so that counting it is cheap, is broadcast when small.

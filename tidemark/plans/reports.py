@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import lsa, risk, stats, text
 from tidemark.operators.orderstat import lower_tail
+from tidemark.session import cut_lineage
 
 
 def risk_report(
@@ -65,19 +66,14 @@ def concept_analysis(
     tokens = text.tokenize(docs)
     if lemmas is not None:
         tokens = text.lemmatize(tokens, lemmas)
-    tf = text.term_freq(text.term_filter(tokens, stopwords)).persist()
-    try:
-        df = text.top_vocabulary(text.doc_freq(tf), vocabulary)
-        weights = text.idf(df, docs)
-        terms = stats.dense_index(weights, [F.desc("df"), F.asc("term")], "id")
-        entries = text.tfidf(tf, terms, idf_is_stored=True).select(
-            F.col("doc_id").alias("row"), F.col("id").alias("col"), F.col("w").alias("v")
-        )
-        entries = entries.persist()
-        found = lsa.subspace_svd(entries, concepts, rounds)
-        entries.unpersist()
-    finally:
-        tf.unpersist()
+    # The counts are read several times; written once, the texts are not parsed again.
+    tf = cut_lineage(text.term_freq(text.term_filter(tokens, stopwords)))
+    df = text.top_vocabulary(text.doc_freq(tf), vocabulary)
+    terms = stats.dense_index(text.idf(df, docs), [F.desc("df"), F.asc("term")], "id")
+    entries = text.tfidf(tf, terms, idf_is_stored=True).select(
+        F.col("doc_id").alias("row"), F.col("id").alias("col"), F.col("w").alias("v")
+    )
+    found = lsa.subspace_svd(cut_lineage(entries), concepts, rounds)
     names = terms.select("id", F.col("term").alias("name"))
     doc_names = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("name"))
     report = lsa.concept_report(

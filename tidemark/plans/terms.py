@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import text
 from tidemark.plans.catalog import query, rounded, spread, table
+from tidemark.session import cut_lineage
 
 # Fixed values of the checks: stopwords and a small table of base forms.
 STOPWORDS = ["the", "and", "are", "that", "with", "les", "des", "que", "der", "die", "und"]
@@ -32,6 +33,11 @@ def counts(spark, folder):
     return text.term_freq(terms(spark, folder))
 
 
+def stored_counts(spark, folder):
+    """The counts, written to the checkpoint folder so that texts are read once."""
+    return cut_lineage(counts(spark, folder))
+
+
 STOP_SQL = ", ".join(f"'{w}'" for w in STOPWORDS)
 TOKENS = """
     tokens AS (
@@ -121,6 +127,6 @@ def term_doc_weight(spark, folder):
     """,
 )
 def tfidf(spark, folder):
-    tf = counts(spark, folder)
+    tf = stored_counts(spark, folder)
     weights = text.tfidf(tf, text.idf(text.doc_freq(tf), docs(spark, folder)))
     return weights.select("doc_id", "term", rounded("w", 8).alias("w"))
