@@ -30,4 +30,4 @@ def test_runs(spark, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).columns == ["series", "ret", "date"]
+    assert sorted(entry.entry(spark).columns) == ["date", "ret", "series"]
