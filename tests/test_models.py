@@ -180,6 +180,30 @@ def test_concepts_rank_per_column(spark):
     assert [tuple(r) for r in report.collect()] == [(0, "zero, one", "two, one"), (1, "two, one", "zero, one")]
 
 
+def test_queries_by_name(spark):
+    m = dense(spark, [[1.0, 0.0], [0.0, 1.0], [0.9, 0.1]])
+    names = spark.createDataFrame([(0, "zero"), (1, "one"), (2, "two")], "id long, name string")
+    unit = matrix.normalize_rows(m)
+
+    def listed(df):
+        return [r.name for r in df.orderBy(F.desc("score")).collect()]
+
+    assert listed(lsa.terms_like(unit, names, "zero", 2)) == ["zero", "two"]
+    assert listed(lsa.docs_like(unit, names, "one", 1)) == ["one"]
+    assert listed(lsa.docs_about(m, m, names, names, "zero", 3)) == ["zero", "two", "one"]
+    with pytest.raises(KeyError):
+        lsa.docs_like(unit, names, "nine")
+
+
+def test_one_term_may_hold_most_rows(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN concat('rare', repeat('x', int(id % 50)), ' common') ELSE 'common' END AS text")
+    tf = text.term_freq(text.term_filter(text.tokenize(docs), spark.createDataFrame([("the",)], "word string")))
+    idf = text.idf(text.doc_freq(tf), docs)
+    weights = text.tfidf(tf, idf)
+    assert weights.count() == 4000
+    assert weights.filter("term = 'common' AND w <> 0").count() == 0
+
+
 def test_terms(spark):
     docs = spark.createDataFrame([(1, "The cats, the Cat9 sat_on 3 éléphants"), (2, ""), (3, "cats")], "doc_id int, text string")
     tokens = text.tokenize(docs)

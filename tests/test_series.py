@@ -82,6 +82,16 @@ def test_ols_equals_least_squares(spark):
         np.testing.assert_allclose(got[name], want, rtol=1e-7, atol=1e-9)
 
 
+def test_ols_leaves_out_periods_without_all_features(spark):
+    gen = np.random.default_rng(2)
+    x, y = gen.normal(size=(40, 2)), gen.normal(size=40)
+    returns, features = panel(spark, {"a": y}, x)
+    holed = features.selectExpr("date", "CASE WHEN date = DATE '2014-01-03' THEN array(x[0], NULL) ELSE x END AS x")
+    keep = np.arange(40) != 2
+    want = np.linalg.lstsq(np.hstack([np.ones((39, 1)), x[keep]]), y[keep], rcond=None)[0]
+    np.testing.assert_allclose(regression.ols(returns, holed, 2).first().weights, want, rtol=1e-8)
+
+
 def test_ols_gives_null_when_not_solvable(spark):
     x = np.array([[1.0, 2.0], [2.0, 4.0], [3.0, 6.0], [4.0, 8.0]])
     assert [r.weights for r in regression.ols(*panel(spark, {"a": np.arange(4.0)}, x), 2).collect()] == [None]

@@ -64,9 +64,12 @@ def svd(rows: DataFrame, k: int) -> Decomposition:
     k = min(k, width)
     if width * k > LOCAL_NUMBERS:
         raise ValueError("V would not fit the driver; use subspace_svd")
-    vectors = with_vector(rows.select("vec"), "vec")
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "vec"), 0, width)
-    found = matrix.computeSVD(k, computeU=False)
+    # The library reads the rows once per iteration.
+    vectors = MLUtils.convertVectorColumnsFromML(with_vector(rows.select("vec"), "vec"), "vec").persist()
+    try:
+        found = RowMatrix(vectors, 0, width).computeSVD(k, computeU=False)
+    finally:
+        vectors.unpersist()
     s = np.array(found.s.toArray())
     v = _fix_signs(np.array(found.V.toArray()))
     projection = v / s
@@ -239,6 +242,31 @@ def top_docs_for_query(us: DataFrame, v: DataFrame, query: DataFrame, n: int = 1
     return _best(multiply_vector(us, concept_weights).filter(F.col("score").isNotNull()), n)
 
 
+def id_of(names: DataFrame, name: str) -> int:
+    """The id of a term or document; the smallest one when a name occurs twice."""
+    found = names.filter(F.col("name") == F.lit(name)).agg(F.min("id").alias("id")).first()["id"]
+    if found is None:
+        raise KeyError(name)
+    return found
+
+
+def terms_like(normalized_vs: DataFrame, names: DataFrame, term: str, n: int = 10) -> DataFrame:
+    """Terms relevant to a term, by name."""
+    return named_scores(top_terms_for_term(normalized_vs, id_of(names, term), n), names)
+
+
+def docs_like(normalized_us: DataFrame, names: DataFrame, doc: str, n: int = 10) -> DataFrame:
+    """Documents relevant to a document, by name."""
+    return named_scores(top_docs_for_doc(normalized_us, id_of(names, doc), n), names)
+
+
+def docs_about(
+    us: DataFrame, v: DataFrame, terms: DataFrame, docs: DataFrame, term: str, n: int = 10
+) -> DataFrame:
+    """Documents relevant to a term, by name."""
+    return named_scores(top_docs_for_term(us, v, id_of(terms, term), n), docs)
+
+
 def named_scores(scores: DataFrame, names: DataFrame) -> DataFrame:
     """Scores with names, for display."""
     return _named(scores, names)

@@ -71,13 +71,15 @@ def ols(
     """Least squares with intercept of ``y`` on ``x`` for every instrument.
 
     Gives ``(instrument, weights)`` with the intercept first; the weights are
-    NULL where the system is singular or has too few periods.  Only sums of
-    products are shuffled.  The features are centred and scaled by their overall
+    NULL where the system is singular or has too few periods; periods without all
+    features are left out.  Only sums of products are shuffled.  The features are centred and scaled by their overall
     moments first, which keeps squares, roots and values of one factor apart
     numerically.
     """
     # One row per period, so the table is bounded by the calendar; it is used twice.
-    features = cut_lineage(features.select("date", "x"))
+    complete = features.select("date", "x").filter(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+    features = cut_lineage(complete)
+    returns = returns.filter(F.col(y).isNotNull() & ~F.isnan(y))
     moments = features.agg(
         *[F.avg(F.col("x")[j]) for j in range(width)],
         *[F.stddev_pop(F.col("x")[j]) for j in range(width)],

@@ -181,7 +181,8 @@ def bootstrap_stats(spark, folder):
     """,
 )
 def bootstrap_ci(spark, folder):
-    out = risk.bootstrap_tails(order_sample(spark, folder), "id", "x", RESAMPLES, seed=1).persist()
+    out = risk.bootstrap_tails(order_sample(spark, folder), "id", "x", RESAMPLES, seed=1)
+    out = cut_lineage(out)  # one row per resample, used twice
     both = risk.confidence_interval(out, "var", RESAMPLES).unionByName(risk.confidence_interval(out, "cvar", RESAMPLES))
     return both.withColumns({"lower": rounded("lower", 4), "upper": rounded("upper", 4)})
 
