@@ -28,12 +28,18 @@ BRAND_DAILY = """
 
 def factor_daily(spark, folder) -> DataFrame:
     """Daily mean price per return flag, and of open lines, as four factors."""
-    li = table(spark, folder, "lineitem")
-    series = F.array_compact(
-        F.array(F.col("l_returnflag"), F.when(F.col("l_linestatus") == "O", F.lit("O")))
+    # Summed per flag, status and day first, so that no line is copied.
+    daily = (
+        table(spark, folder, "lineitem")
+        .groupBy("l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("date"))
+        .agg(F.sum("l_extendedprice").alias("s"), F.count("l_extendedprice").alias("n"))
+    )
+    series = F.array_compact(F.array(F.col("l_returnflag"), F.when(F.col("l_linestatus") == "O", F.lit("O"))))
+    return (
+        daily.select(F.explode(series).alias("series"), "date", "s", "n")
+        .groupBy("series", "date")
+        .agg((F.sum("s") / F.sum("n")).alias("value"))
     )
-    rows = li.select(F.explode(series).alias("series"), F.col("l_shipdate").cast("date").alias("date"), "l_extendedprice")
-    return rows.groupBy("series", "date").agg(F.avg("l_extendedprice").alias("value"))
 
 
 FACTOR_DAILY = """
