@@ -150,3 +150,9 @@ def test_density(spark):
     assert len(curve) == 100
     assert curve[0].x == values.min()
     assert sum(r.density for r in curve) * (values.max() - values.min()) / 100 == pytest.approx(1.0, abs=0.05)
+
+
+def test_density_without_spread(spark):
+    got = density.density_curve(frame(spark, [3.0] * 5), "x", 4).collect()
+    assert [(r.x, r.density) for r in got] == [(3.0, None)] * 4
+    assert density.density_curve(frame(spark, [1]).limit(0), "x").count() == 0

@@ -16,23 +16,27 @@ def bandwidth(samples: DataFrame, column: str) -> DataFrame:
     return samples.agg(_bandwidth(F.col(column)).alias("bandwidth"))
 
 
-def _densities(samples: DataFrame, column: str, count: int, place: Column, h: Column) -> DataFrame:
+def _densities(samples: DataFrame, column: str, count: int, place: Column, h: float | None) -> DataFrame:
     """Mean kernel height at each of ``count`` points; ``place`` gives a point's x.
 
     Every sample meets every point, but the pairs are summed as they are made:
-    only one row per point leaves a task.
+    only one row per point leaves a task.  Without spread the density is NULL.
     """
     pairs = samples.filter(F.col(column).isNotNull()).select(
         F.col(column).cast("double").alias("s"),
         F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("point"),
     )
-    heights = pairs.groupBy("point").agg(F.avg(normal_pdf(place, F.col("s"), h)).alias("density"))
+    height = normal_pdf(place, F.col("s"), F.lit(h)) if h else F.lit(None).cast("double")
+    heights = pairs.groupBy("point").agg(F.avg(height).alias("density"))
     return heights.select("point", place.alias("x"), "density")
 
 
 def estimate(samples: DataFrame, column: str, points: list[float]) -> DataFrame:
-    """Density of the sample at the given points: ``(point, x, density)``."""
-    h = samples.agg(_bandwidth(F.col(column))).scalar()
+    """Density of the sample at the given points: ``(point, x, density)``.
+
+    One aggregate gives the bandwidth, which then is a constant of the second.
+    """
+    h = bandwidth(samples, column).first()["bandwidth"]
     at = F.array(*[F.lit(float(p)) for p in points])
     return _densities(samples, column, len(points), F.get(at, F.col("point")), h)
 
@@ -40,8 +44,8 @@ def estimate(samples: DataFrame, column: str, points: list[float]) -> DataFrame:
 def density_curve(samples: DataFrame, column: str, steps: int = 100) -> DataFrame:
     """Density from the minimum up to, not including, the maximum, in equal steps."""
     c = F.col(column)
-    summary = samples.agg(
-        F.struct(_bandwidth(c).alias("h"), F.min(c).alias("lo"), F.max(c).alias("hi"))
-    ).scalar()
-    place = summary["lo"] + F.col("point") * (summary["hi"] - summary["lo"]) / F.lit(float(steps))
-    return _densities(samples, column, steps, place, summary["h"])
+    h, low, high = samples.agg(_bandwidth(c), F.min(c), F.max(c)).first()
+    if low is None:
+        low = high = 0.0
+    place = F.lit(float(low)) + F.col("point") * F.lit(float(high - low)) / F.lit(float(steps))
+    return _densities(samples, column, steps, place, h)
