@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import duckdb
 
 TABLES = (
@@ -51,7 +49,3 @@ def differences(frame, con, sql: str) -> list[str]:
         n = len(set(got) ^ set(want))
         out.append(f"{n} rows differ: only Spark {extra}, only SQL {missing}")
     return out
-
-
-def finite(rows) -> bool:
-    return all(not (isinstance(v, float) and math.isnan(v)) for r in rows for v in r)

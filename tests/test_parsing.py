@@ -19,6 +19,19 @@ def test_labeled_csv_bad_number(lines):
     assert delimited.parse_labeled_csv(bad, "DROP").count() == 1
 
 
+def test_bad_numbers_stop_the_job_without_ansi_casts_too(spark, lines):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            delimited.parse_labeled_csv(lines("x,tcp,http,SF,215,normal.")).collect()
+        with pytest.raises(Exception):
+            delimited.parse_labeled_points(lines("1,y,2")).collect()
+        with pytest.raises(Exception):
+            delimited.parse_term_freq_maps(lines("Map(a -> one)")).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_ratings_need_three_whole_numbers(lines):
     good = delimited.parse_ratings(lines("1000002 1 55", "-3 +4 0 "))
     assert values(good, "user", "item", "rating") == [(-3, 4, 0.0), (1000002, 1, 55.0)]

@@ -36,6 +36,12 @@ def strict_int(c: Column) -> Column:
     return F.when(c.rlike(INTEGER_PATTERN), c.try_cast("int"))
 
 
+def must_cast(c: Column, to: str) -> Column:
+    """The value as the given type; text that is none stops the job, in any cast mode."""
+    failure = F.raise_error(F.concat(F.lit(f"not a value of type {to}: "), c)).cast(to)
+    return F.coalesce(c.try_cast(to), failure)
+
+
 def is_only_letters(c: Column) -> Column:
     """True when every character is a Unicode letter (also for empty text)."""
     return c.rlike(r"^\p{L}*$")

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import arrays
-from tidemark.functions.text import split_fields, strict_int, strip_control
+from tidemark.functions.text import must_cast, split_fields, strict_int, strip_control
 
 FAIL, DROP = "FAIL", "DROP"
 
@@ -24,7 +24,7 @@ def _enforce(df: DataFrame, bad: Column, message: str, on_error: str) -> DataFra
 def _as_doubles(fields: Column, on_error: str) -> Column:
     if on_error == DROP:
         return F.transform(fields, lambda x: x.try_cast("double"))
-    return F.transform(fields, lambda x: x.cast("double"))
+    return F.transform(fields, lambda x: must_cast(x, "double"))
 
 
 def parse_labeled_csv(lines: DataFrame, on_error: str = FAIL) -> DataFrame:
@@ -115,7 +115,7 @@ def parse_term_freq_maps(lines: DataFrame) -> DataFrame:
     def entry(e: Column, i: Column) -> Column:
         arrows = (F.length(e) - F.length(F.replace(e, F.lit("->"), F.lit("")))) / 2
         two_parts = (arrows == 1) & ~e.endswith("->")
-        count = strip_control(F.substring_index(e, "->", -1)).cast("int")
+        count = must_cast(strip_control(F.substring_index(e, "->", -1)), "int")
         return F.struct(
             strip_control(F.substring_index(e, "->", 1)).alias("term"),
             i.alias("pos"),
