@@ -23,15 +23,26 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the session's shared checkpoint folder and go on from it.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables, set up on first use.
 
-    The folder is the one named in ``spark.checkpoint.dir``; only where that is
-    unset (a test on one machine) is a temporary one taken.
+    It is the one that the session names in ``spark.checkpoint.dir``. Where that
+    is unset, a session in one JVM (a test) gets a temporary folder; on a
+    cluster a folder of the driver's machine would be lost to the executors, so
+    there a missing setting is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+        if not folder:
+            if not context.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write the frame to the session's shared checkpoint folder and go on from it."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
