@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, sharding
+from tidemark.llm import hyperminhash, mixing, sharding
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -33,6 +33,37 @@ from docs d join rates r on d.source is not distinct from r.source
 """
 
 
+NEAR_SQL = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') w from documents
+), s as (
+    select distinct doc_id, array_to_string(w[i : i + 3], ' ') s from (
+        select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from w where len(w) > 0)
+), n as (
+    select doc_id, count(*) n from s group by doc_id
+), common as (
+    select x.doc_id a, y.doc_id b, count(*) c from s x join s y on x.s = y.s and x.doc_id < y.doc_id group by all
+), links as (
+    select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+), pairs as (
+    select a, b from links union all select b, a from links
+), reach as (
+    select doc_id a, doc_id b from documents union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a
+), least_of as (
+    select a, min(b) c from reach group by a
+)
+select d.doc_id, coalesce(n.n, 0) n_shingles, c component_id, d.doc_id = c kept
+from documents d left join n using (doc_id) join least_of on a = d.doc_id
+"""
+
+
+@query("op1_hyperminhash", NEAR_SQL)
+def near_duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate component of every document, on 4-word shingles."""
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
 @query("op7_source_mix", MIX_SQL)
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document enters the mix."""
