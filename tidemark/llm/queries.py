@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import hyperminhash, mixing, sharding
+from tidemark.llm import chunks, hyperminhash, mixing, sharding
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -64,6 +64,12 @@ def near_duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), width=4)
 
 
+@query("op4_chunk_fingerprint")
+def chunk_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return chunks.fingerprints(table(spark, folder, "documents"))
+
+
 @query("op7_source_mix", MIX_SQL)
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document enters the mix."""
