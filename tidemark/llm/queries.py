@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunks, hyperminhash, mixing, sharding
+from tidemark.llm import chunks, hyperminhash, langmodel, mixing, sharding
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -70,6 +70,20 @@ def chunk_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.fingerprints(table(spark, folder, "documents"))
 
 
+def remainder() -> Column:
+    """Documents whose remainder is 0 are held out of every training."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+
+
+@query("op5_language")
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langmodel.train(docs.filter(remainder() != 0))
+    rows = docs.select("text", "doc_id", F.coalesce(remainder() == 0, F.lit(False)).alias("held_out"))
+    return langmodel.identify(rows, model).select("row.doc_id", "row.held_out", "lang_pred", "score", "rejected")
+
+
 @query("op7_source_mix", MIX_SQL)
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document enters the mix."""
