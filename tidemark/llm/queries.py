@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunks, hyperminhash, langmodel, mixing, sharding
+from tidemark.llm import chunks, hyperminhash, langmodel, mixing, sharding, toxicity
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -84,6 +84,17 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return langmodel.identify(rows, model).select("row.doc_id", "row.held_out", "lang_pred", "score", "rejected")
 
 
+@query("op6_toxicity")
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from labels of those not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    known = table(spark, folder, "labels").select("doc_id", "toxic").filter(remainder() != 0)
+    model = toxicity.train(docs, known)
+    rows = docs.select("text", "doc_id", F.coalesce(remainder() == 0, F.lit(False)).alias("held_out"))
+    scored = toxicity.score(rows, model)
+    return scored.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
 @query("op7_source_mix", MIX_SQL)
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document enters the mix."""

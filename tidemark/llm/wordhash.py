@@ -82,6 +82,28 @@ def _piece_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(hashes + (ends - starts).astype(np.uint64)), starts
 
 
+def word_parts(data: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Start of each word, and a row per word: hashes of the word and of its first so many bytes (0 where not longer)."""
+    n = len(data)
+    word = ~_SPACE[data]
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[offsets] = True
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1] | edge[1:-1]
+    last[:-1] &= ~word[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    up, down = _power(n + 1)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[_LOWER[data]] * up[:n], out=total[1:])
+    out = np.zeros((len(starts), 1 + len(sizes)), dtype=np.uint64)
+    base, back = total[starts], down[starts]
+    out[:, 0] = mix((total[ends] - base) * back + (ends - starts).astype(np.uint64))
+    for j, k in enumerate(sizes):
+        longer = np.flatnonzero(ends - starts > k)
+        out[longer, j + 1] = mix((total[starts[longer] + k] - base[longer]) * back[longer] + np.uint64(k << 32))
+    return starts, out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a run of rows, and where each row's words begin and end.
 
