@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +47,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame to the session's shared checkpoint folder and go on from it."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write the frame as a table below the shared checkpoint folder and read that from then on.
+
+    Unlike a checkpoint, the table has the size of its files for the planner;
+    loops of joins over checkpoints carry sizes that multiply in every round.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of frames that ``written`` returned; nothing may read them later."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        for name in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
