@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunks, hyperminhash, langmodel, mixing, sharding, toxicity
+from tidemark.llm import chunks, hyperminhash, langmodel, mixing, packing, sharding, toxicity
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -120,3 +121,9 @@ def range_shards(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_bm25_packing")
+def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of all documents in sequences of 1024 tokens."""
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
