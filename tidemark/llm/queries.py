@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunks, hyperminhash, langmodel, mixing, packing, sharding, toxicity
+from tidemark.llm import chunks, hyperminhash, langmodel, mixing, packing, sharding, spherical, toxicity
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -127,3 +127,25 @@ def range_shards(spark: SparkSession, folder: str) -> DataFrame:
 def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+COSINE_SQL = """
+with recursive v as (
+    select vec_id, label, [x::double for x in embedding] e from embeddings
+    where label is not null and embedding is not null and list_bool_and([x is not null and isfinite(x) for x in embedding])
+        and list_bool_or([x <> 0 for x in embedding])
+), pairs as (
+    select x.vec_id a, y.vec_id b from v x join v y
+    on x.label = y.label and x.vec_id <> y.vec_id and len(x.e) = len(y.e) and list_cosine_similarity(x.e, y.e) >= 0.98
+), reach as (
+    select vec_id a, vec_id b from embeddings union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a
+)
+select e.vec_id, (select count(*) from pairs where a = e.vec_id) n_links, c component_id, e.vec_id = c kept
+from embeddings e join (select a, min(b) c from reach group by a) on a = e.vec_id
+"""
+
+
+@query("op10_spherical_cells", COSINE_SQL)
+def near_duplicate_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """The links and the component of every vector."""
+    return spherical.near_duplicate_vectors(table(spark, folder, "embeddings"))
