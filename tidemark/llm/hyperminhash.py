@@ -25,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import connected_components, joined_components
 from tidemark.llm.wordhash import mix, shingle_sets
-from tidemark.session import cut_lineage
+from tidemark.session import written
 
 REGISTERS, MANTISSA = 256, 10
 BANDS, ROWS = 42, 6
@@ -178,7 +178,7 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     Only the texts that a pair names are hashed again; a set moves once per pair it is in.
     """
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = cut_lineage(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_sets(width), "id long, items binary"))
+    sets = written(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_sets(width), "id long, items binary"))
     with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("a_items")), "a")
     both = with_a.join(sets.select(F.col("id").alias("b"), F.col("items").alias("b_items")), "b").select("a", "b", "a_items", "b_items")
     # A document id that stands for several texts is linked if one of them is.
@@ -256,7 +256,7 @@ def _open_pairs(members: DataFrame, components: DataFrame, features: DataFrame,
     """Untried pairs of different components that share a band, at most ``most`` per member and bucket (None: all)."""
     placed = members.join(components, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-    rows = cut_lineage(placed.join(mixed, "band", "left_semi"))
+    rows = written(placed.join(mixed, "band", "left_semi"))
     if rows.isEmpty():
         return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
     place = F.row_number().over(Window.partitionBy("band").orderBy("id")) - 1
@@ -287,27 +287,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     columns named are read, so others may have any name.
     """
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    features = cut_lineage(texts.mapInArrow(signatures(width), FEATURES))
-    classes = cut_lineage(features.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("id").alias("first")))
+    features = written(texts.mapInArrow(signatures(width), FEATURES))
+    classes = written(features.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("id").alias("first")))
     chosen = classes.filter("first is not null").select(F.col("first").alias("id"), "d1", "d2")
     bands = features.join(chosen, ["id", "d1", "d2"], "left_semi").select("id", F.explode("bands").alias("band")).distinct()
     bucket = Window.partitionBy("band").orderBy("id")
     members = bands.select("band", "id", F.first("id").over(bucket).alias("head"), F.lag("id").over(bucket).alias("prev"), F.lead("id").over(bucket).alias("next"))
-    members = cut_lineage(members.filter("prev is not null or next is not null").select("band", "id", "head", "prev"))
+    members = written(members.filter("prev is not null or next is not null").select("band", "id", "head", "prev"))
     partners = members.filter("prev is not null").select("id", F.explode(F.array_distinct(F.array("head", "prev"))).alias("a"))
     shared = partners.groupBy("a", F.col("id").alias("b")).count()
     best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("count"), "a"))
     pairs = shared.withColumn("rank", best).filter("rank <= 2").select("a", "b")
-    tried = cut_lineage(verify(cut_lineage(estimated(cut_lineage(pairs), features)), texts, width, percent))
+    tried = written(verify(written(estimated(written(pairs), features)), texts, width, percent))
     components = connected_components(tried.filter("linked"))
     most = 4
     while not members.isEmpty():
-        pairs = cut_lineage(_open_pairs(members.select("band", "id"), components, features, tried.filter("not linked"), most))
+        pairs = written(_open_pairs(members.select("band", "id"), components, features, tried.filter("not linked"), most))
         if pairs.isEmpty():
             break
-        tried = cut_lineage(tried.union(verify(pairs, texts, width, percent)))
-        components = connected_components(tried.filter("linked"))
-        most = most * 16 if most and most < 1000 else None
+        checked = written(verify(pairs, texts, width, percent))
+        components = joined_components(components, checked.filter("linked"))
+        tried = written(tried.union(checked))
+        most = 64 if most == 4 else None
     placed = features.select("id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     placed = placed.join(components, F.col("first") == F.col("node"), "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "first")).otherwise(F.col("id"))

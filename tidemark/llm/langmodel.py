@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.wordhash import mix
-from tidemark.session import cut_lineage
+from tidemark.session import written
 
 ORDER = 4
 #: Slots of all languages together, as a power of two: the most rows of the summed counts (36 bytes each).
@@ -268,7 +268,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     key = hashlib.sha256(b"".join(x.tobytes() for order in orders for level in order for x in level)).hexdigest()
     model = {"bits": bits, "languages": languages, "orders": orders, "key": key, "usual": {}, "bound": {}}
     if languages:
-        seen = cut_lineage(rows.mapInArrow(_scored(model, own=True), "lang string, n long, entropy double").filter("n > 0"))
+        seen = written(rows.mapInArrow(_scored(model, own=True), "lang string, n long, entropy double").filter("n > 0"))
         usual = seen.groupBy("lang").agg((F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("x"))
         model["usual"] = {r.lang: r.x for r in usual.collect()}
         if model["usual"]:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Up to so many sources the source table is broadcast (under 1 MB); beyond, it is joined by a shuffle.
@@ -77,7 +77,7 @@ def mix_plan(
     """
     size = word_count(F.col("doc")[text])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rates = cut_lineage(source_targets(rows.select(F.col("doc")[source].alias("source"), size.alias("size")), F.col("size"), "source", weights, limit))
+    rates = written(source_targets(rows.select(F.col("doc")[source].alias("source"), size.alias("size")), F.col("size"), "source", weights, limit))
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     whole = F.floor("rate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunks, hyperminhash, langmodel, mixing, packing, sharding, spherical, toxicity
+from tidemark.llm import chat, chunks, hyperminhash, langmodel, mixing, packing, sharding, spherical, toxicity
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -65,6 +65,15 @@ def near_duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), width=4)
 
 
+@query("op3_chat_windows")
+def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """What every conversation reads as, back from its formatted windows."""
+    hard = "\\### Assistant: </turn> ok"
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    return chat.read_back(chat.chat_windows(turns.union(extra), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 @query("op4_chunk_fingerprint")
 def chunk_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""

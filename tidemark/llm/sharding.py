@@ -15,7 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import written
 
 #: Draws for each range; the drawn places that reach the driver are about ranges x DRAWS (each a number and a weight).
 DRAWS = 16
@@ -77,7 +77,7 @@ def shard_by_splitters(docs: DataFrame, group: Column, key: Column, size: Column
     values of their own; records equal in place and size are numbered in any
     order; sizes must be above 0. An empty table gives an empty result.
     """
-    rows = cut_lineage(
+    rows = written(
         docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), size.cast("long").alias("size"), place(group, key).alias("place"))
     )
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
