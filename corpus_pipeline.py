@@ -1 +1,74 @@
-"""Placeholder until every stage exists."""
+"""From raw documents to packed training sequences, as five stages.
+
+Each stage takes ``(spark, docs, sf_dir)``, where ``docs`` has the columns of
+``documents``, and returns a frame that is stored and read again as the next
+one's ``docs``. All but the last keep the columns. Null texts, null keys, empty
+tables and repeated rows go as the operators' docstrings say.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tidemark.llm import hyperminhash, langmodel, mixing, packing, toxicity
+from tidemark.plans.catalog import query
+from tidemark.session import written
+
+#: SQL cannot express the two models; tests compare the stages with brute force.
+ORACLE_SQL = None
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _remainder() -> Column:
+    """0 for the documents that are held out of every training."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity below one half; the model learns from the labels of the rows not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(_remainder() != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.filter("score < 0.5").select("row.*")
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter whose language is one of those labelled; the models learn from rows not held out."""
+    model = langmodel.train(docs.filter(_remainder() != 0))
+    return langmodel.identify(docs, model).filter("not rejected").select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, that of the smallest id; rows without an id go."""
+    found = written(hyperminhash.near_duplicates(docs).filter("kept").select("doc_id"))
+    kept = docs.join(found.distinct(), "doc_id", "left_semi").select(docs.columns)
+    once = found.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    return kept if once else kept.dropDuplicates(["doc_id"])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the weights of their sources ask for."""
+    return mixing.mix_sources(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", keep_known_languages),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+
+@query("pipeline", ORACLE_SQL)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each stored before the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, chunks, hyperminhash, langmodel, mixing, packing, sharding, spherical, toxicity
+from tidemark.llm import chat, chunks, hyperminhash, langmodel, mixing, packing, revisits, sharding, spherical, toxicity
 from tidemark.plans.catalog import query, table
 
 MIX_SQL = r"""
@@ -65,6 +65,73 @@ def near_duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), width=4)
 
 
+REVISIT_SQL = r"""
+with crawl as (
+    select page_id, url, md5(coalesce(html, '')) tag, strlen(coalesce(html, '')) size from pages
+), records as (
+    select page_id * 8 record_id, url, page_id time, true fullrec, tag etag, size from crawl
+    union all select page_id * 8 + 1, upper(split_part(url, '://', 1)) || '://' || split_part(url, '://', 2) || '#again', page_id + 1000000, false, tag, size from crawl
+    union all select page_id * 8 + 2, url, page_id + 2000000, true, md5(tag || '2'), size from crawl where page_id % 3 = 0
+    union all select page_id * 8 + 3, url, page_id + 3000000, false, tag, size from crawl
+    union all select page_id * 8 + 4, url, page_id + 3000000, false, null, size from crawl where page_id % 5 = 0
+    union all select page_id * 8 + 5, url, page_id - 1, false, tag, size from crawl where page_id % 7 = 0
+), bared as (
+    select *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') bare from records
+), pathed as (
+    select *, regexp_replace(split_part(bare, '?', 1), '/+$', '') path,
+        list_sort([p for p in string_split(case when instr(bare, '?') > 0 then regexp_replace(bare, '^[^?]*\?', '') else '' end, '&')
+            if p <> '' and not regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)')]) kept from bared
+), placed as (
+    select *, regexp_replace(regexp_replace(lower(split_part(path, '/', 1)), '^www\.', ''), ':(80|443)$', '')
+        || case when instr(path, '/') > 0 then regexp_replace(path, '^[^/]*', '') else '' end
+        || case when len(kept) > 0 then '?' || array_to_string(kept, '&') else '' end canonical_url from pathed
+), filled as (
+    select *, last_value(case when fullrec then {'id': record_id, 'etag': etag, 'size': size} end ignore nulls) over (
+        partition by canonical_url order by time nulls first, record_id, fullrec rows between unbounded preceding and 1 preceding) was from placed
+)
+select record_id, canonical_url,
+    case when canonical_url is null or was is null then 'orphan' when etag <> was.etag then 'mismatch' when etag = was.etag then 'resolved' else 'unchecked' end status,
+    case when canonical_url is not null then was.id end refers_to,
+    case when canonical_url is not null and was is not null and not coalesce(etag <> was.etag, false) then
+        'cache-control=no-cache|content-length=' || was.size || '|content-type=text/html|date=' || time || '|etag=' || coalesce(etag, was.etag) end headers
+from filled where not fullrec
+"""
+
+
+@query("op2_warc_revisits", REVISIT_SQL)
+def archive_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """Revisits of every page, resolved. The crawl is derived from the pages: each is fetched in full and revisited
+    with its validator, some change in between, some revisits have no validator or come before the first response."""
+    html = F.coalesce("html", F.lit(""))
+    crawl = table(spark, folder, "pages").select("page_id", "url", F.md5(html.cast("binary")).alias("tag"), F.octet_length(html).cast("string").alias("size"))
+    again = F.concat(F.upper(F.substring_index("url", "://", 1)), F.lit("://"), F.element_at(F.split("url", "://", 2), 2), F.lit("#again"))
+
+    def record(n: int, after: int, kind: str, tag: Column, url: Column, when: Column) -> Column:
+        time = F.col("page_id") + after
+        head = [F.lit("Date"), time.cast("string")]
+        if kind == "response":
+            head += [F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), F.col("size")]
+        else:
+            head += [F.lit("Cache-Control"), F.lit("no-cache"), F.lit("Content-Length"), F.lit("0")]
+        headers = F.map_filter(F.create_map(*head, F.lit("ETag"), tag), lambda _, v: v.isNotNull())
+        fields = {"record_id": F.col("page_id") * 8 + n, "url": url, "time": time, "kind": F.lit(kind), "etag": tag, "headers": headers}
+        return F.when(when, F.struct(*[c.alias(k) for k, c in fields.items()]))
+
+    page, tag, url, none = F.col("page_id"), F.col("tag"), F.col("url"), F.lit(None).cast("string")
+    made = [
+        record(0, 0, "response", tag, url, F.lit(True)),
+        record(1, 1_000_000, "revisit", tag, again, F.lit(True)),
+        record(2, 2_000_000, "response", F.md5(F.concat(tag, F.lit("2"))), url, page % 3 == 0),
+        record(3, 3_000_000, "revisit", tag, url, F.lit(True)),
+        record(4, 3_000_000, "revisit", none, url, page % 5 == 0),
+        record(5, -1, "revisit", tag, url, page % 7 == 0),
+    ]
+    records = crawl.select(F.explode(F.filter(F.array(*made), lambda r: r.isNotNull())).alias("r")).select("r.*")
+    records = records.withColumns({"last_modified": none, "digest": none})
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return revisits.resolve_revisits(records).withColumn("headers", F.array_join(F.array_sort(lines), "|"))
+
+
 @query("op3_chat_windows")
 def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """What every conversation reads as, back from its formatted windows."""
