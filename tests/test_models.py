@@ -1,8 +1,10 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import classify, clustering, joins, lsa, matrix, recommend, sampling, stats, text
+from tidemark.operators import classify, clustering, joins, lsa, matrix, recommend, sampling, stats, text, timeseries
 
 
 def dense(spark, table):
@@ -13,16 +15,35 @@ def array(df):
     return np.array([r.vec for r in df.orderBy("id").collect()])
 
 
-def test_lookup_join_ways_agree_on_a_hot_key(spark):
+def test_joins_agree_on_a_hot_key(spark):
     big = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k")
     small = spark.range(0, 2000, 2).selectExpr("id AS k", "id * 10 AS v")
     for how in ("inner", "left", "left_semi", "left_anti"):
         a = joins.lookup_join(big, small, ["k"], how)
-        b = joins.lookup_join(big, small, ["k"], how, max_rows=10)
+        b = joins.salted_join(big, small, ["k"], ["id"], how)
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    hot = joins.salted_join(big.filter("k = 1"), small, ["k"], "left")
-    assert hot.select(F.spark_partition_id()).distinct().count() > 1 or hot.count() == 1000
+
+
+def test_salt_takes_no_doubles(spark):
+    frame = spark.range(3).selectExpr("id AS k", "rand() AS x")
+    with pytest.raises(TypeError):
+        joins.salted_join(frame, frame.select("k"), ["k"], ["x"])
+
+
+def test_lookups_start_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    frame = spark.range(1000).selectExpr("CAST(id % 20 AS string) AS series", "date_add(DATE '2020-01-01', CAST(id AS int)) AS date", "1.0D AS value")
+    ratings = spark.range(100).selectExpr("id AS user", "id AS item", "1.0D AS rating")
+    alias = spark.range(50).selectExpr("id AS bad", "id + 1 AS good")
+    spark.sparkContext.setJobGroup("lazy", "lookups")
+    try:
+        timeseries.min_history(frame, 10)
+        joins.resolve_alias(ratings, alias)
+        joins.semi_filter(ratings, alias.selectExpr("bad AS item"), ["item"])
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_alias_is_one_hop_and_keeps_rows_apart(spark):
@@ -162,7 +183,7 @@ def test_svd(spark):
 def test_subspace_svd_equals_svd(spark):
     table = low_rank()
     entries = matrix.to_entries(dense(spark, table))
-    found = lsa.subspace_svd(entries, 3, rounds=6, oversample=2)
+    found = lsa.subspace_svd(entries, 3, tolerance=1e-7, oversample=2)
     left, s, right = np.linalg.svd(table, full_matrices=False)
     np.testing.assert_allclose([r.s for r in found.s.orderBy("col").collect()], s[:3], rtol=1e-6)
     u, v = array(found.u), array(found.v)
@@ -171,6 +192,36 @@ def test_subspace_svd_equals_svd(spark):
     assert (v[np.abs(v).argmax(axis=0), range(3)] > 0).all()
 
 
+@pytest.mark.parametrize(
+    "table, rank",
+    [
+        (np.array([[1.0, 2.0, 0.5], [0.0, 1.0, 3.0], [2.0, 0.0, 1.0], [1.0, 1.0, 1.0]]), 3),
+        (np.tile(np.array([[1.0, 0.0, 2.0, 3.0, 1.0], [0.0, 4.0, 1.0, 0.0, 1.0]]), (10, 1)), 2),
+        (np.outer(np.arange(1.0, 41), np.arange(1.0, 41)), 1),
+    ],
+)
+def test_subspace_svd_of_few_columns_and_low_rank(spark, table, rank):
+    found = lsa.subspace_svd(matrix.to_entries(dense(spark, table)), 4, tolerance=1e-6)
+    s = [r.s for r in found.s.orderBy("col").collect()]
+    np.testing.assert_allclose(s, np.linalg.svd(table, compute_uv=False)[:rank], rtol=1e-6)
+    u, v = array(found.u), array(found.v)
+    np.testing.assert_allclose(u @ np.diag(s) @ v.T, table, atol=1e-5)
+
+
+def test_subspace_svd_of_nothing(spark):
+    for rows in ([], [(0, 0, 0.0), (1, 2, 0.0)]):
+        found = lsa.subspace_svd(spark.createDataFrame(rows, "row long, col long, v double"), 3)
+        assert found.s.count() == 0
+
+
+def test_wide_block_plans_at_once(spark):
+    entries = spark.range(2000).selectExpr("id % 60 AS row", "id % 47 AS col", "CAST(id % 7 AS double) AS v")
+    start = time.perf_counter()
+    block = lsa.start_block(entries, 1008)
+    assert lsa._half_step(entries, block, "row", "col", 1008).count() == 60
+    assert time.perf_counter() - start < 15
+
+
 def test_concepts_rank_per_column(spark):
     m = dense(spark, [[1.0, 5.0], [2.0, 4.0], [3.0, 3.0]])
     low = lsa.top_per_concept(m, 2, 2, False).orderBy("concept", "rank").collect()

@@ -4,54 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-# A lookup side up to this many (narrow) rows is sent to every executor.
-BROADCAST_ROWS = 200_000
-# Up to this many it is copied per salt, so that a hot key is spread over many tasks.
-SALT_ROWS = 50_000_000
 SALTS = 16
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count the rows, but stop as soon as the bound is passed."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a large frame to a lookup table on equal column names.
 
-    A lookup side of proven size is broadcast, so the large side does not move.
-    A larger one is copied per salt and joined on (key, salt): the rows of one
-    hot key then land in many tasks.  Where the copies would be too many, both
-    sides are shuffled once and the adaptive skew join splits hot partitions.
+    Nothing is counted, so the join stays lazy: a table that is known to be small
+    is broadcast, one that turns out to be is broadcast after its own shuffle, and
+    hot keys of the others are split by the adaptive skew join.
     """
-    if fits_broadcast(lookup, max_rows):
-        return big.join(F.broadcast(lookup), on, how)
-    if lookup.count() <= SALT_ROWS:
-        return salted_join(big, lookup, on, how, salts)
     return big.join(lookup, on, how)
 
 
-def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str, salts: int = SALTS) -> DataFrame:
-    """The join of the second kind; it needs no look at the lookup side first.
+def salted_join(
+    big: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str], how: str = "left", salts: int = SALTS
+) -> DataFrame:
+    """The same for keys known to be hot, in plans where the adaptive join cannot split them.
 
-    The salt is a hash of the row, so a task that runs again gives the same rows.
+    The lookup side is copied per salt, and the rows of a key are dealt by a hash
+    of ``spread_by``.  These have to be columns of integers or strings: a sum of
+    doubles may differ in its last bit when a task runs again, and rows that
+    change their salt then are lost or doubled.
     """
-    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+    for name in spread_by:
+        if not isinstance(big.schema[name].dataType, (T.IntegralType, T.StringType)):
+            raise TypeError(f"{name} is no integer or string")
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def semi_filter(df: DataFrame, ids: DataFrame, on: list[str], **kw) -> DataFrame:
+def semi_filter(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is in ``ids``."""
-    return lookup_join(df, ids.select(*on).distinct(), on, "left_semi", **kw)
+    return lookup_join(df, ids.select(*on).distinct(), on, "left_semi")
 
 
 def lookup_by_key(df: DataFrame, key: str, value, must_exist: bool = False) -> DataFrame:
@@ -78,8 +64,3 @@ def resolve_alias(ratings: DataFrame, alias: DataFrame, item: str = "item", merg
     if merge:
         out = out.groupBy("user", item).agg(F.sum("rating").alias("rating"))
     return out
-
-
-def zip_by_key(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Pair two keyed collections; keys on one side only are left out."""
-    return a.join(b, key)

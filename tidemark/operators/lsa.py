@@ -10,7 +10,6 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.functions import rng
 from tidemark.operators.gram import gram_matrix
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.matrix import (
@@ -21,13 +20,11 @@ from tidemark.operators.matrix import (
     transpose_multiply,
     vector_array,
 )
-from tidemark.session import cut_lineage
+from tidemark.session import discard, written
 from tidemark.sources.delimited import with_vector
 
-# The library keeps V on the driver: at most this many numbers (400 MB).
-LOCAL_NUMBERS = 50_000_000
-# A block of at most this many numbers (32 MB) is broadcast to the entries.
-BLOCK_NUMBERS = 4_000_000
+# Products whose eigenvalue is below this share of the largest are taken for zero.
+RANK_TOLERANCE = 1e-13
 
 
 @dataclass(frozen=True)
@@ -57,13 +54,13 @@ def svd(rows: DataFrame, k: int) -> Decomposition:
     """Truncated SVD of dense rows ``(id, vec)`` by the library.
 
     k is cut down to the number of columns and to the numerical rank.  Column
-    signs are fixed.  Wider matrices belong in ``subspace_svd``.
+    signs are fixed.  The library keeps V, one row per column, on the driver, as
+    rows of that width have to fit a task anyway; a matrix given as entries, of
+    any width, belongs in ``subspace_svd``.
     """
     spark = rows.sparkSession
     width = rows.select(F.size("vec").alias("n")).first()["n"]
     k = min(k, width)
-    if width * k > LOCAL_NUMBERS:
-        raise ValueError("V would not fit the driver; use subspace_svd")
     # The library reads the rows once per iteration.
     vectors = MLUtils.convertVectorColumnsFromML(with_vector(rows.select("vec"), "vec"), "vec").persist()
     try:
@@ -83,68 +80,182 @@ def svd(rows: DataFrame, k: int) -> Decomposition:
     return Decomposition(u, sigma, right)
 
 
+def _sum_runs(ids: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of equal ids; ids ascend."""
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return ids[first], np.add.reduceat(table, first, axis=0)
+
+
+def _vectors(column: pa.Array, k: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+def _id_vec(ids: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+    ends = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * table.shape[1])
+    vec = pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(table).reshape(-1)))
+    return pa.record_batch([pa.array(ids), vec], names=["id", "vec"])
+
+
+# Numbers of one piece of a batch while rows are multiplied and summed (32 MB).
+PIECE = 4_000_000
+
+
 def _half_step(entries: DataFrame, blocks: DataFrame, key: str, other: str, k: int) -> DataFrame:
-    """``(id, vec)``: the sum of v times the block row of ``other``, per ``key``."""
+    """``(id, vec)``: the sum of v times the block row of ``other``, per ``key``.
+
+    Products are summed per batch before they are dealt by ``key``, and once more
+    where the sorted rows of a key run by; the plan is the same for any k.
+    """
     keyed = blocks.select(F.col("id").alias(other), F.col("vec").alias("_q"))
-    # ``blocks`` is checkpointed, so counting it is cheap; small ones are broadcast.
-    joined = lookup_join(entries.select(key, other, "v"), keyed, [other], "inner", BLOCK_NUMBERS // k)
-    sums = [F.sum(F.col("v") * F.col("_q")[j]) for j in range(k)]
-    return joined.groupBy(F.col(key).alias("id")).agg(F.array(*sums).alias("vec"))
+    joined = entries.select(key, other, "v").join(keyed, other).select(F.col(key).cast("long").alias("id"), "v", "_q")
+    step = max(PIECE // k, 1)
+
+    def products(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                order = np.argsort(ids, kind="stable")
+                table = _vectors(batch.column(2), k)[order] * batch.column(1).to_numpy(zero_copy_only=False)[order, None]
+                yield _id_vec(*_sum_runs(ids[order], table))
+
+    def sums(batches):
+        last, held = None, np.zeros(k)
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                ids, table = _sum_runs(batch.column(0).to_numpy(zero_copy_only=False), _vectors(batch.column(1), k))
+                if last == ids[0]:
+                    table[0] += held
+                elif last is not None:
+                    yield _id_vec(np.array([last]), held[None])
+                last, held = ids[-1], table[-1]
+                if len(ids) > 1:
+                    yield _id_vec(ids[:-1], table[:-1])
+        if last is not None:
+            yield _id_vec(np.array([last]), held[None])
+
+    schema = "id long, vec array<double>"
+    partitions = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partial = joined.mapInArrow(products, schema).repartition(partitions, "id").sortWithinPartitions("id")
+    return partial.mapInArrow(sums, schema)
 
 
 def _times(blocks: DataFrame, small: np.ndarray) -> DataFrame:
     """Each row times a small matrix."""
     height = small.shape[0]
 
-    def multiply(batch: pa.Array) -> pa.Array:
-        table = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), height)
-        return pa.array(list(table @ small), pa.list_(pa.float64()))
+    def multiply(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield _id_vec(batch.column(0).to_numpy(zero_copy_only=False), _vectors(batch.column(1), height) @ small)
 
-    return blocks.select("id", F.arrow_udf(multiply, "array<double>")("vec").alias("vec"))
+    return blocks.select(F.col("id").cast("long").alias("id"), "vec").mapInArrow(multiply, "id long, vec array<double>")
 
 
 def start_block(entries: DataFrame, k: int, seed: int = 1) -> DataFrame:
-    """A random starting row of k numbers for every column of the matrix."""
-    ids = entries.select(F.col("col").alias("id")).distinct()
-    return ids.select("id", F.array(*rng.normals(seed, F.col("id"), k)).alias("vec"))
+    """A random starting row of k numbers for every column of the matrix, drawn from seed and id."""
+    ids = entries.select(F.col("col").cast("long").alias("id")).distinct()
 
+    def draw(batches):
+        for batch in batches:
+            if batch.num_rows:
+                mine = batch.column(0).to_numpy(zero_copy_only=False)
+                rows = [np.random.default_rng([seed, int(i) & (2**63 - 1)]).standard_normal(k) for i in mine]
+                yield _id_vec(mine, np.array(rows))
 
-def power_rounds(entries: DataFrame, block: DataFrame, k: int, rounds: int) -> DataFrame:
-    """``rounds`` times: multiply by A'A and make the columns orthonormal.
+    return ids.mapInArrow(draw, "id long, vec array<double>")
 
-    Only k by k products reach the driver.  Each round ends in the checkpoint
-    folder, so the plan does not grow and a lost executor costs one round.
-    """
-    for _ in range(rounds):
-        image = cut_lineage(_half_step(entries, block, "row", "col", k))
-        raw = cut_lineage(_half_step(entries, image, "col", "row", k))
-        triangle = np.linalg.cholesky(gram_matrix(raw, F.col("vec"), k)).T
-        block = cut_lineage(_times(raw, np.linalg.inv(triangle)))
-    return block
 
+def _whitening(product: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(values, q)``: eigenvalues of a product matrix, largest first, and the matrix that makes the block orthonormal.
 
-def subspace_svd(entries: DataFrame, k: int, rounds: int = 8, oversample: int = 8, seed: int = 1) -> Decomposition:
+    Directions of no weight are left out, so q may have fewer columns than rows.
+    """
+    values, vectors = np.linalg.eigh(product)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    keep = values > max(values[0], 0) * RANK_TOLERANCE
+    return values[keep], vectors[:, keep] / np.sqrt(values[keep])
+
+
+def power_rounds(
+    entries: DataFrame, block: DataFrame, k: int, rounds: int, wanted: int | None = None, tolerance: float = 0.0
+) -> tuple[DataFrame, DataFrame | None, np.ndarray, np.ndarray]:
+    """Up to ``rounds`` times: multiply by A'A and make the columns orthonormal.
+
+    Both halves of a round are made orthonormal through the eigenvalues of their
+    product matrix, which drops directions beyond the rank.  Stops as soon as the
+    ``wanted`` first pairs satisfy ``|A'A v - s^2 v| <= tolerance * s^2``.  Gives
+    the block, the image of it (once converged, else None), the squared singular
+    values and the rotation of the block to their vectors.  Only k by k products
+    reach the driver.  Each half step is stored, and what came before it deleted.
+    """
+    stored: list[DataFrame] = []
+    values, q = _whitening(gram_matrix(block, F.col("vec"), k))
+    block, k, rotation = _times(block, q), len(values), np.zeros((len(values), 0))
+    for _ in range(rounds):
+        image = written(_half_step(entries, block, "row", "col", k))
+        values, q = _whitening(gram_matrix(image, F.col("vec"), k))
+        rotation = q * np.sqrt(values)
+        if not len(values):
+            return block, image, values, rotation
+        raw = written(_half_step(entries, _times(image, q), "col", "row", len(values)))
+        product = gram_matrix(raw, F.col("vec"), len(values))
+        gap = np.sqrt(np.clip(values * np.diag(product) - values**2, 0, None))[:wanted]
+        if tolerance and (gap <= tolerance * values[:wanted]).all():
+            discard(raw)
+            return block, image, values, rotation
+        _, q = _whitening(product)
+        discard(image, *stored)
+        block, k, stored = _times(raw, q), q.shape[1], [raw]
+    return block, None, values, rotation
+
+
+def subspace_svd(
+    entries: DataFrame, k: int, tolerance: float = 1e-3, oversample: int | None = None, max_rounds: int = 200, seed: int = 1
+) -> Decomposition:
     """Truncated SVD of a sparse matrix ``(row, col, v)`` of any width.
 
-    Block power rounds on A'A, then a small eigenproblem inside the block.
-    Accuracy grows with ``rounds`` and ``oversample``.
+    Block power rounds on A'A, with an eigenproblem inside the block, until
+    every pair kept satisfies ``|A'A v - s^2 v| <= tolerance * s^2``; the error of
+    s is then of the order of the tolerance squared.  k is cut down to the rank;
+    a zero matrix gives empty frames.  If ``max_rounds`` do not suffice it raises.
     """
-    size = k + oversample
-    block = power_rounds(entries, cut_lineage(start_block(entries, size, seed)), size, rounds)
-    image = cut_lineage(_half_step(entries, block, "row", "col", size))
-    values, vectors = np.linalg.eigh(gram_matrix(image, F.col("vec"), size))
-    order = np.argsort(values)[::-1][:k]
-    s = np.sqrt(np.clip(values[order], 0.0, None))
-    rotation = vectors[:, order]
-    keep = s > 1e-9 * max(s[0], 1e-300)
-    s, rotation = s[keep], rotation[:, keep]
+    oversample = max(8, k) if oversample is None else oversample
+    spark = entries.sparkSession
+    entries = entries.filter("v <> 0")
+    width = entries.select("col").distinct().limit(k + oversample).count()
+    if not width:
+        empty = spark.createDataFrame([], "id long, vec array<double>")
+        return Decomposition(empty, spark.createDataFrame([], "col int, s double"), empty)
+    start = written(start_block(entries, width, seed))
+    block, image, values, rotation = power_rounds(entries, start, width, max_rounds, k, tolerance)
+    if image is None:
+        raise ArithmeticError(f"no convergence in {max_rounds} rounds")
+    s, rotation = np.sqrt(values[:k]), rotation[:, :k]
     v = _times(block, rotation)
-    # The sign rule needs, per column, the entry of largest magnitude only.
-    peaks = v.agg(*[F.max_by(F.col("vec")[j], F.abs(F.col("vec")[j])) for j in range(len(s))]).first()
-    sign = np.where(np.array(peaks) < 0, -1.0, 1.0)
-    u = _times(image, rotation * sign / s)
-    sigma = entries.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(s)], "col int, s double")
-    return Decomposition(u, sigma, _times(block, rotation * sign))
+    sign = np.where(_peaks(v, len(s)) < 0, -1.0, 1.0)
+    sigma = spark.createDataFrame([(i, float(x)) for i, x in enumerate(s)], "col int, s double")
+    return Decomposition(_times(image, rotation * sign / s), sigma, _times(block, rotation * sign))
+
+
+def _peaks(rows: DataFrame, k: int) -> np.ndarray:
+    """Per column the entry of largest magnitude, of equal ones the largest; one row per task and column is compared."""
+
+    def best(batches):
+        peak = np.zeros(k)
+        for batch in batches:
+            if batch.num_rows:
+                table = np.vstack([_vectors(batch.column(0), k), peak])
+                peak = table[np.lexsort((table, np.abs(table)), axis=0)[-1], np.arange(k)]
+        yield pa.record_batch([pa.array(np.arange(k, dtype=np.int32)), pa.array(peak)], names=["pos", "value"])
+
+    found = rows.select("vec").mapInArrow(best, "pos int, value double")
+    most = found.groupBy("pos").agg(F.max(F.struct(F.abs("value").alias("size"), "value"))["value"].alias("value"))
+    out = np.zeros(k)
+    for r in most.collect():
+        out[r["pos"]] = r["value"]
+    return out
 
 
 def top_per_concept(rows: DataFrame, concepts: int, n: int, descending: bool) -> DataFrame:
@@ -174,13 +285,13 @@ def top_docs_per_concept(u: DataFrame, docs: DataFrame, concepts: int = 4, n: in
 def _named(scored: DataFrame, names: DataFrame) -> DataFrame:
     """Add ``name`` for the few scored ids; an id without a name is kept.
 
-    The scores are a bounded number of rows.  They are stored first, because
-    they are used twice and come from a scan of a whole matrix.
+    The scores are a few rows per concept or query.  They are gathered first,
+    because they are used twice and come from a scan of a whole matrix.
     """
-    scored = cut_lineage(scored)
+    scored = scored.sparkSession.createDataFrame(scored.toArrow())
     few = F.broadcast(scored.select("id").distinct())
     wanted = names.select("id", "name").join(few, "id", "left_semi")
-    return scored.join(wanted, "id", "left")
+    return scored.join(F.broadcast(wanted), "id", "left")
 
 
 def concept_report(terms: DataFrame, docs: DataFrame) -> DataFrame:

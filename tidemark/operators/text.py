@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import is_only_letters, letter_tokens, strip_html, strip_wiki_markup
-from tidemark.operators.joins import lookup_join, salted_join
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.stats import dense_index
 
 MIN_LENGTH = 3
@@ -70,6 +73,41 @@ def term_freq(terms: DataFrame) -> DataFrame:
     return terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
+def doc_terms(docs: DataFrame, stopwords: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, term, tf, terms_in_doc)`` straight from texts, without a shuffle.
+
+    The same as ``tokenize``, ``term_filter`` and ``term_freq`` in a row, with
+    lower-case terms of three letters or more.  A document is one row, so its
+    terms are counted where it lies.  The stopwords are a list for people to read
+    and write, and are sent along.
+    """
+    stop = F.lit([r["word"] for r in stopwords.select("word").distinct().collect()]).cast("array<string>")
+    wanted = F.filter(
+        letter_tokens(F.col(text)), lambda t: (F.length(t) >= MIN_LENGTH) & is_only_letters(t) & ~F.array_contains(stop, t)
+    )
+    rows = docs.select(F.col(key).alias("doc_id"), F.transform(wanted, F.lower).alias("terms"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_count_terms, f"doc_id {kind}, term string, tf long, terms_in_doc long")
+
+
+def _count_terms(batches):
+    """Distinct terms of each row's list with their counts; a few thousand rows at a time."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 256):
+            batch = whole.slice(start, 256)
+            lists = batch.column(1)
+            coded = lists.flatten().dictionary_encode()
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            pairs = owner.astype(np.int64) * max(len(coded.dictionary), 1) + np.asarray(coded.indices)
+            found, n = np.unique(pairs, return_counts=True)
+            row, term = np.divmod(found, max(len(coded.dictionary), 1))
+            yield pa.record_batch(
+                [batch.column(0).take(pa.array(row)), coded.dictionary.take(pa.array(term)), pa.array(n), pa.array(sizes[row].astype(np.int64))],
+                names=["doc_id", "term", "tf", "terms_in_doc"],
+            )
+
+
 def term_freq_maps(tf: DataFrame) -> DataFrame:
     """One map per document; its size is bounded by the document's own text."""
     pairs = F.sort_array(F.collect_list(F.struct("term", F.col("tf").cast("int").alias("tf"))))
@@ -102,15 +140,14 @@ def term_ids(df: DataFrame) -> DataFrame:
     return dense_index(df, [F.desc("df"), F.asc("term")], "term_id")
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, idf_is_stored: bool = False) -> DataFrame:
+def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """Weights ``(doc_id, term, ..., w)`` for the terms of ``idf``.
 
     ``tf`` is read more than once; store it first when it comes from a long plan.
     A document's length counts all its terms, also those outside the
-    vocabulary.  Widespread terms are salted in the join on terms; an ``idf`` that
-    is stored already, so that counting it is cheap, is broadcast when small.
+    vocabulary.  It is taken from ``terms_in_doc`` where ``tf`` has it already.
     """
-    totals = tf.groupBy("doc_id").agg(F.sum("tf").alias("terms_in_doc"))
-    join = lookup_join if idf_is_stored else salted_join
-    known = join(tf, idf, ["term"], "inner")
-    return known.join(totals, "doc_id").withColumn("w", F.col("tf") / F.col("terms_in_doc") * F.col("idf"))
+    if "terms_in_doc" not in tf.columns:
+        tf = tf.join(tf.groupBy("doc_id").agg(F.sum("tf").alias("terms_in_doc")), "doc_id")
+    known = lookup_join(tf, idf, ["term"], "inner")
+    return known.withColumn("w", F.col("tf") / F.col("terms_in_doc") * F.col("idf"))

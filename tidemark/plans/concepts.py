@@ -215,12 +215,12 @@ def svd_power_iter(spark, folder):
     """Two rounds of the block iteration with one column, from all ones."""
     entries = matrix.to_entries(rows(spark, folder))
     ones = entries.select(F.col("col").alias("id")).distinct().withColumn("vec", F.array(F.lit(1.0)))
-    out = lsa.power_rounds(entries, ones, 1, 2)
+    out = lsa.power_rounds(entries, ones, 1, 2)[0]
     return out.select(F.col("id").alias("col"), rounded(F.col("vec")[0], 8).alias("x"))
 
 
 @query("lsa_concepts")
 def lsa_concepts(spark, folder):
     """The whole text job: concepts of the documents with their terms."""
-    report, _, _ = concept_analysis(docs(spark, folder), stopwords(spark), rounds=3)
+    report, _, _ = concept_analysis(docs(spark, folder), stopwords(spark))
     return report

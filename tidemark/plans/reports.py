@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import lsa, risk, stats, text
 from tidemark.operators.orderstat import lower_tail
-from tidemark.session import cut_lineage
+from tidemark.session import written
 
 
 def risk_report(
@@ -54,26 +54,30 @@ def concept_analysis(
     docs: DataFrame,
     stopwords: DataFrame,
     concepts: int = 4,
-    vocabulary: int = 50_000,
+    vocabulary: int | None = None,
     lemmas: DataFrame | None = None,
-    rounds: int = 6,
+    rank: int | None = None,
     terms_shown: int = 10,
 ) -> tuple[DataFrame, lsa.Decomposition, DataFrame]:
     """From texts ``(doc_id, text)`` to a concept report.
 
     Gives the report, the decomposition and the vocabulary ``(id, term, idf)``.
+    ``rank`` is that of the decomposition, ``concepts`` the number shown.  All
+    terms take part unless ``vocabulary`` asks for the most widespread ones.
     """
-    tokens = text.tokenize(docs)
-    if lemmas is not None:
-        tokens = text.lemmatize(tokens, lemmas)
     # The counts are read several times; written once, the texts are not parsed again.
-    tf = cut_lineage(text.term_freq(text.term_filter(tokens, stopwords)))
-    df = text.top_vocabulary(text.doc_freq(tf), vocabulary)
-    terms = stats.dense_index(text.idf(df, docs), [F.desc("df"), F.asc("term")], "id")
-    entries = text.tfidf(tf, terms, idf_is_stored=True).select(
+    if lemmas is None:
+        tf = written(text.doc_terms(docs, stopwords))
+    else:
+        tf = written(text.term_freq(text.term_filter(text.lemmatize(text.tokenize(docs), lemmas), stopwords)))
+    df = text.doc_freq(tf)
+    if vocabulary is not None:
+        df = text.top_vocabulary(df, vocabulary)
+    terms = written(stats.dense_index(text.idf(df, docs), [F.desc("df"), F.asc("term")], "id"))
+    entries = text.tfidf(tf, terms).select(
         F.col("doc_id").alias("row"), F.col("id").alias("col"), F.col("w").alias("v")
     )
-    found = lsa.subspace_svd(cut_lineage(entries), concepts, rounds)
+    found = lsa.subspace_svd(written(entries), rank or concepts)
     names = terms.select("id", F.col("term").alias("name"))
     doc_names = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("name"))
     report = lsa.concept_report(

@@ -30,7 +30,7 @@ def terms(spark, folder):
 
 
 def counts(spark, folder):
-    return text.term_freq(terms(spark, folder))
+    return text.doc_terms(table(spark, folder, "documents").select("doc_id", "text"), stopwords(spark))
 
 
 def stored_counts(spark, folder):
@@ -81,7 +81,7 @@ def term_filter(spark, folder):
 
 @query("term_freq", f"WITH {COUNTS} SELECT doc_id, term, tf FROM tf")
 def term_freq(spark, folder):
-    return counts(spark, folder)
+    return counts(spark, folder).select("doc_id", "term", "tf")
 
 
 @query("doc_freq", f"WITH {COUNTS} SELECT term, df FROM df")
