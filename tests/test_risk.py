@@ -106,10 +106,10 @@ def test_interval_positions():
     assert risk.interval_positions(1, 0.05) == (0, 0)
 
 
-def test_trial_ids_leave_out_a_rest(spark):
-    ids = risk.trial_ids(spark, 1003, 10)
-    assert ids.count() == 1000
-    assert ids.select(F.spark_partition_id()).distinct().count() == 10
+@pytest.mark.parametrize("trials, partitions", [(1003, 10), (10, 16), (0, 4)])
+def test_all_trials_whatever_the_partitions(spark, trials, partitions):
+    assert risk.trial_ids(spark, trials, partitions).count() == trials
+
 
 
 def counts(spark, total, failed):

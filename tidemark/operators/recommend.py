@@ -6,7 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import arrays
-from tidemark.session import cut_lineage
+from tidemark.operators.gram import gram_matrix
 
 # Settings of the training run.
 RANK, ITERATIONS, REGULARIZATION, ALPHA = 10, 20, 0.01, 50.0
@@ -66,7 +66,7 @@ def recommend_products(model: ALSModel, user: int, n: int = 5) -> DataFrame:
 def with_names(recommended: DataFrame, names: DataFrame) -> DataFrame:
     """Add item names, keeping the rank and items that have no name."""
     # The recommendations are a handful of rows, bounded by n, and used twice.
-    recommended = cut_lineage(recommended)
+    recommended = recommended.sparkSession.createDataFrame(recommended.toArrow())
     named = names.select(F.col("id").alias("item"), "name")
     matched = named.join(F.broadcast(recommended.select("item")), "item", "left_semi")
     return recommended.join(matched, "item", "left")
@@ -75,24 +75,25 @@ def with_names(recommended: DataFrame, names: DataFrame) -> DataFrame:
 def normal_equation_gap(
     ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame, reg: float, alpha: float
 ) -> DataFrame:
-    """How far rank-one user factors are from their closed form, largest relative gap.
+    """``(users, gap)``: how far user factors are from solving their normal equations, relative to the largest right side.
 
-    User factors are solved last, so with y the item factors each must equal
-    sum((1 + alpha r) y) / (sum(y^2) + sum(alpha r y^2) + reg * n).
+    User factors are solved last, so with item factors y and any number of
+    ratings each u must satisfy
+    (sum of y y' + sum of alpha r y y' over the rated + reg n) u = sum of (1 + alpha r) y over the rated.
     """
-    y = item_factors.select(F.col("id").alias("item"), F.col("features")[0].cast("double").alias("y"))
-    u = user_factors.select(F.col("id").alias("user"), F.col("features")[0].cast("double").alias("u"))
-    all_items = y.agg(F.sum(F.col("y") * F.col("y"))).scalar()
+    y = item_factors.select(F.col("id").alias("item"), F.col("features").cast("array<double>").alias("y"))
+    u = user_factors.select(F.col("id").alias("user"), F.col("features").cast("array<double>").alias("u"))
+    rank = u.select(F.size("u")).first()[0]
+    whole = gram_matrix(y, F.col("y"), rank)
     r = F.col("rating").cast("double") * F.lit(alpha)
-    sums = (
-        ratings.join(y, "item")
-        .groupBy("user")
-        .agg(
-            F.sum((1.0 + r) * F.col("y")).alias("b"),
-            F.sum(r * F.col("y") * F.col("y")).alias("a"),
-            F.count("*").alias("n"),
-        )
-    )
-    expected = F.col("b") / (F.col("a") + all_items + F.lit(reg) * F.col("n"))
-    gap = F.abs(F.col("u") - expected) / F.greatest(F.abs(expected), F.lit(1e-12))
-    return sums.join(u, "user").agg(F.count("*").alias("users"), F.max(gap).alias("gap"))
+    rated = ratings.join(y, "item").join(u, "user").withColumn("p", r * arrays.dot(F.col("y"), F.col("u")))
+    left = [F.sum(F.col("p") * F.col("y")[j]).alias(f"a{j}") for j in range(rank)]
+    right = [F.sum((1.0 + r) * F.col("y")[j]).alias(f"b{j}") for j in range(rank)]
+    sums = rated.groupBy("user").agg(F.count("*").alias("n"), F.first("u").alias("u"), *left, *right)
+    gaps = []
+    for j in range(rank):
+        all_items = sum((F.lit(float(whole[j, i])) * F.col("u")[i] for i in range(rank)), F.lit(0.0))
+        gaps.append(F.abs(all_items + F.col(f"a{j}") + F.lit(reg) * F.col("n") * F.col("u")[j] - F.col(f"b{j}")))
+    size = F.greatest(*[F.abs(F.col(f"b{j}")) for j in range(rank)], F.lit(1e-12))
+    worst = F.greatest(*gaps, F.lit(0.0)) / size
+    return sums.agg(F.count("*").alias("users"), F.max(worst).alias("gap"))

@@ -134,8 +134,12 @@ def portfolio_weights(weights: DataFrame) -> list[float]:
     """Sum of the weight vectors, 1 + 3m numbers.
 
     The return of a portfolio is linear in the weights, so a trial needs only
-    this sum and not every instrument.
+    this sum and not every instrument.  An instrument whose weights are NULL
+    would be missing from the sum, so it is an error, as is a portfolio of none.
     """
+    instruments, solved = weights.agg(F.count("*"), F.count("weights")).first()
+    if not solved or solved < instruments:
+        raise ValueError(f"{instruments - solved} of {instruments} instruments have no weights")
     rows = (
         weights.select(F.posexplode("weights").alias("j", "w"))
         .groupBy("j")

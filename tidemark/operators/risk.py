@@ -14,12 +14,13 @@ from tidemark.operators.orderstat import FEW_ROWS, Tail, lower_tail
 from tidemark.operators.regression import FactorModel
 from tidemark.session import cut_lineage
 
+# Fixed value: the tail is a twentieth of the trials.
 TAIL_DIVISOR = 20
 
 
 def trial_ids(spark: SparkSession, trials: int, partitions: int) -> DataFrame:
-    """Ids of the trials, the same number in each partition; a rest is left out."""
-    return spark.range(0, trials // partitions * partitions, 1, partitions).withColumnRenamed("id", "trial_id")
+    """Ids of all the trials; the number does not depend on the partitions."""
+    return spark.range(0, trials, 1, partitions).withColumnRenamed("id", "trial_id")
 
 
 def factor_draws(ids: DataFrame, id_column: str, model: FactorModel, seed: int) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import lsa, matrix, text
+from tidemark.operators.gram import gram_matrix
 from tidemark.plans.catalog import query, rounded, table
 from tidemark.plans.reports import concept_analysis
 from tidemark.plans.terms import COUNTS, counts, docs, stopwords
@@ -224,3 +226,43 @@ def lsa_concepts(spark, folder):
     """The whole text job: concepts of the documents with their terms."""
     report, _, _ = concept_analysis(docs(spark, folder), stopwords(spark))
     return report
+
+
+@query(
+    "svd_laws",
+    f"""
+    WITH {M},
+    g AS (SELECT p.j AS i, q.j AS j, sum(p.v * q.v) AS g FROM m p JOIN m q ON p.id = q.id GROUP BY 1, 2)
+    SELECT round(sum(g * g) / sum(CASE WHEN i = j THEN g END) / sum(CASE WHEN i = j THEN g END), 8) AS fourth, true AS orthonormal FROM g
+    """,
+)
+def svd_laws(spark, folder):
+    """At full rank the fourth powers of the singular values add up to the squared length of A'A, and V is orthonormal."""
+    found = lsa.svd(rows(spark, folder), WIDTH)
+    v = gram_matrix(found.v, F.col("vec"), WIDTH)
+    square = F.sum(F.col("s") ** 2)
+    out = found.s.agg(rounded(F.sum(F.col("s") ** 4) / square / square, 8).alias("fourth"))
+    return out.withColumn("orthonormal", F.lit(bool(np.abs(v - np.eye(WIDTH)).max() < 1e-8)))
+
+
+@query(
+    "lsa_laws",
+    f"""
+    WITH {COUNTS}, some AS (SELECT term FROM idf WHERE idf > 0)
+    SELECT (SELECT count(*) FROM some) AS terms, (SELECT count(DISTINCT doc_id) FROM tf WHERE term IN (SELECT term FROM some)) AS documents,
+           true AS orthonormal, true AS satisfied
+    """,
+)
+def lsa_laws(spark, folder):
+    """The decomposition of the text job: every term and document has its row, both sides are orthonormal, and A v = s u."""
+    _, found, terms = concept_analysis(docs(spark, folder), stopwords(spark))
+    k = found.s.count()
+    off = [np.abs(gram_matrix(side, F.col("vec"), k) - np.eye(k)).max() for side in (found.u, found.v)]
+    tf = counts(spark, folder).join(terms.select("id", "term", "idf"), "term")
+    entries = tf.select(F.col("doc_id").alias("row"), F.col("id").alias("col"), (F.col("tf") / F.col("terms_in_doc") * F.col("idf")).alias("v"))
+    image = lsa._half_step(entries, found.v, "row", "col", k).select("id", F.col("vec").alias("av"))
+    s = [r["s"] for r in found.s.orderBy("col").collect()]
+    gap = F.greatest(*[F.abs(F.col("av")[j] - F.lit(s[j]) * F.col("vec")[j]) for j in range(k)], F.lit(0.0))
+    worst = found.u.join(image, "id").agg(F.max(gap)).first()[0]
+    row = (found.v.count(), found.u.count(), bool(max(off) < 1e-6), bool(worst < 1e-6 * s[0]))
+    return spark.createDataFrame([row], "terms long, documents long, orthonormal boolean, satisfied boolean")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import clustering
@@ -103,3 +104,28 @@ def kmeans_final(spark, folder):
 @query("k_sweep")
 def k_sweep(spark, folder):
     return clustering.k_sweep(points(spark, folder))
+
+
+@query("kmeans_fit_laws", "SELECT count(*) AS n, true AS nearest, true AS no_worse_than_one FROM embeddings")
+def kmeans_fit_laws(spark, folder):
+    """Of the fit with two clusters: every point counts, is at its nearest centre, and the cost is not above that of one centre."""
+    pts = points(spark, folder)
+    rows = clustering.centers(clustering.fit(pts))
+    table, mean = np.array(rows), clustering.mean_by(pts.withColumn("one", F.lit(1)), "one", WIDTH).first()["center"]
+    cell = lambda c: sum(((F.col("features")[j] - F.lit(float(c[j]))) ** 2 for j in range(WIDTH)), F.lit(0.0))
+    best = F.least(*[cell(c) for c in table])
+    out = clustering.assign(pts, rows).select("distance", best.alias("best"), cell(mean).alias("one"))
+    return out.agg(
+        F.count("*").alias("n"),
+        (F.max(F.abs(F.col("distance") ** 2 - F.col("best"))) < 1e-6).alias("nearest"),
+        (F.sum("best") <= F.sum("one")).alias("no_worse_than_one"),
+    )
+
+
+@query("k_sweep_laws", f"SELECT unnest({list(clustering.SWEEP)}) AS k, true AS no_worse_than_one")
+def k_sweep_laws(spark, folder):
+    """Every swept number of clusters has a score, and none is above that of one centre."""
+    pts = points(spark, folder)
+    mean = clustering.mean_by(pts.withColumn("one", F.lit(1)), "one", WIDTH).first()["center"]
+    one = clustering.clustering_score(pts, [list(mean)]).first()["score"]
+    return clustering.k_sweep(pts).select("k", (F.col("score") <= one + 1e-9).alias("no_worse_than_one"))

@@ -14,6 +14,7 @@ from tidemark.plans.reports import risk_report as build_risk_report
 from tidemark.plans.series import OLS, matrix, stock_returns
 from tidemark.session import cut_lineage
 
+# Base seed and number of resamples.
 SEED = 1001
 RESAMPLES = 100
 
@@ -22,7 +23,7 @@ PNL_SQL = "pnl AS (SELECT l_extendedprice - 1000 * l_quantity AS x FROM lineitem
 
 
 def pnl(spark, folder):
-    li = spread(spark, folder, "lineitem", "l_extendedprice", "l_quantity")
+    li = table(spark, folder, "lineitem")
     return li.select((F.col("l_extendedprice") - 1000 * F.col("l_quantity")).alias("x"))
 
 
@@ -182,7 +183,7 @@ def bootstrap_stats(spark, folder):
 )
 def bootstrap_ci(spark, folder):
     out = risk.bootstrap_tails(order_sample(spark, folder), "id", "x", RESAMPLES, seed=1)
-    out = cut_lineage(out)  # one row per resample, used twice
+    out = spark.createDataFrame(out.toArrow())  # one row per resample, used twice
     both = risk.confidence_interval(out, "var", RESAMPLES).unionByName(risk.confidence_interval(out, "cvar", RESAMPLES))
     return both.withColumns({"lower": rounded("lower", 4), "upper": rounded("upper", 4)})
 

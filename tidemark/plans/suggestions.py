@@ -61,8 +61,8 @@ def als_fit(spark, folder):
 
 @query("als_factors")
 def als_factors(spark, folder):
-    """Item factors as text after a short fit."""
-    return recommend.factors_as_text(recommend.fit_implicit(plays(spark, folder), iterations=5).itemFactors)
+    """Item factors as text."""
+    return recommend.factors_as_text(recommend.fit_implicit(plays(spark, folder)).itemFactors)
 
 
 @query(
@@ -74,9 +74,29 @@ def als_factors(spark, folder):
 )
 def als_rank1_step(spark, folder):
     """After a rank-one fit the user factors satisfy their normal equations."""
+    return factor_gap(spark, folder, rank=1, iterations=5)
+
+
+def factor_gap(spark, folder, **options):
+    """Users, and the largest gap in the normal equations that the last half step has solved."""
     ratings = plays(spark, folder).persist()
-    model = recommend.fit_implicit(ratings, rank=1, iterations=5)
-    out = recommend.normal_equation_gap(
-        ratings, model.userFactors, model.itemFactors, recommend.REGULARIZATION, recommend.ALPHA
-    )
-    return out.select("users", rounded("gap", 3).alias("gap"))
+    try:
+        model = recommend.fit_implicit(ratings, **options)
+        out = recommend.normal_equation_gap(
+            ratings, model.userFactors, model.itemFactors, recommend.REGULARIZATION, recommend.ALPHA
+        )
+        return spark.createDataFrame(out.select("users", rounded("gap", 2).alias("gap")).toArrow())  # one row
+    finally:
+        ratings.unpersist()
+
+
+@query(
+    "als_fit_gap",
+    """
+    SELECT count(DISTINCT o_custkey) AS users, CAST(0 AS DOUBLE) AS gap
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
+)
+def als_fit_gap(spark, folder):
+    """The same after the whole fit of ``als_factors``."""
+    return factor_gap(spark, folder)

@@ -10,6 +10,8 @@ from tidemark.plans.grouping import NEAREST, assigned
 from tidemark.plans.inputs import points
 
 CLASSES = 10
+# Bins of a feature whose values are tenths between -12 and 12.
+TENTHS = 256
 
 # The nearest label centre serves as a prediction that SQL can repeat.
 PREDICTED = NEAREST + ", pred AS (SELECT vec_id, label, c AS prediction FROM near)"
@@ -65,7 +67,7 @@ def accuracy(spark, folder):
 @query(
     "tree_best_split",
     """
-    WITH pts AS (SELECT CAST(i - 1 AS INTEGER) AS feature, CAST(embedding[i] AS DOUBLE) AS x,
+    WITH pts AS (SELECT CAST(i - 1 AS INTEGER) AS feature, round(CAST(embedding[i] AS DOUBLE), 1) AS x,
                         CASE WHEN label >= 5 THEN 1 ELSE 0 END AS y FROM embeddings, range(1, 65) t(i)),
     bins AS (SELECT feature, x, count(*) AS n, sum(y) AS p FROM pts GROUP BY 1, 2),
     cum AS (
@@ -80,10 +82,10 @@ def accuracy(spark, folder):
     """,
 )
 def tree_best_split(spark, folder):
-    """First split of a one-level tree with a bin per value, on a binary label."""
-    pts = points(spark, folder).withColumn("label", (F.col("label") >= 5).cast("double"))
-    bins = max(pts.count() + 1, 2)
-    feature, threshold = classify.root_split(classify.fit_tree(pts, "gini", 1, bins))
+    """First split of a one-level tree on a binary label; the values are in tenths, so a fixed number of bins holds them all."""
+    tenths = F.transform("features", lambda x: F.round(x.cast("double"), 1))
+    pts = points(spark, folder).withColumns({"label": (F.col("label") >= 5).cast("double"), "features": tenths})
+    feature, threshold = classify.root_split(classify.fit_tree(pts, "gini", 1, TENTHS))
     return pts.limit(1).select(F.lit(feature).alias("feature"), rounded(F.lit(threshold), 10).alias("threshold"))
 
 
@@ -111,3 +113,28 @@ def tree_refit(spark, folder):
     return classify.refit(*split(spark, folder))
 
 
+@query("tree_fit_laws", "SELECT true AS all_counted, true AS no_worse_than_prior")
+def tree_fit_laws(spark, folder):
+    """On its own training points a tree is at least as often right as the most frequent label."""
+    train, _, _ = split(spark, folder)
+    train = train.persist()
+    try:
+        found = classify.predict(classify.fit_tree(train), train)
+        prior = train.groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
+        hits, counted = classify.confusion(found).agg(
+            F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)), F.sum("n")
+        ).first()
+    finally:
+        train.unpersist()
+    return spark.createDataFrame([(counted == prior[1], hits >= prior[0])], "all_counted boolean, no_worse_than_prior boolean")
+
+
+@query("tree_grid_laws", "SELECT CAST(8 AS BIGINT) AS settings, true AS in_range")
+def tree_grid_laws(spark, folder):
+    """The grid has every setting once, each with an accuracy."""
+    train, held_out, _ = split(spark, folder)
+    grid = classify.grid_search(train, held_out)
+    return grid.agg(
+        F.countDistinct(*[c for c in grid.columns if c != "accuracy"]).alias("settings"),
+        F.bool_and(F.col("accuracy").between(0, 1)).alias("in_range"),
+    )

@@ -74,10 +74,17 @@ def parse_id_name(lines: DataFrame) -> DataFrame:
 def parse_alias(lines: DataFrame, line_no: str | None = None, on_error: str = FAIL) -> DataFrame:
     """``bad<TAB>good`` id lines; the last line of a bad id wins.
 
-    ``line_no`` names a column with the line order.  Without it the order of
-    the scan is used.
+    ``line_no`` names a column with the line order.  Without it lines of a file
+    scan go by file, block and place in the block; other frames have no order of
+    their own and need the column.
     """
-    order = F.col(line_no) if line_no else F.monotonically_increasing_id()
+    if line_no:
+        order = F.col(line_no)
+    elif lines.inputFiles():
+        place = F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
+        order = place
+    else:
+        order = F.monotonically_increasing_id()
     split = lines.select("value", order.alias("line_no"), split_fields(F.col("value"), "\t").alias("f"))
     split = split.filter(F.col("f")[0] != "")
     second = F.try_element_at(F.col("f"), F.lit(2))
