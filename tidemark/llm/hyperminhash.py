@@ -7,14 +7,15 @@ from their registers, less the agreements that chance explains, and those near
 enough are verified on their full shingle sets.
 
 Documents with one set are one class, represented by its smallest id, before
-anything is compared. Buckets never yield all their pairs: the first round links
-each member to the first of its bucket and to the one before it. Where a bucket
-then still falls into several components, its members are compared across these
-on registers, block by block, in rounds that stop when no untried pair is left.
-So every pair that shares a band is either in one component, or verified, or
-estimated below ``ESTIMATE``. With 42 bands of 6 registers a pair of Jaccard
-similarity 0.8 shares none with a chance of 3e-6; the estimate's standard error
-there is 0.025, so a cut at 0.68 is almost five of them below.
+anything is compared. Buckets never yield all their pairs: each member is tried
+with the first of its buckets and with the one before it, of these with the two
+that it shares most bands with. Where a bucket then still falls into several
+components, its members are compared across these inside the task, registers
+first and sets next, block by block, and only links come out. So every pair that
+shares a band is in one component, or estimated below ``ESTIMATE``, or verified
+not to be linked. With 42 bands of 6 registers a pair of Jaccard similarity 0.8
+shares none with a chance of 3e-6; the estimate's standard error there is 0.025,
+and the cut at 0.7 is four of them below.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ from tidemark.session import written
 
 REGISTERS, MANTISSA = 256, 10
 BANDS, ROWS = 42, 6
-ESTIMATE = 0.68
+ESTIMATE = 0.7
 #: Sets of up to this many shingles fill each bucket by a hash of its own, larger ones split one hash among the buckets.
 SMALL = 512
-#: Registers of a bucket of more members are compared in pairs of blocks of this many.
-BLOCK = 2048
+#: A bucket of more members is compared in pairs of blocks of about this many.
+BLOCK = 512
 _RANDOM = np.random.default_rng(99)
 _SCALE = _RANDOM.integers(1, 2**63, REGISTERS, dtype=np.uint64) | np.uint64(1)
 _SHIFT = _RANDOM.integers(1, 2**63, REGISTERS, dtype=np.uint64)
@@ -66,9 +67,10 @@ def large_registers(items: np.ndarray) -> np.ndarray:
 
 
 def band_keys(registers: np.ndarray, scheme: int) -> np.ndarray:
-    """A key per band; bands of empty buckets alone have none."""
+    """A key per band, its number in the first byte; bands of empty buckets alone have none."""
     rows = registers[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    keys = mix((rows * _BAND[scheme]).sum(axis=1) + np.arange(BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(scheme))
+    number = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * scheme)
+    keys = (number << np.uint64(56)) | (mix((rows * _BAND[scheme]).sum(axis=1)) >> np.uint64(8))
     return keys[rows.any(axis=1)]
 
 
@@ -97,8 +99,8 @@ def signatures(width: int):
             n, d1, d2, small, large, bands = [], [], [], [], [], []
             for items in shingle_sets(batch.column(1), width):
                 n.append(len(items))
-                d1.append(int(mix(items).sum(dtype=np.uint64)) if len(items) else 0)
-                d2.append(int(mix(items ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64)) if len(items) else 0)
+                d1.append(_digest(items))
+                d2.append(_digest(items ^ np.uint64(0x5BD1E995)))
                 s = small_registers(items) if 0 < len(items) <= SMALL * 5 // 4 else None
                 b = large_registers(items) if len(items) >= SMALL * 4 // 5 else None
                 small.append(None if s is None else s.tobytes())
@@ -107,8 +109,7 @@ def signatures(width: int):
                 bands.append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, dtype=np.int64))
             ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
             flat = np.concatenate(bands) if bands else np.zeros(0, dtype=np.int64)
-            signed = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-            columns = [batch.column(0), pa.array(n, pa.int64()), signed(d1), signed(d2), pa.array(small, pa.binary()), pa.array(large, pa.binary())]
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(small, pa.binary()), pa.array(large, pa.binary())]
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*columns, lists], ["id", "n_shingles", "d1", "d2", "small", "large", "bands"])
 
@@ -137,141 +138,162 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([col["a"].take(pick), col["b"].take(pick)], ["a", "b"])
 
 
+def _digest(items: np.ndarray) -> int:
+    return int(mix(items).sum(dtype=np.uint64).astype(np.int64)) if len(items) else 0
+
+
 def _sets(width: int):
-    """Arrow batches of ``id, text`` to ``id, items``: the sorted shingle set as bytes, a few at a time."""
+    """Arrow batches of ``id, text`` to ``id, d1, items``: the sorted shingle set as bytes, a few at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, items, held, lo = batch.column(0), [], 0, 0
+            ids, digests, items, held, lo = batch.column(0), [], [], 0, 0
+            made = lambda: pa.RecordBatch.from_arrays(
+                [ids.slice(lo, len(items)), pa.array(digests, pa.int64()), pa.array(items, pa.binary())], ["id", "d1", "items"]
+            )
             for s in shingle_sets(batch.column(1), width):
                 items.append(s.tobytes())
+                digests.append(_digest(s))
                 held += len(items[-1])
                 if held > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([ids.slice(lo, len(items)), pa.array(items, pa.binary())], ["id", "items"])
-                    lo, items, held = lo + len(items), [], 0
-            yield pa.RecordBatch.from_arrays([ids.slice(lo, len(items)), pa.array(items, pa.binary())], ["id", "items"])
+                    yield made()
+                    lo, items, digests, held = lo + len(items), [], [], 0
+            yield made()
 
     return run
 
 
+def _linked(x: pa.Scalar, y: pa.Scalar, percent: int) -> bool:
+    """Whether two sorted sets have enough in common."""
+    x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < percent * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _verified(percent: int):
-    """Pairs with both sets to ``a, b, linked``."""
+    """Pairs with both sets to those that are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                common = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(x) else 0
-                linked.append(100 * common >= percent * (len(x) + len(y) - common) and common > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+            keep = pa.array([_linked(x, y, percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
 
     return run
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """``a, b, linked`` for pairs of ids, on the full shingle sets of ``texts`` (``id, text``).
-
-    Only the texts that a pair names are hashed again; a set moves once per pair it is in.
-    """
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = written(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_sets(width), "id long, items binary"))
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("a_items")), "a")
-    both = with_a.join(sets.select(F.col("id").alias("b"), F.col("items").alias("b_items")), "b").select("a", "b", "a_items", "b_items")
-    # A document id that stands for several texts is linked if one of them is.
-    return both.mapInArrow(_verified(percent), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of the pairs that are linked on their full shingle sets (``id, items``); a set moves once per pair it is in."""
+    side = lambda s: sets.select(F.col("id").alias(s), F.col("items").alias(f"{s}_items")).hint("merge")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_items", "b_items")
+    return both.mapInArrow(_verified(percent), "a long, b long").distinct()
 
 
-def estimated(pairs: DataFrame, features: DataFrame) -> DataFrame:
+def estimated(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """The pairs whose registers look similar enough to be verified."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    small = features.join(ids, "id", "left_semi").select("id", "n_shingles", "small", "large")
-    side = lambda s: small.select(F.col("id").alias(s), F.col("n_shingles").alias(f"{s}_n"), F.col("small").alias(f"{s}_small"), F.col("large").alias(f"{s}_large"))
+    side = lambda s: known.select(
+        F.col("id").alias(s), F.col("n_shingles").alias(f"{s}_n"), F.col("small").alias(f"{s}_small"), F.col("large").alias(f"{s}_large")
+    )
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near, "a long, b long").distinct()
 
 
-def _across(most: int | None):
-    """Runs of one block pair, in order, to pairs of different components that may be similar and were not tried."""
+def _first_shared(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Number of the first band that each row of registers shares with ``x``, or ``2 * BANDS``."""
+    mine = x[: BANDS * ROWS].reshape(BANDS, ROWS)
+    same = (rows[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS) == mine).all(axis=2) & mine.any(axis=1)
+    return np.where(same.any(axis=1), same.argmax(axis=1), 2 * BANDS)
 
-    def pairs(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+
+def _across(percent: int):
+    """Rows of each pair of blocks of a bucket, in order, to links between components, as many as join them.
+
+    Members of different components are estimated, in the first bucket that they
+    share, and verified on their sets; components that a link has joined are one
+    from then on.
+    """
+
+    def links(rows: list[pa.RecordBatch]) -> list[tuple[int, int]]:
         t = pa.Table.from_batches(rows).combine_chunks()
         ids, comp, block, n = (t.column(k).to_numpy() for k in ("id", "component", "block", "n_shingles"))
-        one = bool(t.column("i")[0].as_py() == t.column("j")[0].as_py())
-        names, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
+        one, bucket = t.column("i")[0].as_py() == t.column("j")[0].as_py(), t.column("band")[0].as_py() >> 56
+        names, comp, counts = np.unique(comp, return_inverse=True, return_counts=True)
+        joined = list(range(len(names)))
+
+        def root(c: int) -> int:
+            while joined[c] != c:
+                joined[c] = joined[joined[c]]
+                c = joined[c]
+            return c
+
+        kinds = [(np.asarray(t.column(k).is_valid()), _matrix(t.column(k)), k == "large") for k in ("small", "large")]
+        items, out = t.column("items").combine_chunks(), []
+        largest = counts.argmax()
         # A pair across components has a side outside the largest of them.
-        rest = np.flatnonzero(inverse != counts.argmax())
-        kinds = [(np.asarray(t.column(k).is_valid()), _matrix(t.column(k))) for k in ("small", "large")]
-        tried = t.column("tried")
-        left, right = [], []
-        for x in rest:
-            other = comp != comp[x]
+        for x in np.flatnonzero(comp != largest).tolist():
+            other = (comp != comp[x]) & ((comp == largest) | (np.arange(len(ids)) > x))
             if not one:
                 other &= block != block[x]
             at = np.flatnonzero(other)
-            if not len(at):
-                continue
-            likely = np.zeros(len(at))
-            for valid, matrix in kinds:
+            likely, first = np.zeros(len(at)), np.full(len(at), 2 * BANDS)
+            for valid, matrix, large in kinds:
                 if valid[x]:
-                    use = valid[at]
+                    use = np.flatnonzero(valid[at])
                     likely[use] = np.maximum(likely[use], estimate(matrix[at[use]], matrix[x : x + 1], n[at[use]], n[x : x + 1]))
-            keep = likely >= ESTIMATE
-            at, likely = at[keep], likely[keep]
-            before = tried[int(x)].as_py()
-            if before and len(at):
-                fresh = ~np.isin(ids[at], np.array(before))
-                at, likely = at[fresh], likely[fresh]
-            if most is not None and len(at) > most:
-                at = at[np.lexsort((ids[at], -likely))[:most]]
-            left.append(np.minimum(ids[at], ids[x]))
-            right.append(np.maximum(ids[at], ids[x]))
-        if not left:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        return np.concatenate(left), np.concatenate(right)
+                    use = use[likely[use] >= ESTIMATE]
+                    shared = _first_shared(matrix[x], matrix[at[use]])
+                    first[use] = np.minimum(first[use], np.where(shared < BANDS, shared + BANDS * large, 2 * BANDS))
+            keep = (likely >= ESTIMATE) & (first == bucket)
+            for y in at[keep][np.argsort(-likely[keep], kind="stable")].tolist():
+                if root(comp[x]) != root(comp[y]) and _linked(items[x], items[y], percent):
+                    joined[root(comp[x])] = root(comp[y])
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        return out
+
+    def made(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        pairs = np.array(links(rows), dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
         for batch in batches:
             keys = list(zip(*(batch.column(k).to_pylist() for k in ("band", "i", "j")), strict=True))
             lo = 0
-            for hi in range(len(keys) + 1):
+            for hi in range(1, len(keys) + 1):
                 if hi == len(keys) or keys[hi] != keys[lo]:
-                    if lo < hi:
-                        if keys[lo] != key and held:
-                            yield pa.RecordBatch.from_arrays(list(map(pa.array, pairs(held))), ["a", "b"])
-                            held = []
-                        key = keys[lo]
-                        held.append(batch.slice(lo, hi - lo))
+                    if keys[lo] != key:
+                        if held:
+                            yield made(held)
+                        held, key = [], keys[lo]
+                    held.append(batch.slice(lo, hi - lo))
                     lo = hi
         if held:
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, pairs(held))), ["a", "b"])
+            yield made(held)
 
     return run
 
 
-def _open_pairs(members: DataFrame, components: DataFrame, features: DataFrame, tried: DataFrame, most: int | None) -> DataFrame:
-    """Untried pairs of different components that share a band, at most ``most`` per member and bucket (None: all)."""
+def links_across(members: DataFrame, components: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components, from every bucket that still holds more than one.
+
+    Of buckets with the same members only the first is looked at. A bucket of
+    more than ``BLOCK`` members is compared in pairs of blocks.
+    """
     placed = members.join(components, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-    rows = written(placed.join(mixed, "band", "left_semi"))
-    if rows.isEmpty():
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    place = F.row_number().over(Window.partitionBy("band").orderBy("id")) - 1
-    blocks = F.floor((F.count("*").over(Window.partitionBy("band")) - 1) / BLOCK).cast("int")
-    rows = rows.select("band", "id", "component", F.floor(place / BLOCK).cast("int").alias("block"), blocks.alias("last"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    same = [F.count("*").alias("n"), F.sum(F.xxhash64("id") % 2**40).alias("h1"), F.sum(F.xxhash64("id", F.lit(1)) % 2**40).alias("h2")]
+    buckets = placed.groupBy("band").agg(*same, F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    buckets = buckets.groupBy("n", "h1", "h2").agg(F.min("band").alias("band")).select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    rows = placed.join(buckets, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "block")
-    ends = tried.select(F.col("a").alias("id"), F.col("b").alias("p")).union(tried.select("b", "a"))
-    ids = rows.select("id").distinct()
-    known = features.join(ids, "id", "left_semi").select("id", "n_shingles", "small", "large")
-    known = known.join(ends.groupBy("id").agg(F.collect_list("p").alias("tried")), "id", "left")
-    full = rows.join(known, "id").select("band", "i", "j", "id", "component", "block", "n_shingles", "small", "large", "tried")
-    n = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    full = full.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j", "id")
-    return full.mapInArrow(_across(most), "a long, b long").filter("a < b").distinct()
+    full = known.join(sets, "id").select("id", "n_shingles", "small", "large", "items").hint("merge")
+    full = rows.join(full, "id").select("band", "i", "j", "id", "component", "block", "n_shingles", "small", "large", "items")
+    parts = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    full = full.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j", "id")
+    return full.mapInArrow(_across(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -281,34 +303,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     percent in common are linked; a component is named by its smallest key and
     keeps that document. Texts that are null or have no word have empty sets and
     link with nothing; texts of fewer words than ``width`` are one shingle. Rows
-    with equal texts fall together; a repeated key with one text is kept in each
-    of its rows. A null key gets a null component unless its text has another
+    with equal texts fall together. Rows of one key are one document, compared by
+    one of its texts if they differ, and are kept or not together. A null key gets a null component unless its text has another
     key, and is never kept. An empty table gives an empty result. Only the two
     columns named are read, so others may have any name.
     """
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     features = written(texts.mapInArrow(signatures(width), FEATURES))
     classes = written(features.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("id").alias("first")))
-    chosen = classes.filter("first is not null").select(F.col("first").alias("id"), "d1", "d2")
-    bands = features.join(chosen, ["id", "d1", "d2"], "left_semi").select("id", F.explode("bands").alias("band")).distinct()
+    chosen = classes.filter("first is not null").groupBy(F.col("first").alias("id")).agg(F.min(F.struct("d1", "d2")).alias("d")).select("id", "d.*")
+    bands = features.join(chosen.hint("merge"), ["id", "d1", "d2"], "left_semi").select("id", F.explode("bands").alias("band"))
     bucket = Window.partitionBy("band").orderBy("id")
     members = bands.select("band", "id", F.first("id").over(bucket).alias("head"), F.lag("id").over(bucket).alias("prev"), F.lead("id").over(bucket).alias("next"))
-    members = written(members.filter("prev is not null or next is not null").select("band", "id", "head", "prev"))
-    partners = members.filter("prev is not null").select("id", F.explode(F.array_distinct(F.array("head", "prev"))).alias("a"))
+    members = written(members.filter("prev < id or next > id").select("band", "id", "head", "prev"))
+    picks = written(chosen.join(members.select("id").distinct(), "id", "left_semi"))
+    known = features.join(picks.hint("merge"), ["id", "d1", "d2"], "left_semi").select("id", "n_shingles", "small", "large")
+    sets = texts.join(picks.hint("merge"), "id", "left_semi").select("id", "text").mapInArrow(_sets(width), "id long, d1 long, items binary")
+    if not features.groupBy("id").count().filter("count > 1").isEmpty():
+        known, sets = known.dropDuplicates(["id"]), sets.join(picks, ["id", "d1"], "left_semi").dropDuplicates(["id"])
+    known, sets = written(known), written(sets.select("id", "items"))
+    partners = members.select("id", F.explode(F.array_distinct(F.array("head", "prev"))).alias("a")).filter("a < id")
     shared = partners.groupBy("a", F.col("id").alias("b")).count()
     best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("count"), "a"))
     pairs = shared.withColumn("rank", best).filter("rank <= 2").select("a", "b")
-    tried = written(verify(written(estimated(written(pairs), features)), texts, width, percent))
-    components = connected_components(tried.filter("linked"))
-    most = 4
-    while not members.isEmpty():
-        pairs = written(_open_pairs(members.select("band", "id"), components, features, tried.filter("not linked"), most))
-        if pairs.isEmpty():
-            break
-        checked = written(verify(pairs, texts, width, percent))
-        components = joined_components(components, checked.filter("linked"))
-        tried = written(tried.union(checked))
-        most = 64 if most == 4 else None
+    components = connected_components(verify(written(estimated(pairs, known)), sets, percent))
+    members = members.select("band", "id").distinct()
+    components = joined_components(components, written(links_across(members, components, known, sets, percent)))
     placed = features.select("id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     placed = placed.join(components, F.col("first") == F.col("node"), "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "first")).otherwise(F.col("id"))
