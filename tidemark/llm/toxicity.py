@@ -25,7 +25,7 @@ from tidemark.llm.wordhash import PIECE, row_groups, string_parts, word_parts
 #: Word weights: a word's slot is the first bits of its hash.
 BITS = 18
 #: Most labelled documents of either label to learn from.
-SAMPLE = 4000
+SAMPLE = 2000
 #: A word has a weight of its own if so many of the sampled documents have it.
 LEAST_DOCUMENTS = 8
 #: Gradient steps, their size, and the price of a weight in documents, which keeps words of a few documents at 0.
@@ -100,13 +100,17 @@ def fit(labels: np.ndarray, items: np.ndarray, sizes: np.ndarray, sentences: np.
     ``items``: words of all sentences in a row; ``sizes``: words per sentence;
     ``sentences``: sentences per document; ``weight``: of each document.
     """
-    document = np.repeat(np.arange(len(labels)), sentences)
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    seen = np.unique(document[sentence].astype(np.int64) << BITS | items) & (2**BITS - 1)
-    kept = np.bincount(seen, minlength=2**BITS) >= LEAST_DOCUMENTS
+    document = np.repeat(np.arange(len(labels), dtype=np.int32), sentences)
+    sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    seen, ends = np.zeros(2**BITS, dtype=np.int64), np.searchsorted(document[sentence], np.arange(len(labels) + 1))
+    for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+        seen[np.unique(items[lo:hi])] += 1
+    kept = seen >= LEAST_DOCUMENTS
     use = kept[items]
-    names, item = np.unique(items[use], return_inverse=True)
+    names = np.flatnonzero(kept)
+    item = (np.cumsum(kept, dtype=np.int32) - 1)[items[use]]
     sentence = sentence[use]
+    del use, items
     w, b = np.zeros(len(names)), -np.log(max(1.0, len(sizes) / max(1, len(labels)))) - 2.0
     sum_w, sum_b = np.full(len(names), 1e-8), 1e-8
     total = weight.sum()
@@ -151,12 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     bags = bags.sort_by("key")
     y = bags.column("label").to_numpy()
     lists = {c: bags.column(c).combine_chunks() for c in ("items", "sizes")}
-    items, sizes = (lists[c].flatten().to_numpy() for c in ("items", "sizes"))
+    items, sizes = (lists[c].flatten().to_numpy(zero_copy_only=False).copy() for c in ("items", "sizes"))
     sentences = np.diff(lists["sizes"].offsets.to_numpy())
     size = np.bincount(y, minlength=2)
     if not size.all():
         return {"weights": np.zeros(2**BITS, dtype=np.float32), "bias": 40.0 if size[1] else -40.0}
     weight = np.array([counts[0] / size[0], counts[1] / size[1]])[y]
+    del bags, lists
     weights, bias = fit(y, items, sizes, sentences, weight)
     return {"weights": weights, "bias": bias}
 

@@ -94,6 +94,10 @@ FACTOR_MATRIX = FACTOR_RETURNS + """,
         FROM factor_ret GROUP BY date)
 """
 STOCK_RETURNS = BRAND_DAILY + "," + returns_sql("brand_daily", "stock_ret")
+# The risk job drops short histories before anything else.
+LONG_RETURNS = BRAND_DAILY + """,
+    brand_long AS (SELECT * FROM brand_daily QUALIFY count(*) OVER (PARTITION BY series) >= 1310),
+""" + returns_sql("brand_long", "stock_ret")
 
 
 def plays(spark, folder) -> DataFrame:

@@ -12,6 +12,7 @@ from tidemark.plans.inputs import (
     FACTORS,
     FACTOR_MATRIX,
     FACTOR_RETURNS,
+    LONG_RETURNS,
     START,
     STOCK_RETURNS,
     brand_daily,
@@ -19,6 +20,7 @@ from tidemark.plans.inputs import (
     filled_sql,
     trimmed_sql,
 )
+from tidemark.session import written
 
 
 def factor_returns(spark, folder):
@@ -33,6 +35,11 @@ def stock_returns(spark, folder):
     return timeseries.series_returns(brand_daily(spark, folder), START, END)
 
 
+def long_returns(spark, folder):
+    """Of the series that the risk job keeps."""
+    return timeseries.series_returns(timeseries.min_history(brand_daily(spark, folder)), START, END)
+
+
 def dated(df, *columns, digits=6):
     shown = [F.col("date").cast("string").alias("date")]
     return df.select(*[c for c in df.columns if c not in ("date", *columns)], *shown, *[rounded(c, digits).alias(c) for c in columns])
@@ -161,21 +168,21 @@ def featurize(spark, folder):
 @query(
     "ols_simple",
     f"""
-    WITH {STOCK_RETURNS}, {FACTOR_MATRIX}
+    WITH {LONG_RETURNS}, {FACTOR_MATRIX}
     SELECT series, round(regr_intercept(ret, a), 3) AS w0, round(regr_slope(ret, a), 6) AS w1
     FROM stock_ret JOIN matrix USING (date) GROUP BY series
     """,
 )
 def ols_simple(spark, folder):
     features = matrix(spark, folder).select("date", F.array("A").alias("x"))
-    out = regression.ols(stock_returns(spark, folder), features, 1)
+    out = regression.ols(long_returns(spark, folder), features, 1)
     return out.select("series", rounded(F.col("weights")[0], 3).alias("w0"), rounded(F.col("weights")[1], 6).alias("w1"))
 
 
 @query(
     "ols_two_factor",
     f"""
-    WITH {STOCK_RETURNS}, {FACTOR_MATRIX},
+    WITH {LONG_RETURNS}, {FACTOR_MATRIX},
     m AS (
         SELECT series, avg(ret) AS my, avg(a) AS ma, avg(n) AS mn, covar_pop(a, a) AS aa, covar_pop(n, n) AS nn,
                covar_pop(a, n) AS an, covar_pop(a, ret) AS ay, covar_pop(n, ret) AS ny
@@ -186,14 +193,14 @@ def ols_simple(spark, folder):
 )
 def ols_two_factor(spark, folder):
     features = matrix(spark, folder).select("date", F.array("A", "N").alias("x"))
-    out = regression.ols(stock_returns(spark, folder), features, 2)
+    out = regression.ols(long_returns(spark, folder), features, 2)
     digits = (3, 6, 6)
     return out.select("series", *[rounded(F.col("weights")[i], d).alias(f"w{i}") for i, d in enumerate(digits)])
 
 
 # Least squares by elimination on the scaled normal equations; the factors and
 # hence the matrix of products are the same for all series.
-OLS = STOCK_RETURNS + "," + FEATURES + """,
+OLS = LONG_RETURNS + "," + FEATURES + """,
     long_x AS (SELECT date, i AS j, x[i] AS x FROM feat, range(1, 13) t(i)),
     mom AS (SELECT j, avg(x) AS m, stddev_pop(x) AS s FROM long_x GROUP BY j),
     z AS (SELECT date, l.j + 1 AS j, (x - m) / s AS z FROM long_x l JOIN mom ON l.j = mom.j
@@ -219,9 +226,10 @@ OLS = STOCK_RETURNS + "," + FEATURES + """,
 """
 
 
-def weights(spark, folder):
-    features = regression.factor_features(matrix(spark, folder), FACTORS)
-    return regression.ols(stock_returns(spark, folder), features, 3 * len(FACTORS)), features
+def weights(spark, folder, returns=None):
+    # One row per weekday, read by the fit and by those who use it.
+    features = written(regression.factor_features(matrix(spark, folder), FACTORS))
+    return regression.ols(returns or long_returns(spark, folder), features, 3 * len(FACTORS)), features
 
 
 @query(
@@ -257,8 +265,9 @@ def ols_weights(spark, folder):
     """,
 )
 def instrument_returns(spark, folder):
-    w, features = weights(spark, folder)
-    out = dated(regression.fitted(stock_returns(spark, folder), features, w), "ret")
+    returns = written(long_returns(spark, folder))  # series times weekdays
+    w, features = weights(spark, folder, returns)
+    out = dated(regression.fitted(returns, features, w), "ret")
     return out.withColumn("fitted", rounded("fitted", 2))
 
 

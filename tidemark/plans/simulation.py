@@ -9,9 +9,9 @@ from tidemark.functions.finance import normal_pdf
 from tidemark.operators import density, regression, risk
 from tidemark.plans.basics import uniform_sql
 from tidemark.plans.catalog import query, rounded, spread, table
-from tidemark.plans.inputs import FACTORS, FACTOR_MATRIX, STOCK_RETURNS
+from tidemark.plans.inputs import FACTORS, FACTOR_MATRIX, LONG_RETURNS
 from tidemark.plans.reports import risk_report as build_risk_report
-from tidemark.plans.series import OLS, matrix, stock_returns
+from tidemark.plans.series import OLS, long_returns, matrix
 from tidemark.session import cut_lineage
 
 # Base seed and number of resamples.
@@ -96,7 +96,7 @@ def trials(spark, folder, returns=None):
     model = regression.fit_factor_model(factors, FACTORS)
     draws = risk.factor_draws(trial_rows(spark, folder), "trial_id", model, SEED)
     features = regression.factor_features(factors, FACTORS)
-    w = regression.ols(returns or stock_returns(spark, folder), features, 3 * len(FACTORS))
+    w = regression.ols(returns or long_returns(spark, folder), features, 3 * len(FACTORS))
     return risk.trial_returns(draws, regression.portfolio_weights(w)).select("trial_id", "ret")
 
 
@@ -189,7 +189,7 @@ def bootstrap_ci(spark, folder):
 
 
 # A bound well inside the sample, so that some periods fail.
-FAILURES = STOCK_RETURNS + """,
+FAILURES = LONG_RETURNS + """,
     per_date AS (SELECT date, sum(ret) AS total FROM stock_ret GROUP BY date),
     failed AS (SELECT count(*) AS periods, count(*) FILTER (WHERE total < v) AS failures
                FROM per_date, (SELECT avg(total) - 1.5 * stddev_pop(total) AS v FROM per_date))
@@ -212,7 +212,7 @@ KUPIEC = """
 
 
 def failure_counts(spark, folder):
-    returns = stock_returns(spark, folder)
+    returns = long_returns(spark, folder)
     totals = returns.groupBy("date").agg(F.sum("ret").alias("total"))
     bound = totals.agg(F.avg("total") - F.lit(1.5) * F.stddev_pop("total")).scalar()
     return risk.failures(returns, bound)
@@ -309,7 +309,7 @@ REPORT = TRIALS + f""",
     """,
 )
 def risk_report(spark, folder):
-    returns = stock_returns(spark, folder).persist()  # series times weekdays
+    returns = long_returns(spark, folder).persist()  # series times weekdays
     out = build_risk_report(trials(spark, folder, returns), returns, RESAMPLES)
     returns.unpersist()
     money = ["var", "cvar", "var_lower", "var_upper", "cvar_lower", "cvar_upper"]
