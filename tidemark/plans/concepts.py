@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import lsa, matrix, text
 from tidemark.operators.gram import gram_matrix
 from tidemark.plans.catalog import query, rounded, table
-from tidemark.plans.reports import concept_analysis
+from tidemark.plans.reports import concept_analysis, relevance
 from tidemark.plans.terms import COUNTS, counts, docs, stopwords
 
 ROW = 7
@@ -248,8 +248,8 @@ def svd_laws(spark, folder):
 @query(
     "lsa_laws",
     f"""
-    WITH {COUNTS}, some AS (SELECT term FROM idf WHERE idf > 0)
-    SELECT (SELECT count(*) FROM some) AS terms, (SELECT count(DISTINCT doc_id) FROM tf WHERE term IN (SELECT term FROM some)) AS documents,
+    WITH {COUNTS}, useful AS (SELECT term FROM idf WHERE idf > 0)
+    SELECT (SELECT count(*) FROM useful) AS terms, (SELECT count(DISTINCT doc_id) FROM tf WHERE term IN (SELECT term FROM useful)) AS documents,
            true AS orthonormal, true AS satisfied
     """,
 )
@@ -266,3 +266,30 @@ def lsa_laws(spark, folder):
     worst = found.u.join(image, "id").agg(F.max(gap)).first()[0]
     row = (found.v.count(), found.u.count(), bool(max(off) < 1e-6), bool(worst < 1e-6 * s[0]))
     return spark.createDataFrame([row], "terms long, documents long, orthonormal boolean, satisfied boolean")
+
+
+@query(
+    "lsa_relevance_laws",
+    "SELECT true AS own_first, true AS same_scores, CAST(40 AS BIGINT) AS rows",
+)
+def lsa_relevance_laws(spark, folder):
+    """Lookups by name on the fitted decomposition: a term and a document are most like themselves, and the scores are
+    those of the stored factors."""
+    _, found, terms = concept_analysis(docs(spark, folder), stopwords(spark))
+    doc_names = docs(spark, folder).select(F.col("doc_id").alias("id"), F.concat(F.lit("doc "), "doc_id").alias("name"))
+    term, doc = terms.orderBy("id").first(), doc_names.orderBy("id").first()
+    got = relevance(found, terms, doc_names, term["term"], doc["name"], [term["term"]]).toPandas()
+    s = np.array([r["s"] for r in found.s.orderBy("col").collect()])
+    row = lambda side, i: np.array(side.filter(F.col("id") == i).first()["vec"])
+    own, same = True, True
+    for lookup, mine in got.groupby("lookup"):
+        top = mine.sort_values(["score", "id"], ascending=False).iloc[0]
+        if "like" in lookup:
+            own &= abs(mine[mine.name == (term["term"] if "terms" in lookup else doc["name"])].score.max() - 1) < 1e-9
+            side, i = (found.v, term["id"]) if "terms" in lookup else (found.u, doc["id"])
+            a, b = row(side, i) * s, row(side, int(top.id)) * s
+            want = a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+        else:
+            want = row(found.u, int(top.id)) * s @ row(found.v, term["id"]) * (term["idf"] if "query" in lookup else 1.0)
+        same &= bool(abs(want - top.score) < 1e-9 * max(1.0, abs(want)))
+    return spark.createDataFrame([(bool(own), same, len(got))], "own_first boolean, same_scores boolean, rows long")

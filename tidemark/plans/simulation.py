@@ -10,7 +10,7 @@ from tidemark.operators import density, regression, risk
 from tidemark.plans.basics import uniform_sql
 from tidemark.plans.catalog import query, rounded, spread, table
 from tidemark.plans.inputs import FACTORS, FACTOR_MATRIX, LONG_RETURNS
-from tidemark.plans.reports import risk_report as build_risk_report
+from tidemark.plans.reports import risk_curves, risk_report as build_risk_report
 from tidemark.plans.series import OLS, long_returns, matrix
 from tidemark.session import cut_lineage
 
@@ -314,3 +314,23 @@ def risk_report(spark, folder):
     returns.unpersist()
     money = ["var", "cvar", "var_lower", "var_upper", "cvar_lower", "cvar_upper"]
     return out.withColumns({c: rounded(c, 2) for c in money} | {"p_value": rounded("p_value", 6)})
+
+
+def curve_sql(name: str, source: str, column: str) -> str:
+    return f"""
+    SELECT '{name}' AS curve, CAST(i AS INTEGER) AS point, round(p, 4) AS x,
+           round(1e6 * avg(exp(-0.5 * pow((p - {column}) / h, 2)) / (h * sqrt(2 * pi()))), 8) AS density
+    FROM {source}, (
+        SELECT i, lo + i * (hi - lo) / 100 AS p, h FROM (
+            SELECT 1.06 * stddev_pop({column}) * pow(count({column}), -0.2) AS h, min({column}) AS lo, max({column}) AS hi FROM {source}),
+        range(0, 100) t(i))
+    WHERE {column} IS NOT NULL GROUP BY i, p
+    """
+
+
+@query("risk_factor_curves", f"WITH {FACTOR_MATRIX} {curve_sql('A', 'matrix', 'a')} UNION ALL {curve_sql('N', 'matrix', 'n')}")
+def risk_factor_curves(spark, folder):
+    """The two factor curves that the risk job shows beside that of its trials."""
+    factors = cut_lineage(matrix(spark, folder))  # one row per weekday
+    out = risk_curves(factors.select(F.col("A").alias("ret")), factors, ["A", "N"]).filter("curve <> 'trials'")
+    return out.select("curve", "point", rounded("x", 4).alias("x"), rounded(1e6 * F.col("density"), 8).alias("density"))
