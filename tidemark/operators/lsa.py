@@ -221,7 +221,7 @@ def subspace_svd(
     s is then of the order of the tolerance squared.  k is cut down to the rank;
     a zero matrix gives empty frames.  If ``max_rounds`` do not suffice it raises.
     """
-    oversample = max(8, k) if oversample is None else oversample
+    oversample = max(24, k) if oversample is None else oversample
     spark = entries.sparkSession
     entries = entries.filter("v <> 0")
     width = entries.select("col").distinct().limit(k + oversample).count()
