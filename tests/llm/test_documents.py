@@ -1,6 +1,7 @@
 """Operators over documents: odd cases, brute force and exact laws."""
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -104,16 +105,12 @@ def test_languages(spark):
 
 
 def test_probabilities_of_a_model_sum_to_at_most_one(spark):
-    docs = spark.createDataFrame([("abab abba baab", "x")], "text string, lang string")
-    model = langmodel.train(docs)
-    for first in "ab":
-        total = 0.0
-        for last in ("a", "b", " "):
-            pair, _ = langmodel._entropies([first + last, first], model)
-            total += float(np.exp(pair[1, 0] - pair[0, 0])) if last == " " else 0
-    assert 0 <= total <= 2
-    spread, n = langmodel._entropies(["abab", "zzzz"], model)
-    assert n.tolist() == [5, 5] and spread[0, 0] < spread[1, 0]
+    """Over all words of up to eight letters; the rest is for longer words and other letters."""
+    model = langmodel.train(spark.createDataFrame([("abab abba baab ab ba a", "x")], "text string, lang string"))
+    words = ["".join(w) for n in range(1, 9) for w in itertools.product("ab", repeat=n)]
+    nll, n = langmodel._entropies(words, model)
+    assert n.tolist() == [len(w) + 1 for w in words]
+    assert 0.5 < float(np.exp(-nll[:, 0]).sum()) <= 1 + 1e-6
 
 
 def test_odd_documents_pass_through_languages(spark):
