@@ -33,7 +33,9 @@ MOST_BITS = 18
 MOST_LANGUAGES = 1024
 DISCOUNT = 0.75
 #: Characters scored at a time.
-SPAN = 1 << 19
+SPAN = 1 << 18
+#: Rows of a batch that are decoded at a time.
+SLICE = 256
 #: Rejection: this multiple of this quantile of the labelled documents' excess.
 QUANTILE, SLACK = 0.999, 1.5
 #: Sharpness of the score: it is the weight of the best language among all, by this many characters.
@@ -113,10 +115,7 @@ def _counted(bits: int, languages: list[str]):
         counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         at = {x: i for i, x in enumerate(languages)}
         for batch in batches:
-            by: dict[int, list[str]] = {}
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by.setdefault(at[lang], []).extend(_pieces(text))
-            for lang, texts in by.items():
+            for lang, texts in _by_language_of(batch, at):
                 total, chain = counts.setdefault(lang, (np.zeros(2**bits, dtype=np.int64), np.zeros((len(CHAIN), 2**bits), dtype=np.int32)))
                 for lo, hi in _spans(texts):
                     g = Grams(texts[lo:hi], bits)
@@ -133,6 +132,16 @@ def _counted(bits: int, languages: list[str]):
     return run
 
 
+def _by_language_of(batch: pa.RecordBatch, at: dict[str, int]) -> Iterator[tuple[int, list[str]]]:
+    """The texts of each language, from some hundred rows at a time."""
+    for start in range(0, len(batch), SLICE):
+        part = batch.slice(start, SLICE)
+        by: dict[int, list[str]] = {}
+        for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            by.setdefault(at[lang], []).extend(_pieces(text))
+        yield from by.items()
+
+
 def _level(slot: np.ndarray, context: np.ndarray, n: np.ndarray, shorter: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Log probability per gram and log weight of the shorter model per context slot (0 where unseen)."""
     total = np.bincount(context, weights=n, minlength=2**bits)
@@ -216,16 +225,19 @@ def _entropies(texts: list[str], model: dict) -> tuple[np.ndarray, np.ndarray]:
     return whole, n
 
 
-def _scored(model: dict, own: bool):
-    """Batches whose first column is the text to ``n, lang, entropy, score`` beside the rest.
+def _scored(model: dict, own: bool, place: int = 0):
+    """Batches of ``row`` with a text as field ``place`` to the row with ``lang, n, entropy, score``.
 
-    With ``own`` the second column names the language to be measured, and no choice is made.
+    With ``own`` the columns are a text and the language to be measured, and no choice is made.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, at = model["languages"], {x: i for i, x in enumerate(model["languages"])}
-        for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
+        for batch in (whole.slice(start, SLICE) for whole in batches for start in range(0, len(whole), SLICE)):
+            if own:
+                texts = [t or "" for t in batch.column(0).to_pylist()]
+            else:
+                texts = [t or "" for t in batch.column(0).field(place).to_pylist()]
             total, n = _entropies(texts, model)
             rate = total / np.maximum(n, 1)[:, None]
             if own:
@@ -239,7 +251,7 @@ def _scored(model: dict, own: bool):
                 weight = np.exp(-SHARPNESS * (rate - low[:, None]))
                 score = np.where(n > 0, 1 / weight.sum(axis=1), 0.0)
                 lang = pa.array([names[b] if k else None for b, k in zip(best, n, strict=True)], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(1), lang, pa.array(n), pa.array(low), pa.array(score)], ["row", "lang", "n", "entropy", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), lang, pa.array(n), pa.array(low), pa.array(score)], ["row", "lang", "n", "entropy", "score"])
 
     return run
 
@@ -294,13 +306,12 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     learned. Those are rejected, as are texts far less likely than the labelled
     ones of their language. Equal texts have equal results; repeated rows stay.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(f"`{text}`").alias("text"), row.alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     if not model["usual"]:
         return rows.select("row", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
-    schema = StructType().add("row", docs.select(row.alias("row")).schema["row"].dataType)
+    schema = StructType([rows.schema["row"]])
     for name, of in (("lang", "string"), ("n", "long"), ("entropy", "double"), ("score", "double")):
         schema = schema.add(name, of)
-    found = rows.mapInArrow(_scored(model, own=False), schema)
+    found = rows.mapInArrow(_scored(model, False, docs.columns.index(text)), schema)
     far = _excess(model, F.col("lang"), F.col("n"), F.col("entropy")) > _by_language(model["bound"], F.col("lang"))
     return found.select("row", F.coalesce("lang", F.lit("und")).alias("lang_pred"), "score", F.coalesce(far, F.lit(True)).alias("rejected"))

@@ -16,6 +16,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ BLOCK_DOCS, BLOCK_TOKENS = 1024, 1 << 20
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
 # Rare white space; texts that have any are encoded whole.
 _RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -56,15 +57,21 @@ class Tokens:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        if self.whole.get_vocab_size() > 1 << 16:
-            raise ValueError("ids are kept in two bytes; the vocabulary has more than 65,536")
+        self.path = path
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.ranks = self._ranks(path)
+        if (self.ranks.n_vocab if self.ranks else self.whole.get_vocab_size()) > 1 << 16:
+            raise ValueError("ids are kept in two bytes; the vocabulary has more than 65,536")
+
+    @cached_property
+    def whole(self):
+        """The vocabulary file's own encoder, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = True
+        return found
 
     @staticmethod
     def _ranks(path: str):

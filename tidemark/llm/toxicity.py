@@ -166,13 +166,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return {"weights": weights, "bias": bias}
 
 
-def _scores(model: dict, most: int):
-    """``text, row`` to the row with its score and the spans of its worst sentences."""
+#: Rows of a batch that are looked at together.
+SLICE = 1024
+
+
+def _scores(model: dict, most: int, place: int):
+    """``row`` with a text as field ``place`` to the row with its score and the spans of its worst sentences."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("sentence", pa.string()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = string_parts(batch.column(0))
+        for batch in (whole.slice(start, SLICE) for whole in batches for start in range(0, len(whole), SLICE)):
+            data, offsets = string_parts(batch.column(0).field(place))
             total, spans = np.zeros(len(batch)), [[] for _ in range(len(batch))]
             for lo, _, part, ends, base in parts(data, offsets):
                 pairs, row, start = sentence_terms(part, ends)
@@ -189,7 +193,7 @@ def _scores(model: dict, most: int):
                         mine.remove(min(mine, key=lambda x: (x["p"], -x["start"])))
             for mine in spans:
                 mine.sort(key=lambda x: (-x["p"], x["start"]))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(-np.expm1(-total)), pa.array(spans, kind)], ["row", "score", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(-np.expm1(-total)), pa.array(spans, kind)], ["row", "score", "spans"])
 
     return run
 
@@ -201,8 +205,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", most: int = 3) -> Da
     score above one half: their first byte, text and probability. A text that is
     null or has no word has score 0 and no span. Equal texts score alike.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(f"`{text}`").alias("text"), row.alias("row"))
-    schema = StructType().add("row", docs.select(row.alias("row")).schema["row"].dataType).add("score", "double")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    schema = StructType([rows.schema["row"]]).add("score", "double")
     schema = schema.add("spans", ArrayType(StructType().add("start", "long").add("sentence", "string").add("p", "double")))
-    return rows.mapInArrow(_scores(model, most), schema)
+    return rows.mapInArrow(_scores(model, most, docs.columns.index(text)), schema)
