@@ -41,7 +41,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that of the smallest id; rows without an id go."""
     found = written(hyperminhash.near_duplicates(docs).filter("kept").select("doc_id"))
-    kept = docs.join(found.distinct(), "doc_id", "left_semi").select(docs.columns)
+    # The ids grow with the documents, so they are never broadcast.
+    kept = docs.join(found.distinct().hint("merge"), "doc_id", "left_semi").select(docs.columns)
     once = found.groupBy("doc_id").count().filter("count > 1").isEmpty()
     return kept if once else kept.dropDuplicates(["doc_id"])
 
