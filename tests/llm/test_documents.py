@@ -148,6 +148,27 @@ def test_noisy_or_of_sentences(spark):
     assert [round(r.score, 6) for r in toxicity.score(frame, model).collect()] == [0.875, 0.5, 0, 0, 0]
 
 
+def test_toxicity_reads_four_thousand_labels_of_either_kind(spark):
+    """A word in 0.2 % of four thousand toxic documents is learned, in whichever of them it is."""
+    assert toxicity.SAMPLE == 4000
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    docs = docs.withColumn("text", F.concat(F.lit("some plain words "), F.when(F.col("doc_id") % 1000 == 1, "blorgh").otherwise("here")))
+    model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    found = toxicity.score(spark.createDataFrame([("blorgh",), ("here",)], "text string"), model).collect()
+    assert found[0].score > found[1].score + 0.05
+
+
+def test_fit_in_runs_of_documents_does_not_depend_on_the_runs(monkeypatch):
+    r = np.random.default_rng(8)
+    sentences = r.integers(1, 5, 300)
+    sizes = r.integers(0, 7, sentences.sum())
+    items, y = r.integers(0, 90, sizes.sum()), r.integers(0, 2, 300)
+    whole = toxicity.fit(y, items, sizes, sentences, np.ones(300))
+    monkeypatch.setattr(toxicity, "STEP_ITEMS", 50)
+    parts = toxicity.fit(y, items, sizes, sentences, np.ones(300))
+    assert np.abs(whole[0] - parts[0]).max() < 1e-5 and abs(whole[1] - parts[1]) < 1e-9
+
+
 def test_toxicity_of_odd_documents(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1), (4, 0)], "doc_id long, toxic int")

@@ -21,15 +21,18 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.llm.wordhash import PIECE, row_groups, string_parts, word_parts
+from tidemark.session import written
 
 #: Word weights: a word's slot is the first bits of its hash.
 BITS = 18
 #: Most labelled documents of either label to learn from.
-SAMPLE = 2000
+SAMPLE = 4000
 #: A word has a weight of its own if so many of the sampled documents have it.
 LEAST_DOCUMENTS = 8
 #: Gradient steps, their size, and the price of a weight in documents, which keeps words of a few documents at 0.
 ROUNDS, RATE, SPARSE = 120, 0.6, 1.0
+#: Words whose part of a gradient step is worked out together.
+STEP_ITEMS = 1 << 20
 #: Lengths in bytes of the beginnings of words that are terms too.
 BEGINNINGS = (4, 5, 6, 7, 8)
 _END = np.zeros(256, dtype=bool)
@@ -90,6 +93,33 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(lo, hi - lo) for k in (1, 2)), items, sizes], ["key", "label", "items", "sizes"])
 
 
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``items`` to the number of bags of this task that have each slot."""
+    seen = np.zeros(2**BITS, dtype=np.int64)
+    for batch in batches:
+        for items in batch.column(0):
+            seen[np.unique(items.values.to_numpy())] += 1
+    used = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used])], ["slot", "n"])
+
+
+def _without_rare(kept: np.ndarray):
+    """``key, label, items, sizes`` with the slots in ``kept`` only; every sentence stays, with fewer words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, sizes = batch.column(2), batch.column(3)
+            slots, counts = items.flatten().to_numpy(), sizes.flatten().to_numpy()
+            last = np.concatenate([[0], np.cumsum(kept[slots])])
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            bags = np.concatenate([[0], np.cumsum(sizes.value_lengths().to_numpy())])
+            left = pa.ListArray.from_arrays(pa.array(last[ends[bags]].astype(np.int32)), pa.array(slots[kept[slots]]))
+            fewer = pa.ListArray.from_arrays(pa.array(bags.astype(np.int32)), pa.array(np.diff(last[ends]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), left, fewer], ["key", "label", "items", "sizes"])
+
+    return run
+
+
 def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
@@ -100,34 +130,44 @@ def fit(labels: np.ndarray, items: np.ndarray, sizes: np.ndarray, sentences: np.
     ``items``: words of all sentences in a row; ``sizes``: words per sentence;
     ``sentences``: sentences per document; ``weight``: of each document.
     """
-    document = np.repeat(np.arange(len(labels), dtype=np.int32), sentences)
-    sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    seen, ends = np.zeros(2**BITS, dtype=np.int64), np.searchsorted(document[sentence], np.arange(len(labels) + 1))
+    bags = np.concatenate([[0], np.cumsum(sentences)])
+    last = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    seen, ends = np.zeros(2**BITS, dtype=np.int64), last[bags]
     for lo, hi in zip(ends[:-1], ends[1:], strict=True):
         seen[np.unique(items[lo:hi])] += 1
     kept = seen >= LEAST_DOCUMENTS
-    use = kept[items]
     names = np.flatnonzero(kept)
+    use = kept[items]
     item = (np.cumsum(kept, dtype=np.int32) - 1)[items[use]]
-    sentence = sentence[use]
+    fewer = np.add.reduceat(np.append(use, False), last[:-1], dtype=np.int32) * (np.asarray(sizes) > 0) if len(sizes) else np.zeros(0, dtype=np.int32)
+    last = np.concatenate([[0], np.cumsum(fewer, dtype=np.int64)])
     del use, items
+    ends, runs = last[bags], [0]
+    while runs[-1] < len(labels):
+        runs.append(max(runs[-1] + 1, int(np.searchsorted(ends, ends[runs[-1]] + STEP_ITEMS, side="right")) - 1))
     w, b = np.zeros(len(names)), -np.log(max(1.0, len(sizes) / max(1, len(labels)))) - 2.0
     sum_w, sum_b = np.full(len(names), 1e-8), 1e-8
     total = weight.sum()
     for _ in range(ROUNDS):
-        z = np.bincount(sentence, weights=w[item], minlength=len(sizes)) + b
-        p = 1 / (1 + np.exp(-z))
-        s = np.bincount(document, weights=_softplus(z), minlength=len(labels))
-        # d loss / d s: 1 for label 0, -(1 - P) / P for label 1, where 1 - P = exp(-s).
-        slope = np.where(labels > 0, -1 / np.expm1(np.maximum(s, 1e-9)), 1.0) * weight / total
-        back = slope[document] * p
-        grad = np.bincount(item, weights=back[sentence], minlength=len(names))
+        grad, grad_b = np.zeros(len(names)), 0.0
+        for lo, hi in zip(runs[:-1], runs[1:], strict=True):
+            mine = item[ends[lo] : ends[hi]]
+            document = np.repeat(np.arange(hi - lo), sentences[lo:hi])
+            sentence = np.repeat(np.arange(len(document)), fewer[bags[lo] : bags[hi]])
+            z = np.bincount(sentence, weights=w[mine], minlength=len(document)) + b
+            p = 1 / (1 + np.exp(-z))
+            s = np.bincount(document, weights=_softplus(z), minlength=hi - lo)
+            # d loss / d s: 1 for label 0, -(1 - P) / P for label 1, where 1 - P = exp(-s).
+            slope = np.where(labels[lo:hi] > 0, -1 / np.expm1(np.maximum(s, 1e-9)), 1.0) * weight[lo:hi] / total
+            back = slope[document] * p
+            grad += np.bincount(mine, weights=back[sentence], minlength=len(names))
+            grad_b += back.sum()
         sum_w += grad**2
         step = RATE / np.sqrt(sum_w)
         w -= step * grad
         w = np.sign(w) * np.maximum(np.abs(w) - step * SPARSE / len(labels), 0)
-        sum_b += back.sum() ** 2
-        b -= RATE * back.sum() / np.sqrt(sum_b)
+        sum_b += grad_b**2
+        b -= RATE * grad_b / np.sqrt(sum_b)
     out = np.zeros(2**BITS, dtype=np.float32)
     out[names] = w
     return out, float(b)
@@ -151,17 +191,21 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter("text is not null")
     rows = rows.join(F.broadcast(drawn[0].union(drawn[1])), "key").select("text", "key", "label")
     kind = rows.schema["key"].dataType.simpleString()
-    bags = rows.mapInArrow(_bags, f"key {kind}, label int, items array<int>, sizes array<int>").toArrow().combine_chunks()
-    bags = bags.sort_by("key")
+    schema = f"key {kind}, label int, items array<int>, sizes array<int>"
+    bags = written(rows.mapInArrow(_bags, schema))
+    # Rare words get no weight, so they stay with the tasks.
+    seen = bags.select("items").mapInArrow(_seen, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    kept = np.zeros(2**BITS, dtype=bool)
+    kept[[r.slot for r in seen.filter(F.col("n") >= LEAST_DOCUMENTS).collect()]] = True
+    bags = bags.mapInArrow(_without_rare(kept), schema).orderBy("key").toArrow()
     y = bags.column("label").to_numpy()
-    lists = {c: bags.column(c).combine_chunks() for c in ("items", "sizes")}
-    items, sizes = (lists[c].flatten().to_numpy(zero_copy_only=False).copy() for c in ("items", "sizes"))
-    sentences = np.diff(lists["sizes"].offsets.to_numpy())
+    items, sizes = (np.concatenate([np.zeros(0, dtype=np.int32), *(x.flatten().to_numpy() for x in bags.column(c).chunks)]) for c in ("items", "sizes"))
+    sentences = np.concatenate([np.zeros(0, dtype=np.int32), *(x.value_lengths().to_numpy() for x in bags.column("sizes").chunks)])
+    del bags
     size = np.bincount(y, minlength=2)
     if not size.all():
         return {"weights": np.zeros(2**BITS, dtype=np.float32), "bias": 40.0 if size[1] else -40.0}
     weight = np.array([counts[0] / size[0], counts[1] / size[1]])[y]
-    del bags, lists
     weights, bias = fit(y, items, sizes, sentences, weight)
     return {"weights": weights, "bias": bias}
 
