@@ -169,6 +169,24 @@ def test_fit_in_runs_of_documents_does_not_depend_on_the_runs(monkeypatch):
     assert np.abs(whole[0] - parts[0]).max() < 1e-5 and abs(whole[1] - parts[1]) < 1e-9
 
 
+def test_every_offending_sentence_has_its_span(spark):
+    text = ". ".join(f"number {i} é" for i in range(50)) + "."
+    model = {"weights": np.zeros(2**toxicity.BITS, dtype=np.float32), "bias": 1.0}
+    (r,) = toxicity.score(spark.createDataFrame([(text,)], "text string"), model).collect()
+    assert len(r.spans) == 50
+    assert sorted(s.sentence for s in r.spans) == sorted(f"number {i} é." for i in range(50))
+    assert all(r.row.text.encode()[s.start :].decode().startswith(s.sentence) for s in r.spans)
+
+
+def test_weaker_sentences_that_carry_a_document_have_spans(spark):
+    """Each sentence is below one half; two of log(1 + e^-0.5) = 0.474 are over log 2."""
+    model = {"weights": np.zeros(2**toxicity.BITS, dtype=np.float32), "bias": -0.5}
+    frame = spark.createDataFrame([("a b. c d. e f. g h.",), ("a b.",), (None,)], "text string")
+    got = toxicity.score(frame, model).collect()
+    assert [len(r.spans) for r in got] == [2, 0, 0] and [r.score >= 0.5 for r in got] == [True, False, False]
+    assert [s.sentence for s in got[0].spans] == ["a b.", "c d."]
+
+
 def test_toxicity_of_odd_documents(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1), (4, 0)], "doc_id long, toxic int")

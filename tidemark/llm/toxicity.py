@@ -214,42 +214,54 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 SLICE = 1024
 
 
-def _scores(model: dict, most: int, place: int):
-    """``row`` with a text as field ``place`` to the row with its score and the spans of its worst sentences."""
+def _offending(row: np.ndarray, z: np.ndarray, start: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Places of the offending sentences, by row and likeliest first: those above one half, and in a row that is over
+    one half without any, those that add most until they carry it there."""
+    order = np.lexsort((start, -z, row))
+    row, z = row[order], z[order]
+    above = np.bincount(row, weights=z > 0, minlength=len(total)) > 0
+    carried = (-np.expm1(-total) >= 0.5) & ~above
+    added = np.concatenate([[0.0], np.cumsum(np.where(carried[row], _softplus(z), 0.0))])
+    before = added[:-1] - added[np.searchsorted(row, row)]
+    return order[(z > 0) | carried[row] & (-np.expm1(-before) < 0.5)]
+
+
+def _scores(model: dict, place: int):
+    """``row`` with a text as field ``place`` to the row with its score and the spans of its offending sentences."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("sentence", pa.string()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(start, SLICE) for whole in batches for start in range(0, len(whole), SLICE)):
             data, offsets = string_parts(batch.column(0).field(place))
             total, spans = np.zeros(len(batch)), [[] for _ in range(len(batch))]
+            found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
             for lo, _, part, ends, base in parts(data, offsets):
                 pairs, row, start = sentence_terms(part, ends)
                 z = np.bincount(pairs >> BITS, weights=model["weights"][pairs & (2**BITS - 1)], minlength=len(row)) + model["bias"]
                 if len(row):
                     total += np.bincount(row + lo, weights=_softplus(z), minlength=len(batch))
-                for i in np.flatnonzero(z > 0).tolist():
-                    follows = i + 1 < len(row) and row[i + 1] == row[i]
-                    end = start[i + 1] if follows else ends[row[i] + 1]
-                    text = part[start[i] : end].tobytes().decode("utf-8", "ignore").strip()
-                    mine = spans[row[i] + lo]
-                    mine.append({"start": int(start[i] - ends[row[i]]) + base, "sentence": text, "p": float(1 / (1 + np.exp(-z[i])))})
-                    if len(mine) > most:
-                        mine.remove(min(mine, key=lambda x: (x["p"], -x["start"])))
-            for mine in spans:
-                mine.sort(key=lambda x: (-x["p"], x["start"]))
+                    last = np.append(row[1:] != row[:-1], True)
+                    end = np.where(last, ends[row + 1], np.append(start[1:], 0))
+                    found.append((row + lo, start + base + offsets[lo], end + base + offsets[lo], z))
+            row, start, end, z = (np.concatenate(x) for x in zip(*found, strict=True))
+            for i in _offending(row, z, start, total).tolist():
+                text = data[start[i] : end[i]].tobytes().decode("utf-8", "ignore").strip()
+                spans[row[i]].append({"start": int(start[i] - offsets[row[i]]), "sentence": text, "p": float(1 / (1 + np.exp(-z[i])))})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(-np.expm1(-total)), pa.array(spans, kind)], ["row", "score", "spans"])
 
     return run
 
 
-def score(docs: DataFrame, model: dict, text: str = "text", most: int = 3) -> DataFrame:
+def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``row`` (the row as a struct), ``score`` (0 to 1) and ``spans`` for every row.
 
-    ``spans`` holds the up to ``most`` likeliest offending sentences, those of a
-    score above one half: their first byte, text and probability. A text that is
-    null or has no word has score 0 and no span. Equal texts score alike.
+    ``spans`` holds every offending sentence, likeliest first: first byte, text
+    and probability. Those are the sentences of a score above one half; in a row
+    of score one half or more without any, the likeliest ones whose own noisy-or
+    comes to one half. A text that is null or has no word has score 0 and no
+    span. Equal texts score alike.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = StructType([rows.schema["row"]]).add("score", "double")
     schema = schema.add("spans", ArrayType(StructType().add("start", "long").add("sentence", "string").add("p", "double")))
-    return rows.mapInArrow(_scores(model, most, docs.columns.index(text)), schema)
+    return rows.mapInArrow(_scores(model, docs.columns.index(text)), schema)
