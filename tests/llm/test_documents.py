@@ -113,6 +113,18 @@ def test_probabilities_of_a_model_sum_to_at_most_one(spark):
     assert 0.5 < float(np.exp(-nll[:, 0]).sum()) <= 1 + 1e-6
 
 
+def test_every_run_of_characters_is_kept_for_any_number_of_languages(spark):
+    """More languages than 1024, and a language with more runs of four than 2^18 slots hold apart."""
+    r = np.random.default_rng(5)
+    text = " ".join("".join(chr(0x4E00 + c) for c in r.integers(0, 20_000, 8)) for _ in range(45_000))
+    rows = [(text, "zz")] + [(f"word{chr(0x4E00 + i)} of text", f"l{i:04}") for i in range(1100)]
+    model = langmodel.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model["languages"]) == 1101
+    words = text.split(" ")
+    runs = {(w[max(0, i - 3) : i], w[i : i + 1]) for w in words for i in range(len(w) + 1)}
+    assert len(model["orders"][-1][3][0]) == len(runs) > 2**18
+
+
 def test_odd_documents_pass_through_languages(spark):
     docs = odd_documents(spark)
     out = langmodel.identify(docs, langmodel.train(docs))
