@@ -125,6 +125,21 @@ def test_every_run_of_characters_is_kept_for_any_number_of_languages(spark):
     assert len(model["orders"][-1][3][0]) == len(runs) > 2**18
 
 
+def test_clean_documents_of_a_rare_language_stay(spark):
+    """With one labelled text, and with four: other texts of the language are not rejected; another language is, where texts tell."""
+    r = np.random.default_rng(6)
+    lexicon = {x: ["".join(r.choice(list(letters), r.integers(2, 7))) for _ in range(150)] for x, letters in {"aa": "abcdeik", "bb": "lmnopou", "cc": "rstvway", "dd": "αβγδεζη"}.items()}
+    text = lambda x: " ".join(r.choice(lexicon[x], 60))
+    known = [(text("aa"), "aa") for _ in range(60)] + [(text("bb"), "bb")] * 3 + [(text("cc"), "cc") for _ in range(4)]
+    model = langmodel.train(spark.createDataFrame(known, "text string, lang string"))
+    new = [(text(x), x) for x in ("aa", "bb", "cc", "dd") for _ in range(20)]
+    got = langmodel.identify(spark.createDataFrame(new, "text string, want string"), model).collect()
+    for x in ("aa", "bb", "cc"):
+        assert all(g.lang_pred == x and not g.rejected for g in got if g.row.want == x)
+    seen = langmodel.train(spark.createDataFrame([k for k in known if k[1] == "aa"], "text string, lang string"))
+    assert all(g.rejected for g in langmodel.identify(spark.createDataFrame(new, "text string, want string"), seen).collect() if g.row.want == "dd")
+
+
 def test_odd_documents_pass_through_languages(spark):
     docs = odd_documents(spark)
     out = langmodel.identify(docs, langmodel.train(docs))

@@ -9,7 +9,10 @@ arrays of these runs with their log probabilities, as many as the texts have.
 
 The language with the lowest cross-entropy per character wins. Its excess over
 the language's usual cross-entropy, times the root of the length, is compared
-with what labelled documents of that language show; beyond ``SLACK`` times their ``QUANTILE`` the document is rejected.
+with what labelled documents of that language show under a model of the other
+half of them; beyond ``SLACK`` times their ``QUANTILE`` the document is rejected.
+Languages of fewer than ``FEW`` such documents also have the bound of all
+languages together, and the looser of both holds; one without any rejects nothing.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ SLICE = 256
 HELD = 1 << 20
 #: Rejection: this multiple of this quantile of the labelled documents' excess.
 QUANTILE, SLACK = 0.999, 1.5
+#: Documents that a language's own quantile needs.
+FEW = 1000
 #: Sharpness of the score: it is the weight of the best language among all, by this many characters.
 SHARPNESS = 20.0
 _PLACE = np.random.default_rng(17).integers(1, 2**63, ORDER, dtype=np.uint64) | np.uint64(1)
@@ -287,7 +292,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Models and rejection bounds of every language in ``docs``.
 
     Counts and bounds cover all rows; rows with null text or language are left
-    out. The driver receives the distinct runs of four
+    out. Bounds come from documents that the measuring model has not seen: equal
+    texts are in the same half. The driver receives the distinct runs of four
     characters of every language with their counts, however many the texts
     have, and two numbers per language; the models go to every worker.
     """
@@ -299,15 +305,16 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     n0, n1 = (summed.column(c).to_numpy() for c in ("n0", "n1"))
     model = {**_models(summed, n0 + n1), "usual": {}, "bound": {}}
     if model["languages"]:
-        others = [model, model]
+        others = [_models(summed, n1), _models(summed, n0)]
         del summed
         seen = written(rows.mapInArrow(_measured(others), "lang string, n long, entropy double").filter("n > 0"))
         usual = seen.groupBy("lang").agg((F.sum(F.col("n") * F.col("entropy")) / F.sum("n")).alias("x"))
         model["usual"] = {r.lang: r.x for r in usual.collect()}
         if model["usual"]:
             over = F.percentile_approx(_excess(model, F.col("lang"), F.col("n"), F.col("entropy")), QUANTILE, 100_000).alias("x")
+            pooled = seen.agg(over).first().x
             own = seen.groupBy("lang").agg(over, F.count("*").alias("n")).collect()
-            model["bound"] = {r.lang: SLACK * r.x for r in own}
+            model["bound"] = {r.lang: SLACK * (r.x if r.n >= FEW else max(r.x, pooled)) for r in own}
     return model
 
 
