@@ -337,3 +337,18 @@ def test_retrieval_follows_the_best_unused_neighbour():
     other = dict(zip(*np.unique(docs[4], return_counts=True), strict=True))
     want = sum(other[x] * 2.2 / (other[x] + 1.2) for x in t if x in other)
     assert abs(index.scores(0)[4] - want) < 1e-9
+
+
+def test_retrieval_scores_all_terms_of_a_seed():
+    """Forty light terms shared outweigh one heavy term; frequent terms and rare ones add up as by brute force."""
+    idf = np.ones(1 << 16)
+    idf[:30] = 5.0
+    light = np.arange(100, 140)
+    docs = [np.concatenate([np.arange(30), light]), np.array([0, 200, 201]), light, *(np.array([300 + i, 100]) for i in range(20))]
+    docs = [d.astype(np.uint16) for d in docs]
+    index = packing.Index(docs, idf, 20.0)
+    assert packing.retrieval_order(docs, idf, 20.0)[:2] == [0, 2]
+    for i, a in enumerate(docs):
+        norm = [1.2 * (0.25 + 0.75 * len(d) / 20.0) for d in docs]
+        want = [sum(idf[t] * 2.2 / (1 + norm[j]) for t in np.intersect1d(a, d)) for j, d in enumerate(docs)]
+        assert np.abs(index.scores(i) - want).max() < 1e-9

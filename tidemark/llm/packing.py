@@ -29,8 +29,8 @@ WINDOW = 1024
 END = 0
 #: Documents or tokens of one block of a shard, whichever comes first (a longer document is a block of its own).
 BLOCK_DOCS, BLOCK_TOKENS = 1024, 1 << 20
-#: Terms of a seed that search: those of the highest BM25 weight.
-QUERY_TERMS = 24
+#: Terms in more than this share of a block's documents are multiplied as one matrix.
+FREQUENT = 1 / 8
 K1, B = 1.2, 0.75
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 150_000
@@ -159,22 +159,26 @@ class Index:
         owner = np.repeat(np.arange(len(docs)), kinds)
         weight = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[owner] / usual))
         self.ends = np.concatenate([[0], np.cumsum(kinds)])
-        self.terms, self.weight = terms, weight
+        frequent = np.bincount(terms, minlength=len(idf)) > FREQUENT * len(docs)
+        often = frequent[terms]
+        place = (np.cumsum(frequent) - 1)[terms[often]]
+        table = np.zeros((int(frequent.sum()), len(docs)))
+        table[place, owner[often]] = weight[often]
+        self.base = (table > 0).T.astype(np.float64) @ table
+        self.terms, self.often = terms, often
+        terms, weight, owner = terms[~often], weight[~often], owner[~often]
         order = np.argsort(terms, kind="stable")
         self.owner, self.by_term = owner[order], weight[order]
         self.first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
 
     def scores(self, doc: int) -> np.ndarray:
-        """Score of every document for the heaviest terms of one."""
+        """Score of every document for all terms of one."""
         lo, hi = self.ends[doc], self.ends[doc + 1]
-        terms = self.terms[lo:hi]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-self.weight[lo:hi], kind="stable")[:QUERY_TERMS]]
-        spans = [slice(self.first[t], self.first[t + 1]) for t in terms]
+        spans = [slice(self.first[t], self.first[t + 1]) for t in self.terms[lo:hi][~self.often[lo:hi]]]
         if not spans:
-            return np.zeros(len(self.ends) - 1)
+            return self.base[doc].copy()
         owner, weight = np.concatenate([self.owner[s] for s in spans]), np.concatenate([self.by_term[s] for s in spans])
-        return np.bincount(owner, weights=weight, minlength=len(self.ends) - 1)
+        return self.base[doc] + np.bincount(owner, weights=weight, minlength=len(self.base))
 
 
 def retrieval_order(docs: list[np.ndarray], idf: np.ndarray, usual: float) -> list[int]:
