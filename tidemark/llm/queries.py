@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, chunks, hyperminhash, langmodel, mixing, packing, revisits, sharding, spherical, toxicity
+from tidemark.llm import chat, chunks, hyperminhash, langmodel, lexical, mixing, packing, permuterm, revisits, sequencefile, sharding, spherical, toxicity
 from tidemark.plans.catalog import query, table
+from tidemark.session import checkpoint_folder
 
 MIX_SQL = r"""
 with docs as (
@@ -225,3 +228,101 @@ from embeddings e join (select a, min(b) c from reach group by a) on a = e.vec_i
 def near_duplicate_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """The links and the component of every vector."""
     return spherical.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op11_sequence_files")
+def sequence_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, length and digest of every document's ids, read back from the sequence files."""
+    path = f"{checkpoint_folder(spark)}/sequences-{uuid.uuid4().hex}"
+    sequencefile.write_sequences(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return sequencefile.read_documents(spark, path).select(
+        F.col("key").alias("doc_id"), "start", F.col("length").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+VARIANT_SQL = r"""
+with recursive bits as (
+    select list_transform(range(256), lambda i: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, b:
+        case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)) tab
+), runs as (
+    select doc_id, run, count(*) c from (
+        select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) run from documents
+    ) where length(run) > 5 group by all
+), hashed as (
+    select *, hex(encode(doc_id || ':' || run)) hx from runs
+), digested as (
+    select run, c, xor(list_reduce(list_transform(range(length(hx) // 2), lambda i: ('0x' || hx[2 * i + 1 : 2 * i + 2])::bigint),
+        lambda h, b: xor(h // 256, tab[xor(h % 256, b) + 1]), 4294967295::bigint), 4294967295::bigint) h from hashed, bits
+), edited as (
+    select case when h % 199 = 0 then run[1 : h % length(run)] || run[h % length(run) + 2 :] else run end word, c from digested
+), words as (
+    select word, sum(c)::bigint n from edited where length(word) > 5 group by word having sum(c) > 4
+), gaps as (
+    select word, n, word[i + 2 :] || ' ' || word[1 : i] gap, i = 0 or word[i] <> word[i + 1] counts
+    from (select word, n, unnest(range(length(word))) i from words)
+), turned as (
+    select word, n, word[i + 1 :] || ' ' || word[1 : i] gap from (select word, n, unnest(range(length(word) + 1)) i from words)
+), near as (
+    select a.word, b.word other, b.n from gaps a join gaps b on a.gap = b.gap and a.word <> b.word
+    union all select a.word, b.word, b.n from gaps a join turned b on a.gap = b.gap where a.counts
+    union all select b.word, a.word, a.n from gaps a join turned b on a.gap = b.gap where a.counts
+), best as (
+    select word, count(*) n_near, arg_min(other, (-n, other)) form, max(n) form_n from near group by word
+), formed as (
+    select w.word, w.n, coalesce(n_near, 0) n_near, case when form_n >= 5 * w.n then form end form, case when form_n >= 5 * w.n then form_n end form_n
+    from words w left join best b using (word)
+), roots as (
+    select word, coalesce(form, word) root, form is not null moved from formed
+    union all select r.word, f.form, true from roots r join formed f on r.root = f.word where r.moved and f.form is not null
+), ends as (
+    select r.word, arg_max(r.root, w.n) root from roots r join words w on w.word = r.root group by r.word
+)
+select word, form, root, n, n_near, form_n from formed join ends using (word)
+"""
+
+
+@query("op12_permuterm", VARIANT_SQL)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Form and root of the frequent words, after some letters of the texts were dropped."""
+    found = permuterm.document_words(table(spark, folder, "documents"), shortest=6)
+    h = F.crc32(F.concat(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(":"), "word").cast("binary"))
+    at = (h % F.length("word")).cast("int")
+    less = F.concat(F.substr("word", F.lit(1), at), F.substr("word", at + 2))
+    edited = found.select(F.when(h % 199 == 0, less).otherwise(F.col("word")).alias("word"), "n").filter(F.length("word") >= 6)
+    words = edited.groupBy("word").agg(F.sum("n").alias("n")).filter("n >= 5")
+    return permuterm.spelling_variants(words)
+
+
+SEARCH_SQL = r"""
+with terms as (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from documents
+), counted as (
+    select doc_id, term, count(*)::bigint tf from terms group by all
+), sizes as (
+    select doc_id, sum(tf)::bigint n from counted group by doc_id
+), corpus as (
+    select count(*)::bigint documents, sum(n)::bigint total from sizes
+), weights as (
+    select term, floor(1000 * ln((2 * documents + 2)::double / (2 * df + 1)::double))::bigint w
+    from (select term, count(*)::bigint df from counted group by term), corpus
+), wanted as (
+    select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from benchmark
+), impacts as (
+    select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // total))) impact
+    from counted join sizes using (doc_id) join weights using (term), corpus
+), scores as (
+    select item_id, doc_id, sum(impact)::bigint score from wanted join impacts using (term) group by all
+)
+select item_id, rank, doc_id, score from (
+    select *, row_number() over (partition by item_id order by score desc, doc_id)::int rank from scores where score > 0
+) where rank <= 10
+"""
+
+
+@query("op13_shared_search", SEARCH_SQL)
+def benchmark_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    found = lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
