@@ -286,7 +286,7 @@ class TokenSequences(DataSource):
 
     def schema(self) -> StructType:
         if self.options.get("rows", "sequences") != "documents":
-            return StructType().add("sequence", "long").add("ids", "array<bigint>").add("mask", "array<boolean>")
+            return StructType.fromDDL("sequence long, ids array<long>, mask array<boolean>")
         key = StructType.fromJson(json.loads(manifest(self.options["path"])["schema"]))[0]
         return StructType().add("key", key.dataType).add("start", "long").add("length", "long").add("ids", "binary")
 

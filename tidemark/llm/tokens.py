@@ -79,9 +79,9 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         return tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def plain(self, text: str) -> list[int]:
-        """The ids of one text, encoded whole."""
-        return self.whole.encode(text, add_special_tokens=False).ids
+    def ids(self, text: str) -> bytes:
+        """The ids of one text as bytes of ``kind``."""
+        return b"".join(ids.tobytes() for _, _, ids, _ in self.encode(pa.array([text])))
 
     def _together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of pieces without other white space than a blank in front, as lines of one text."""
