@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import LONG, no_documents, odd_documents
 from tests.llm.test_words import plain_shingles
 from tidemark.llm import chunks, components, hyperminhash, langmodel, mixing, packing, sharding, toxicity
+from tidemark.llm.tokens import Encoder, encoder
 
 import public_tokenizers
 
@@ -292,7 +293,7 @@ def test_overfull_ranges_are_subdivided(spark, monkeypatch):
 
 
 def check_pieces(pieces, docs, window):
-    tokens = packing._tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = encoder(public_tokenizers.path("byte_bpe_50k.json"))
     whole = {}
     for r in docs:
         whole.setdefault(r.doc_id, []).append(np.frombuffer(tokens.ids(r.text or "") + b"\0\0", dtype=np.uint16))
@@ -319,7 +320,7 @@ def test_packing_of_odd_documents(spark):
 
 
 def test_ids_equal_those_of_the_whole_text():
-    tokens = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     texts = ["", " ", "  a", "a ", " a", "a  b", "a\n b", "a \nb", "\n", "don't  do 's x's", "é è\tb", "x　y z", "<|endoftext|> hi", "日本 語", "1 23 4.5", "a\x85b c", "a\x1fb", "  x", "👍 🏽 ok", LONG[:3000]]
     for t in texts:
         assert np.frombuffer(tokens.ids(t), dtype=np.uint16).tolist() == tokens.whole.encode(t, add_special_tokens=False).ids

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.packing import _tokens
+from tidemark.llm.tokens import encoder
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
 BUDGET, HISTORY = 1024, 256
@@ -125,7 +125,7 @@ def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
 
 def _formatted(path: str, budget: int, history: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens(path)
+        tokens = encoder(path)
         count = lambda text: len(tokens.ids(text)) // 2
         now, rows, size = None, [], 0
         for batch in batches:

@@ -11,18 +11,15 @@ only the end of a shard is padded.
 
 from __future__ import annotations
 
-import base64
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.llm.tokens import encoder
 from tidemark.session import written
 
 WINDOW = 1024
@@ -32,104 +29,22 @@ BLOCK_DOCS, BLOCK_TOKENS = 1024, 1 << 20
 #: Terms in more than this share of a block's documents are multiplied as one matrix.
 FREQUENT = 1 / 8
 K1, B = 1.2, 0.75
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 150_000
-# Rare white space; texts that have any are encoded whole.
-_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-def _plain(text: str) -> bool:
-    """Whether every blank stands between two characters that are not white space, or at an end."""
-    if "  " in text or _RARE.search(text):
-        return False
-    return not any(c in text and (c + " " in text or " " + c in text) for c in "\n\t\r")
-
-
-_worker: dict = {}
-
-
-class Tokens:
-    """Ids of texts by a byte-level vocabulary; words that came before are looked up.
-
-    A blank between two other characters always begins a token, so words are
-    encoded apart from each other. Texts with other blanks than that are encoded
-    whole.
-    """
-
-    def __init__(self, path: str):
-        self.path = path
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.ranks = self._ranks(path)
-        if (self.ranks.n_vocab if self.ranks else self.whole.get_vocab_size()) > 1 << 16:
-            raise ValueError("ids are kept in two bytes; the vocabulary has more than 65,536")
-
-    @cached_property
-    def whole(self):
-        """The vocabulary file's own encoder, loaded when a text needs it."""
-        from tokenizers import Tokenizer
-
-        found = Tokenizer.from_file(self.path)
-        found.encode_special_tokens = True
-        return found
-
-    @staticmethod
-    def _ranks(path: str):
-        """The same vocabulary for the faster encoder, if its ranks lie beside the file."""
-        import tiktoken
-
-        beside = path.removesuffix(".json") + ".tiktoken"
-        if not os.path.exists(beside):
-            return None
-        from public_tokenizers import PATTERN
-
-        with open(beside, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
-
-    def _word(self, word: str) -> bytes:
-        if self.ranks is None:
-            return self._encode(word).tobytes()
-        return np.array(self.ranks.encode_ordinary(word), dtype=np.uint16).tobytes()
-
-    def ids(self, text: str) -> bytes:
-        """Two bytes per id, little-endian."""
-        if not text:
-            return b""
-        if not _plain(text):
-            return self._encode(text).tobytes()
-        if len(self.words) > KEPT_WORDS:
-            self.older, self.words = self.words, {}
-        first, *rest = text.split(" ")
-        parts = ([first] if first else []) + [" " + w for w in rest]
-        for word in set(parts).difference(self.words):
-            self.words[word] = self.older.get(word) or self._word(word)
-        return b"".join(map(self.words.__getitem__, parts))
-
-
-def _tokens(path: str) -> Tokens:
-    if _worker.get("path") != path:
-        _worker.update(path=path, tokens=Tokens(path))
-    return _worker["tokens"]
 
 
 def _tokenised(path: str):
     """``key, text`` to ``key, ids``: two bytes per token, the end token last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = _tokens(path), np.uint16(END).tobytes()
+        tokens = encoder(path)
+        if tokens.kind != np.uint16:
+            raise ValueError("ids are kept in two bytes; the vocabulary has more than 65,536")
         for batch in batches:
-            out, lo, size = [], 0, 0
-            for text in batch.column(1):
-                out.append(tokens.ids(text.as_py() or "") + end)
-                size += len(out[-1])
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(out)), pa.array(out, pa.binary())], ["key", "ids"])
-                    lo, out, size = lo + len(out), [], 0
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(out)), pa.array(out, pa.binary())], ["key", "ids"])
+            for lo, hi, ids, ends in tokens.encode(batch.column(1)):
+                # The end id goes in at the end of every row; a row's ids so begin one later for each row before it.
+                edges = ((ends + np.arange(len(ends))) * 2).astype(np.int32)
+                whole = np.insert(ids, ends[1:], np.uint16(END))
+                rows = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(edges), pa.py_buffer(whole)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), rows], ["key", "ids"])
 
     return run
 
