@@ -284,9 +284,9 @@ class TokenSequences(DataSource):
     def name(cls) -> str:
         return FORMAT
 
-    def schema(self) -> StructType:
+    def schema(self) -> StructType | str:
         if self.options.get("rows", "sequences") != "documents":
-            return StructType.fromDDL("sequence long, ids array<long>, mask array<boolean>")
+            return "sequence bigint, ids array<bigint>, mask array<boolean>"
         key = StructType.fromJson(json.loads(manifest(self.options["path"])["schema"]))[0]
         return StructType().add("key", key.dataType).add("start", "long").add("length", "long").add("ids", "binary")
 
