@@ -250,22 +250,31 @@ def svd_laws(spark, folder):
     f"""
     WITH {COUNTS}, useful AS (SELECT term FROM idf WHERE idf > 0)
     SELECT (SELECT count(*) FROM useful) AS terms, (SELECT count(DISTINCT doc_id) FROM tf WHERE term IN (SELECT term FROM useful)) AS documents,
-           true AS orthonormal, true AS satisfied
+           true AS orthonormal, true AS satisfied, true AS converged,
+           CAST(least(100, (SELECT count(DISTINCT doc_id) FROM tf WHERE term IN (SELECT term FROM useful))) AS INTEGER) AS rank
     """,
 )
 def lsa_laws(spark, folder):
-    """The decomposition of the text job: every term and document has its row, both sides are orthonormal, and A v = s u."""
+    """The decomposition of the text job at its rank: every term and document has its row, both sides are orthonormal,
+    and A v = s u and A'u = s v."""
     _, found, terms = concept_analysis(docs(spark, folder), stopwords(spark))
     k = found.s.count()
     off = [np.abs(gram_matrix(side, F.col("vec"), k) - np.eye(k)).max() for side in (found.u, found.v)]
     tf = counts(spark, folder).join(terms.select("id", "term", "idf"), "term")
     entries = tf.select(F.col("doc_id").alias("row"), F.col("id").alias("col"), (F.col("tf") / F.col("terms_in_doc") * F.col("idf")).alias("v"))
-    image = lsa._half_step(entries, found.v, "row", "col", k).select("id", F.col("vec").alias("av"))
     s = [r["s"] for r in found.s.orderBy("col").collect()]
-    gap = F.greatest(*[F.abs(F.col("av")[j] - F.lit(s[j]) * F.col("vec")[j]) for j in range(k)], F.lit(0.0))
-    worst = found.u.join(image, "id").agg(F.max(gap)).first()[0]
-    row = (found.v.count(), found.u.count(), bool(max(off) < 1e-6), bool(worst < 1e-6 * s[0]))
-    return spark.createDataFrame([row], "terms long, documents long, orthonormal boolean, satisfied boolean")
+    scale = F.lit(s).cast("array<double>")
+
+    def apart(side, other, key, across):
+        """Largest difference between the product with one side and s times the other."""
+        image = lsa._half_step(entries, side, key, across, k).select("id", F.col("vec").alias("image"))
+        off = F.zip_with("image", F.zip_with("vec", scale, lambda x, y: x * y), lambda x, y: F.abs(x - y))
+        return other.join(image, "id").agg(F.max(F.array_max(off))).first()[0] or 0.0
+
+    # One side is the exact image of the other, the other way round it holds within the tolerance of the fit.
+    gaps = apart(found.v, found.u, "row", "col"), apart(found.u, found.v, "col", "row")
+    row = (found.v.count(), found.u.count(), bool(max(off) < 1e-6), bool(min(gaps) < 1e-6 * s[0]), bool(max(gaps) < 1e-3 * s[0]), k)
+    return spark.createDataFrame([row], "terms long, documents long, orthonormal boolean, satisfied boolean, converged boolean, rank int")
 
 
 @query(

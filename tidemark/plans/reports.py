@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import classify, clustering, density, joins, lsa, recommend, regression, risk, sampling, stats, text, timeseries
+from tidemark.operators import classify, clustering, density, joins, lanczos, lsa, recommend, regression, risk, sampling, stats, text, timeseries
 from tidemark.operators.orderstat import lower_tail
 from tidemark.sources import delimited, files, histories
 from tidemark.session import written
 
 
+#: Rank of the decomposition of texts; a thousand is the same plan with more steps.
+RANK = 100
+
+
 def risk_report(
     trials: DataFrame, returns: DataFrame, resamples: int = 100, p_value: float = 0.05, seed: int = 1
 ) -> DataFrame:
@@ -57,13 +61,13 @@ def concept_analysis(
     concepts: int = 4,
     vocabulary: int | None = None,
     lemmas: DataFrame | None = None,
-    rank: int | None = None,
+    rank: int = RANK,
     terms_shown: int = 10,
 ) -> tuple[DataFrame, lsa.Decomposition, DataFrame]:
     """From texts ``(doc_id, text)`` to a concept report.
 
     Gives the report, the decomposition and the vocabulary ``(id, term, idf)``.
-    ``rank`` is that of the decomposition, ``concepts`` the number shown.  All
+    ``rank`` is that of the decomposition (cut to the matrix's), ``concepts`` the number shown.  All
     terms take part unless ``vocabulary`` asks for the most widespread ones.
     """
     # The counts are read several times; written once, the texts are not parsed again.
@@ -78,7 +82,7 @@ def concept_analysis(
     entries = text.tfidf(tf, terms).select(
         F.col("doc_id").alias("row"), F.col("id").alias("col"), F.col("w").alias("v")
     )
-    found = lsa.subspace_svd(written(entries), rank or concepts)
+    found = lanczos.lanczos_svd(written(entries), max(rank, concepts)).factors
     names = terms.select("id", F.col("term").alias("name"))
     doc_names = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("name"))
     report = lsa.concept_report(
