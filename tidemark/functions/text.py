@@ -57,18 +57,3 @@ def strip_html(c: Column) -> Column:
     body = F.regexp_replace(c, HIDDEN_HTML, " ")
     body = F.regexp_replace(body, r"<[^>]*>", " ")
     return F.trim(F.regexp_replace(body, r"[ \t\r\n]+", " "))
-
-
-def strip_wiki_markup(c: Column) -> Column:
-    """Plain text of simple wiki markup: templates, links, emphasis, tags."""
-    out = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
-    out = F.regexp_replace(out, r"(?is)<ref\b[^>]*/>|<ref\b.*?</ref\s*>", " ")
-    # Innermost templates first, so that a few rounds unfold nested ones.
-    for _ in range(3):
-        out = F.regexp_replace(out, r"\{\{[^{}]*\}\}", " ")
-    out = F.regexp_replace(out, r"(?s)\{\|.*?\|\}", " ")
-    out = F.regexp_replace(out, r"\[\[(?:[^\]|]*\|)?([^\]|]*)\]\]", "$1")
-    out = F.regexp_replace(out, r"\[https?://\S+ ?([^\]]*)\]", "$1")
-    out = F.regexp_replace(out, r"<[^>]*>", " ")
-    out = F.regexp_replace(out, r"'{2,}|={2,}", "")
-    return F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))

@@ -7,7 +7,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.text import is_only_letters, letter_tokens, strip_html, strip_wiki_markup
+from tidemark.functions.markup import strip_wiki
+from tidemark.functions.text import is_only_letters, letter_tokens, strip_html
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.stats import dense_index
 
@@ -26,7 +27,7 @@ def page_filter(pages: DataFrame, marker: str = "disambiguation") -> DataFrame:
 
 def dump_pages(pages: DataFrame) -> DataFrame:
     """Title and plain text of the articles of a dump."""
-    return page_filter(pages).select("title", strip_wiki_markup(F.col("text")).alias("text"))
+    return page_filter(pages).select("title", strip_wiki(F.col("text")).alias("text"))
 
 
 def html_title(c: Column) -> Column:

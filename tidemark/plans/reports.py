@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import classify, clustering, density, joins, lanczos, lsa, recommend, regression, risk, sampling, stats, text, timeseries
+from tidemark.operators import classify, clustering, density, joins, lanczos, lsa, morphology, recommend, regression, risk, sampling, stats, text, timeseries
 from tidemark.operators.orderstat import lower_tail
 from tidemark.sources import delimited, files, histories
 from tidemark.session import written
@@ -62,6 +62,7 @@ def concept_analysis(
     vocabulary: int | None = None,
     lemmas: DataFrame | None = None,
     rank: int = RANK,
+    learn_lemmas: bool = False,
     terms_shown: int = 10,
 ) -> tuple[DataFrame, lsa.Decomposition, DataFrame]:
     """From texts ``(doc_id, text)`` to a concept report.
@@ -69,12 +70,14 @@ def concept_analysis(
     Gives the report, the decomposition and the vocabulary ``(id, term, idf)``.
     ``rank`` is that of the decomposition (cut to the matrix's), ``concepts`` the number shown.  All
     terms take part unless ``vocabulary`` asks for the most widespread ones.
+    With ``learn_lemmas`` forms outside ``lemmas`` take the base form that its pairs teach.
     """
     # The counts are read several times; written once, the texts are not parsed again.
     if lemmas is None:
         tf = written(text.doc_terms(docs, stopwords))
     else:
-        tf = written(text.term_freq(text.term_filter(text.lemmatize(text.tokenize(docs), lemmas), stopwords)))
+        based = (morphology.lemmatize_learned if learn_lemmas else text.lemmatize)(text.tokenize(docs), lemmas)
+        tf = written(text.term_freq(text.term_filter(based, stopwords)))
     df = text.doc_freq(tf)
     if vocabulary is not None:
         df = text.top_vocabulary(df, vocabulary)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import text
+from tidemark.operators import morphology, sentences, text
 from tidemark.plans.catalog import query, rounded, spread, table
 from tidemark.session import cut_lineage
 
@@ -74,6 +74,102 @@ def lemmatize_dict(spark, folder):
     return text.lemmatize(text.tokenize(docs(spark, folder)), lemmas(spark))
 
 
+LEARNED = """
+    tokens AS (SELECT DISTINCT token FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}+')) AS token FROM documents)),
+    -- The table to learn from: of each capitalised word that the texts also have in lower case, the lower-cased word less
+    -- the last letter.
+    pairs AS (
+        SELECT a.token AS form, lower(b.token)[:-2] AS lemma FROM tokens a JOIN tokens b ON lower(a.token) = b.token AND a.token <> b.token
+        WHERE length(b.token) > 3 AND md5(b.token) < '8'),
+    same AS (
+        SELECT form, lemma, list_max(list_filter(range(least(length(form), length(lemma)) + 1), lambda i: form[1:i] = lemma[1:i])) AS same FROM pairs),
+    scripts AS (SELECT form, length(form) - same AS cut, lemma[same + 1:] AS put FROM same),
+    endings AS (
+        SELECT right(form, n) AS ending, cut, put, count(*) AS seen
+        FROM (SELECT *, unnest(range(least(length(form), 6) + 1)) AS n FROM scripts) WHERE n >= cut GROUP BY ALL HAVING count(*) > 1),
+    rules AS (SELECT ending, cut, put FROM endings QUALIFY row_number() OVER (PARTITION BY ending ORDER BY seen DESC, cut, put) = 1),
+    new AS (SELECT token AS form, unnest(range(least(length(token), 6) + 1)) AS n FROM tokens WHERE token NOT IN (SELECT form FROM pairs)),
+    best AS (
+        SELECT form, cut, put FROM new JOIN rules ON right(form, n) = ending QUALIFY row_number() OVER (PARTITION BY form ORDER BY n DESC) = 1)
+"""
+
+
+def learned_pairs(spark, folder):
+    """A table of forms made from the texts: half of the words that occur with and without a capital."""
+    tokens = text.tokenize(docs(spark, folder)).select("token").distinct()
+    lower = tokens.select(F.col("token").alias("low"))
+    both = tokens.join(lower, (F.lower("token") == F.col("low")) & (F.col("token") != F.col("low")))
+    kept = both.filter((F.length("low") > 3) & (F.md5(F.col("low").cast("binary")) < "8"))
+    return kept.select(F.col("token").alias("form"), F.substr("low", F.lit(1), F.length("low") - 1).alias("lemma"))
+
+
+@query(
+    "lemmatize_learned",
+    f"""
+    WITH {LEARNED}
+    SELECT token AS form, coalesce(p.lemma, left(token, length(token) - cut) || put, token) AS lemma
+    FROM tokens LEFT JOIN pairs p ON token = p.form LEFT JOIN best b ON token = b.form
+    """,
+)
+def lemmatize_learned(spark, folder):
+    """The base form of every word of the texts, in the table or not."""
+    words = text.tokenize(docs(spark, folder)).select("token").distinct().withColumn("form", F.col("token"))
+    return morphology.lemmatize_learned(words, learned_pairs(spark, folder)).withColumnRenamed("token", "lemma")
+
+
+BLANK_SQL = "[^ \\t\\n\\r\\f]"
+# The classes of sentences.PARTS, quoted for SQL.
+PARTS_SQL = sentences.PARTS.replace("'", "''")
+SENTENCES = f"""
+    pieces AS (
+        SELECT doc_id, i, p, sum(length(p)) OVER (PARTITION BY doc_id ORDER BY i) AS ends
+        FROM (SELECT doc_id, unnest(l) AS p, generate_subscripts(l, 1) AS i
+              FROM (SELECT doc_id, regexp_extract_all(text, '[ \\t\\n\\r\\f]*{BLANK_SQL}+') AS l FROM documents))),
+    places AS (SELECT *, regexp_extract(p, '{BLANK_SQL}+') AS token FROM pieces),
+    parts AS (
+        SELECT doc_id, i, ends, ends - length(token) AS starts,
+               regexp_extract(token, '{PARTS_SQL}', 1) AS core, regexp_extract(token, '{PARTS_SQL}', 2) AS mark FROM places),
+    words AS (
+        SELECT lower(core) AS word, count(*) AS total, count(*) FILTER (mark = '.') AS stops,
+               count(*) FILTER (regexp_matches(core, '^\\p{{Ll}}')) AS lowers FROM parts WHERE core <> '' GROUP BY 1)
+"""
+
+
+@query("word_stop_counts", f"WITH {SENTENCES} SELECT word, total, stops, lowers FROM words")
+def word_stop_counts(spark, folder):
+    return sentences.word_counts(docs(spark, folder))
+
+
+@query(
+    "sentence_split",
+    f"""
+    WITH {SENTENCES},
+    sums AS (SELECT sum(total)::DOUBLE AS n, sum(stops)::DOUBLE AS s FROM words),
+    scored AS (
+        SELECT word, -2 * (stops * ln(s / n) + (total - stops) * ln(1 - s / n) - stops * ln(0.99) - (total - stops) * ln(0.01)) * exp(-letters)
+               * (length(word) - letters + 1) * pow(letters, stops - total) AS score
+        FROM (SELECT *, length(replace(word, '.', ''))::DOUBLE AS letters FROM words), sums
+        WHERE stops > 0 AND s < n AND regexp_matches(word, '\\p{{L}}')),
+    ahead AS (
+        SELECT *, lower(core) AS word, lead(starts) OVER w AS next, lead(core) OVER w AS follows FROM parts
+        WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    places_left AS (
+        SELECT a.*, next IS NULL OR (mark <> '' AND NOT regexp_matches(follows, '^\\p{{Ll}}') AND (
+            mark <> '.' OR (NOT regexp_matches(a.word, '^\\p{{L}}$') AND (
+                NOT (coalesce(score, 0) >= 0.3 OR regexp_matches(a.word, '^[0-9]+([.,:][0-9]+)*$'))
+                OR (regexp_matches(follows, '^\\p{{Lu}}') AND coalesce(c.lowers, 0) > 0))))) AS boundary
+        FROM ahead a LEFT JOIN scored s ON s.word = a.word LEFT JOIN words c ON c.word = lower(follows)),
+    firsts AS (SELECT doc_id, min(starts) AS first FROM parts GROUP BY 1)
+    SELECT doc_id, CAST(row_number() OVER w - 1 AS INTEGER) AS sentence,
+           CAST(coalesce(lag(next) OVER w, first) AS INTEGER) AS start, CAST(ends AS INTEGER) AS end
+    FROM places_left JOIN firsts USING (doc_id) WHERE boundary WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    """,
+)
+def sentence_split(spark, folder):
+    """Sentences of every text as spans; abbreviations are found in the texts."""
+    return sentences.split_sentences(docs(spark, folder))
+
+
 @query("term_filter", f"WITH {TERMS} SELECT doc_id, pos, term FROM terms")
 def term_filter(spark, folder):
     return terms(spark, folder)
