@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from itertools import product
-from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.operators import trees
 from tidemark.operators.stats import count_by
 from tidemark.sources.delimited import with_vector
 
@@ -92,39 +92,32 @@ def accuracy(predictions: DataFrame) -> DataFrame:
     return predictions.agg(F.avg(hit).alias("accuracy"))
 
 
-def grid_search(
-    train: DataFrame,
-    held_out: DataFrame,
-    impurities=IMPURITIES,
-    depths=DEPTHS,
-    bins=BINS,
-    seed: int = 1,
-    parallelism: int = 4,
-) -> DataFrame:
+def grid_search(train: DataFrame, held_out: DataFrame, impurities=IMPURITIES, depths=DEPTHS, bins=BINS) -> DataFrame:
     """Accuracy of every combination of settings, best first.
 
-    The fits share the two kept tables and run a few at a time, so that the
-    cluster is not idle between the levels of one tree.
+    All trees grow in the same passes over the training points, and one pass over
+    the held-out points scores them; settings that differ in depth share a tree.
     """
-    train, held_out = train.persist(), held_out.persist()
-    try:
+    forest = trees.grow(train, list(product(impurities, bins)), max(depths))
+    settings = [(i, d, b) for i, b in sorted(forest.trees) for d in depths]
+    spark = train.sparkSession
+    schema = "setting int, impurity string, depth int, bins int"
+    named = spark.createDataFrame([(n, *s) for n, s in enumerate(settings)], schema)
+    hits = F.transform("predictions", lambda p: (p == F.col("label")).cast("double"))
+    each = trees.predict_all(forest, held_out, tuple(depths)).select(F.posexplode(hits).alias("setting", "hit"))
+    scored = each.groupBy("setting").agg(F.avg("hit").alias("accuracy"))
+    out = named.join(scored, "setting", "left").select("impurity", "depth", "bins", "accuracy")
+    return out.orderBy(F.desc("accuracy"), "impurity", "depth", "bins")
 
-        def score(setting):
-            model = fit_tree(train, *setting, seed=seed)
-            return (*setting, accuracy(predict(model, held_out)).first()["accuracy"])
 
-        with ThreadPool(parallelism) as pool:
-            rows = pool.map(score, list(product(impurities, depths, bins)))
-    finally:
-        train.unpersist()
-        held_out.unpersist()
-    frame = train.sparkSession.createDataFrame(rows, "impurity string, depth int, bins int, accuracy double")
-    return frame.orderBy(F.desc("accuracy"), "impurity", "depth", "bins")
+def predict_one(train: DataFrame, points: DataFrame, impurity: str = "gini", depth: int = 4, bins: int = 100) -> DataFrame:
+    """``points`` with the ``prediction`` of a tree grown on ``train``."""
+    forest = trees.grow(train, [(impurity, bins)], depth)
+    return trees.predict_all(forest, points, (depth,)).withColumn("prediction", F.col("predictions")[0]).drop("predictions")
 
 
 def refit(
     train: DataFrame, held_out: DataFrame, test: DataFrame, impurity: str = "entropy", depth: int = 20, bins: int = 300
 ) -> DataFrame:
     """Fit on both training parts and give the accuracy on the test part."""
-    model = fit_tree(train.unionByName(held_out), impurity, depth, bins)
-    return accuracy(predict(model, test))
+    return accuracy(predict_one(train.unionByName(held_out), test, impurity, depth, bins))

@@ -166,8 +166,7 @@ def cover_job(spark: SparkSession, path: str, classes: int, seed: int = 1) -> tu
     grid = classify.grid_search(train, held_out)
     best = grid.first()
     settings = (best["impurity"], best["depth"], best["bins"])
-    model = classify.fit_tree(train.unionByName(held_out), *settings)
-    measures = classify.precision_recall(classify.predict(model, test), classes)
+    measures = classify.precision_recall(classify.predict_one(train.unionByName(held_out), test, *settings), classes)
     return grid, classify.refit(train, held_out, test, *settings), measures
 
 
