@@ -263,6 +263,26 @@ def test_mix_comes_near_its_targets(spark):
         assert abs(r.n / r.t - 1) < 0.12
 
 
+def test_sources_of_fifty_documents_come_near_their_targets(spark):
+    """Sizes of one to some hundreds of words, and in each source one document of a third of it."""
+    r = np.random.default_rng(11)
+    rows = []
+    for source in range(30):
+        sizes = (r.lognormal(3, 1, 50) + 1).astype(int)
+        rows += [(source * 100 + i, "w " * int(n), f"s{source:02d}") for i, n in enumerate([*sizes, sizes.sum() // 2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix_plan(docs)
+    found = plan.groupBy("doc.source").agg(F.first("target").alias("t"), F.sum(F.col("size") * F.col("copies")).alias("n")).collect()
+    assert max(abs(x.n / x.t - 1) for x in found) < 0.05
+    whole = plan.select(F.max(F.col("copies") - F.floor(F.col("target") / F.col("source_size")))).first()[0]
+    assert whole == 1
+
+
+def test_source_column_with_a_dot(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "c", None)], "doc_id long, text string, `the.source` string")
+    assert mixing.mix_plan(docs, source="the.source").count() == 2
+
+
 def shards(rows, n=24, group="text", **options):
     return sharding.shard_by_splitters(rows, F.col(group), F.col("doc_id"), F.octet_length(F.coalesce("text", F.lit(""))) + 8, n, **options)
 
@@ -285,6 +305,16 @@ def test_shards_are_even_with_a_large_group(spark):
     assert spread.count() == 0
 
 
+def test_small_groups_of_equal_texts_stay_whole(spark):
+    """Groups of one to three equal texts: none lies in two shards, though every range boundary falls among them."""
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.expr("concat('t', cast(id % 2500 as string), repeat('x', cast(id % 2500 % 31 as int)))").alias("text"))
+    out = shards(rows)
+    assert out.groupBy("row.text").agg(F.countDistinct("shard").alias("n")).filter("n > 1").count() == 0
+    sums = [r.s for r in out.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    assert len(sums) == 24 and max(sums) / min(sums) < 1.2
+    assert out.groupBy("shard").agg((F.count("*") - F.max("slot")).alias("x")).filter("x <> 1").count() == 0
+
+
 def test_overfull_ranges_are_subdivided(spark, monkeypatch):
     monkeypatch.setattr(sharding, "DRAWS", 1)
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))

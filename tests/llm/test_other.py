@@ -88,6 +88,7 @@ def test_conversations_read_back(spark):
         assert w.over_budget == (w.tokens > 200)
         found = chat.parsed(w.text)
         assert "".join(chat.rendered(*x)[0] for x in found) == w.text
+        assert all(mark not in chat.escape(b) for _, b in found for mark in ("<", "</turn>", chat.OPEN))
         if w.window and w.conv_id and w.conv_id >= 100 and w.conv_id % 2:
             assert found[0] == ("system", "be kind") and w.repeated >= 1
         if w.over_budget:
@@ -95,6 +96,18 @@ def test_conversations_read_back(spark):
     assert chat.read_back(chat.chat_windows(turns.limit(0), TOKENIZER)).count() == 0
 
 
+def test_latest_system_turn_is_kept_from_any_place(spark):
+    said = [("user", "hello"), ("system", "first rules"), *[("user", "word " * 30)] * 6, ("system", "second rules"), *[("assistant", "word " * 30)] * 6]
+    turns = spark.createDataFrame([(1, i, a, b) for i, (a, b) in enumerate(said)], "conv_id long, turn long, role string, text string")
+    seen = 0
+    for w in chat.chat_windows(turns, TOKENIZER, budget=100, history=0).collect():
+        found = chat.parsed(w.text)
+        systems = [("system", b) for a, b in said[:seen] if a == "system"][-1:]
+        assert found[: w.repeated] == systems
+        seen += len(found) - w.repeated
+    assert seen == len(said)
+
+
 @pytest.mark.parametrize(
     "url, want",
     [

@@ -1,9 +1,10 @@
 """Chat formatting in windows of a token budget.
 
-Turns are rendered between markers; every ``<`` and backslash of a text gets a
-backslash before it, so no text can look like a marker and reading is exact. The
-sums of turn tokens choose spans of whole turns that fit the budget. Each later
-window begins with the system turn and, as far as they fit ``history`` tokens,
+Turns are rendered between markers; a ``<`` of a text is written as backslash and
+``l``, a backslash twice, so no marker and no other string in angle brackets occurs
+in a text and reading is exact. The sums of turn tokens, each turn encoded by
+itself, choose spans of whole turns that fit the budget. Each later window begins
+with the latest system turn before it, in whatever place that stood, and, as far as they fit ``history`` tokens,
 the turns before its span; these are repeats and not under the loss mask, so
 every assistant text is a target once.
 
@@ -25,15 +26,16 @@ from tidemark.llm.tokens import encoder
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
 BUDGET, HISTORY = 1024, 256
+_CODED = {"n": "\n", "l": "<"}
 _TURN = re.compile(r"<turn>((?:[^\\<\n]|\\.)*)\n((?:[^\\<]|\\.)*)</turn>\n", re.DOTALL)
 
 
 def escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("<", "\\<")
+    return text.replace("\\", "\\\\").replace("<", "\\l")
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text, flags=re.DOTALL)
+    return re.sub(r"\\(.)", lambda m: _CODED.get(m[1], m[1]), text, flags=re.DOTALL)
 
 
 def rendered(role: str, text: str) -> tuple[str, int, int]:
@@ -64,7 +66,7 @@ class Conversation:
         self.past: deque[tuple] = deque()
         self.span: list[tuple] = []
         self.lead: list[tuple] = []
-        self.used = self.window = self.turns = 0
+        self.used = self.window = 0
 
     def add(self, role: str, text: str, count) -> Iterator[tuple]:
         turn, start, end = rendered(role, text)
@@ -75,9 +77,8 @@ class Conversation:
             self.open(item[4])
         self.span.append(item)
         self.used += item[4]
-        if self.turns == 0 and role == "system":
+        if role == "system":
             self.system = item
-        self.turns += 1
 
     def open(self, first: int) -> None:
         """Begin a window: the system turn and as much history as leaves room for the first turn."""

@@ -2,9 +2,15 @@
 
 Words are totalled per source; the totals give every source a target, and the
 ratio of target to total is its repetition rate. A document is emitted
-``floor(rate)`` times, and once more when its hash falls below the fraction of
-the rate. The hash depends on a seed and the document's key alone, so reruns and
-retried tasks agree, and no row is moved but by the join with the source table.
+``floor(rate)`` times, and once more when its hash falls below a cut. The hash is
+seeded and depends on the document's key alone. Independent draws with the
+fraction of the rate as their chance would leave a source of few documents far
+from its target, so the cut of a source is the one at which the words below it
+come nearest to the words that the fraction asks for: over all keys the chance is
+the fraction. Documents of more than an eighth of their source (at most seven)
+would upset that; of them those get the copy, smallest first, that fit what
+is asked for, and the others fill the rest. Words are summed by 2^16 ranges of the
+hash, so nothing is sorted and no row is moved but by the join with the sources.
 """
 
 from __future__ import annotations
@@ -18,6 +24,8 @@ from tidemark.session import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Up to so many sources the source table is broadcast (under 1 MB); beyond, it is joined by a shuffle.
 BROADCAST_SOURCES = 10_000
+#: Ranges of the hash by which words are summed, and the share of a source (one of so many parts) above which a document is large.
+RANGES, LARGE = 1 << 16, 8
 
 
 def word_count(text: Column) -> Column:
@@ -41,7 +49,7 @@ def source_targets(docs: DataFrame, size: Column, source: str = "source", weight
     is highest exactly where the capped sources end, so one pass finds it.
     A source of size 0 has target and rate 0.
     """
-    per_source = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
+    per_source = docs.groupBy(F.col(f"`{source}`").alias("source")).agg(F.sum(size).alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.row_number().over(order) - 1) % len(weights) + 1)
     cap = F.col("source_size") * F.lit(float(limit))
@@ -60,6 +68,39 @@ def source_targets(docs: DataFrame, size: Column, source: str = "source", weight
     )
 
 
+def source_cuts(sizes: DataFrame, rates: DataFrame) -> DataFrame:
+    """Per source: ``cut``, the first range of hashes without an extra copy, and ``largest``, the last large document with one.
+
+    ``sizes`` has ``source, size, unit``, the hash. Rows equal in size and hash are treated alike.
+    """
+    asked = (F.col("rate") - F.floor("rate")) * F.col("source_size")
+    rows = sizes.join(_small(rates).withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    rows = rows.withColumn("asked", asked).filter("asked > 0")
+    by_size = Window.partitionBy("source").orderBy("size", "unit")
+    large = rows.filter(is_large()).withColumn("sum", F.sum("size").over(by_size)).filter("sum <= asked")
+    large = large.groupBy("source").agg(F.sum("size").alias("used"), F.max(F.struct("size", "unit")).alias("largest"))
+    ranges = rows.filter(~is_large()).groupBy("source", hash_range().alias("range")).agg(F.sum("size").alias("size"), F.first("asked").alias("asked"))
+    known = large.withColumnRenamed("source", "_source")
+    ranges = ranges.join(known, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    upto = F.sum("size").over(Window.partitionBy("source").orderBy("range"))
+    nearer = ranges.withColumn("twice", 2 * upto - F.col("size")).filter(F.col("twice") <= 2 * (F.col("asked") - F.coalesce("used", F.lit(0))))
+    cut = nearer.groupBy(F.col("source").alias("_source")).agg((F.max("range") + 1).alias("cut"))
+    out = rates.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    return out.join(known.drop("used"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
+def is_large() -> Column:
+    return F.col("size") * LARGE > F.col("source_size")
+
+
+def hash_range() -> Column:
+    return F.floor(F.col("unit") * RANGES).cast("int")
+
+
+def _small(rates: DataFrame) -> DataFrame:
+    return F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
+
+
 def mix_plan(
     docs: DataFrame,
     text: str = "text",
@@ -75,16 +116,17 @@ def mix_plan(
     rows with one key get the same draw; an empty table gives an empty result.
     The row stays a struct, so columns of any name are kept.
     """
-    size = word_count(F.col("doc")[text])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rates = written(source_targets(rows.select(F.col("doc")[source].alias("source"), size.alias("size")), F.col("size"), "source", weights, limit))
-    if rates.count() <= BROADCAST_SOURCES:
-        rates = F.broadcast(rates)
-    whole = F.floor("rate")
-    extra = (unit_hash(F.col("doc")[key], seed) < F.col("rate") - whole).cast("long")
-    return rows.join(rates, F.col("doc")[source].eqNullSafe(F.col("source"))).select(
-        "doc", size.alias("size"), "source_size", "target", (whole + extra).alias("copies")
-    )
+    rows = rows.select("doc", word_count(F.col("doc")[text]).alias("size"), unit_hash(F.col("doc")[key], seed).alias("unit"))
+    # Words are counted once for the sums; the numbers are a small part of the texts.
+    sizes = written(rows.select(F.col("doc")[source].alias("source"), "size", "unit"))
+    rates = written(source_targets(sizes, F.col("size"), "source", weights, limit))
+    cuts = written(source_cuts(sizes, rates))
+    joined = rows.join(_small(cuts), F.col("doc")[source].eqNullSafe(F.col("source")))
+    mine = F.struct("size", "unit")
+    extra = F.when(is_large(), mine <= F.col("largest")).otherwise(hash_range() < F.col("cut"))
+    copies = F.floor("rate") + F.coalesce(extra, F.lit(False)).cast("long")
+    return joined.select("doc", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:

@@ -29,11 +29,24 @@ with docs as (
     select *, least(source_size * 3.0::double, max(lev) over () * weight) target from levels
 ), rates as (
     select *, case when source_size > 0 then target / source_size else 0 end rate from targets
+), drawn as (
+    select d.doc_id, d.source, d.size, r.source_size, r.target, r.rate, (r.rate - floor(r.rate)) * r.source_size asked,
+        ('0x' || substr(md5('mix:' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0::double u
+    from docs d join rates r on d.source is not distinct from r.source
+), large as (
+    select source, sum(size) used, max({'size': size, 'u': u}) largest from (
+        select *, sum(size) over (partition by source order by size, u) upto from drawn where size * 8 > source_size and asked > 0
+    ) where upto <= asked group by source
+), ranges as (
+    select source, floor(u * 65536)::int r, sum(size) size, any_value(asked) asked from drawn where size * 8 <= source_size and asked > 0 group by all
+), cuts as (
+    select x.source, max(r) + 1 cut from (select *, 2 * sum(size) over (partition by source order by r) - size twice from ranges) x
+    left join large l on x.source is not distinct from l.source where twice <= 2 * (asked - coalesce(used, 0)) group by all
 )
-select d.doc_id, d.size, r.source_size, r.target,
-    (d.size * (floor(r.rate) + (('0x' || substr(md5('mix:' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0::double
-        < r.rate - floor(r.rate))::int))::bigint taken
-from docs d join rates r on d.source is not distinct from r.source
+select d.doc_id, d.size, d.source_size, d.target,
+    (d.size * (floor(d.rate) + coalesce(case when d.size * 8 > d.source_size then {'size': d.size, 'u': d.u} <= l.largest
+        else floor(d.u * 65536) < c.cut end, false)::int))::bigint taken
+from drawn d left join large l on d.source is not distinct from l.source left join cuts c on d.source is not distinct from c.source
 """
 
 

@@ -1,8 +1,8 @@
 """Sharding by sampled splitters, in built-in functions only.
 
 A record's place is one number: the high half is a hash of its group, the low
-half one of its own id. Groups so stay together, and a group that is larger than
-a range is cut like anything else. Records are drawn with a chance in proportion
+half one of its own id. Groups so stay together: a range begins where a group
+does, and only a group of more than an eighth of a shard may be cut. Records are drawn with a chance in proportion
 to their size; quantiles of the drawn places bound many small ranges. The true
 size of each range is then summed, ranges that came out overfull are subdivided
 by another draw inside them, and neighbouring ranges are joined into shards of
@@ -21,6 +21,8 @@ from tidemark.session import written
 DRAWS = 16
 #: Rows that a range should hold at most, until there are MOST_RANGES for each shard.
 RANGE_ROWS, LEAST_RANGES, MOST_RANGES = 100_000, 64, 1024
+#: A group of up to this part of a shard (one eighth) is not cut.
+WHOLE = 8
 
 
 def place(group: Column, key: Column) -> Column:
@@ -46,16 +48,22 @@ def range_of(where: Column, splits: list[int]) -> Column:
     return F.when(first == len(parts), F.lit(len(splits))).otherwise(first * step + rest)
 
 
-def drawn_splits(rows: DataFrame, total: float, pieces: int, seed: int) -> list[int]:
-    """Splitters that cut ``rows`` of ``total`` size into about ``pieces`` equal parts."""
+def drawn_splits(rows: DataFrame, total: float, pieces: int, seed: int, whole: float) -> list[int]:
+    """Splitters that cut ``rows`` of ``total`` size into about ``pieces`` equal parts, and no group up to the size ``whole``."""
     chance = F.col("size") * F.lit(DRAWS * pieces / total)
     unit = F.xxhash64("place", "size", F.lit(seed)).bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
     drawn = rows.filter(unit < chance).select("place", F.greatest(chance, F.lit(1.0)).alias("weight")).orderBy("place").collect()
     weight, step = sum(r.weight for r in drawn), 1
+    groups: dict[int, float] = {}
+    for r in drawn:
+        groups[r.place >> 32] = groups.get(r.place >> 32, 0.0) + r.weight
     splits, seen = [], 0.0
     for r in drawn:
-        if splits[-1:] != [r.place] and seen >= step * weight / pieces:
-            splits.append(r.place)
+        # Where the group is not to be cut, the range begins where the group does.
+        group = r.place >> 32
+        at = r.place if groups[group] > whole * weight / total else group << 32
+        if (not splits or at > splits[-1]) and seen >= step * weight / pieces:
+            splits.append(at)
             step = int(seen * pieces / weight) + 1
         seen += r.weight
     return splits
@@ -84,7 +92,8 @@ def shard_by_splitters(docs: DataFrame, group: Column, key: Column, size: Column
     if not count:
         return rows.select("row", "size", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     ranges = shards * min(MOST_RANGES, max(LEAST_RANGES, math.ceil(count / shards / RANGE_ROWS)))
-    splits = drawn_splits(rows, total, ranges, seed)
+    whole = total / shards / WHOLE
+    splits = drawn_splits(rows, total, ranges, seed, whole)
     sizes = range_sizes(rows, splits)
     for again in range(1, rounds + 1):
         over = [i for i, (s, n) in enumerate(sizes) if s > 2 * total / ranges and n > 1]
@@ -92,7 +101,7 @@ def shard_by_splitters(docs: DataFrame, group: Column, key: Column, size: Column
             break
         inside = sum(sizes[i][0] for i in over)
         full = rows.filter(F.array_contains(numbers(over), range_of(F.col("place"), splits).cast("long")))
-        more = drawn_splits(full, inside, math.ceil(2 * inside * ranges / total), seed + again)
+        more = drawn_splits(full, inside, math.ceil(2 * inside * ranges / total), seed + again, whole)
         merged = sorted({*splits, *more})
         if merged == splits:
             break
