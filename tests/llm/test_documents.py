@@ -370,6 +370,39 @@ def test_retrieval_follows_the_best_unused_neighbour():
     assert abs(index.scores(0)[4] - want) < 1e-9
 
 
+@pytest.mark.parametrize("filled", [0, 37])
+def test_windows_are_filled_from_their_seeds(filled):
+    r = np.random.default_rng(9)
+    docs = [r.choice(60, r.integers(0, 25)).astype(np.uint16) for _ in range(50)] + [np.array([500 + i]) for i in range(4)]
+    idf, window = r.random(1 << 16), 64
+    # Plain scores, and the order as the docstring has it.
+    usual = 12.0
+    weight = [{t: idf[t] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * max(len(d), 1) / usual)) for t, c in zip(*np.unique(d, return_counts=True), strict=True)} for d in docs]
+    score = lambda a, b: sum(w for t, w in weight[b].items() if t in weight[a])
+    want, at, seed = [], filled, None
+
+    def lay(d):
+        nonlocal at
+        want.append(d)
+        before, at = at // window, at + len(docs[d]) + 1
+        return at // window > before
+
+    while len(want) < len(docs):
+        left = [d for d in range(len(docs)) if d not in want]
+        if seed is None:
+            seed = left[0]
+            if lay(seed):
+                seed = seed if at % window else None
+                continue
+            left = left[1:]
+        ranked, seed = sorted((d for d in left if score(seed, d) > 1e-12), key=lambda d: (-score(seed, d), d)), None
+        for d in ranked:
+            if lay(d):
+                seed = d if at % window else None
+                break
+    assert packing.retrieval_order(docs, idf, usual, window, filled) == want
+
+
 def test_retrieval_scores_all_terms_of_a_seed():
     """Forty light terms shared outweigh one heavy term; frequent terms and rare ones add up as by brute force."""
     idf = np.ones(1 << 16)

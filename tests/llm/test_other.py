@@ -200,3 +200,13 @@ def test_every_stage_takes_effect(spark):
 
 def test_pipeline_is_registered_whole():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language", "near_duplicates", "mixing", "packing"]
+
+
+def test_one_defined_row_of_an_id_or_of_a_text_without_id_stays(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    same = [(1, f"words of text {i} that differ from all others {i * 7}", "en", s, None) for i in range(4) for s in ("b", "a")]
+    nameless = [(None, t, "en", s, None) for t in ("alone", None) for s in ("d", "c")]
+    docs = spark.createDataFrame([*same, *nameless, (2, "quite another text with words of its own", "en", "x", None)], schema)
+    found = [sorted(map(str, corpus_pipeline.drop_near_duplicates(spark, d, "").collect())) for d in (docs, docs.repartition(5), docs.orderBy(F.desc("text"), "source"))]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 4
+    assert sorted(corpus_pipeline.drop_near_duplicates(spark, docs, "").columns) == sorted(docs.columns)

@@ -1,12 +1,12 @@
-"""Packing by lexical retrieval: each window goes on with the document most like the one before.
+"""Packing by lexical retrieval: each window is filled with the documents most like the one it begins with.
 
 Documents are tokenised where they lie and stored as tokens; every split of that
 table is a shard with an inverted index of its own. It is read block by block,
 so the index stays small; its BM25 weights use the document frequencies and mean
-length of the whole corpus. From a seed document on, the unused
-neighbour of the highest score comes next, and the next unused seed where there
-is none. The tokens are laid end to end in this order and cut into windows, so
-only the end of a shard is padded.
+length of the whole corpus. The document at the start of a window is its seed, and
+the seed's unused neighbours follow by score until the window is full. The tokens
+are laid end to end in this order and cut into windows, so only the end of a shard
+is padded; a document that is cut opens the next window as its seed.
 """
 
 from __future__ import annotations
@@ -96,22 +96,46 @@ class Index:
         return self.base[doc] + np.bincount(owner, weights=weight, minlength=len(self.base))
 
 
-def retrieval_order(docs: list[np.ndarray], idf: np.ndarray, usual: float) -> list[int]:
-    """A chain through all documents: the best-scored unused one, of equal ones the first; else the first unused."""
-    index, unused, chain, seed = Index(docs, idf, usual), np.ones(len(docs), dtype=bool), [], 0
-    while len(chain) < len(docs):
-        while seed < len(docs) and not unused[seed]:
-            seed += 1
-        doc = seed
-        while True:
-            chain.append(doc)
-            unused[doc] = False
-            scores = index.scores(doc) * unused
-            best = int(scores.argmax())
-            if scores[best] <= 0:
+def retrieval_order(docs: list[np.ndarray], idf: np.ndarray, usual: float, window: int = WINDOW, filled: int = 0) -> list[int]:
+    """All documents in the order in which they fill windows.
+
+    A window's seed is the document at its start: the one whose end runs over from
+    the window before, or else the first unused. Its unused neighbours follow by
+    score, equal ones in table order, until the window is full; where they do not
+    suffice, the first unused document goes on as another seed. ``filled`` is what
+    the first window holds already; documents are counted with their end token.
+    """
+    index, unused, order, first = Index(docs, idf, usual), np.ones(len(docs), dtype=bool), [], 0
+
+    def place(doc: int) -> bool:
+        """Lay a document down; tells whether a window was filled by it."""
+        nonlocal filled
+        order.append(doc)
+        unused[doc] = False
+        before, filled = filled // window, filled + len(docs[doc]) + 1
+        return filled // window > before
+
+    seed = None
+    while len(order) < len(docs):
+        if seed is None:
+            while not unused[first]:
+                first += 1
+            seed = first
+            if place(seed):
+                seed = seed if filled % window else None
+                continue
+        scores = index.scores(seed) * unused
+        ranked = np.flatnonzero(scores > 0)
+        ranked = ranked[np.argsort(-scores[ranked], kind="stable")]
+        last, seed = seed, None
+        for doc in ranked.tolist():
+            if place(doc):
+                # What runs over opens the next window.
+                seed = doc if filled % window else None
                 break
-            doc = best
-    return chain
+        if seed == last:
+            seed = None
+    return order
 
 
 PIECES = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -128,7 +152,7 @@ def _packed(idf: np.ndarray, usual: float, window: int):
         def block(keys: list[pa.Array], docs: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal filled
             rows, who = [], []
-            for d in retrieval_order([x[:-1] for x in docs], idf, usual):
+            for d in retrieval_order([x[:-1] for x in docs], idf, usual, window, filled):
                 ids, start = docs[d].astype("<u4"), 0
                 while start < len(ids):
                     room = window - filled % window
