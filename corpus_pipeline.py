@@ -39,12 +39,27 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, that of the smallest id; rows without an id go."""
-    found = written(hyperminhash.near_duplicates(docs).filter("kept").select("doc_id"))
+    """One document of each near-duplicate group, that of the smallest id.
+
+    Of several rows with that id the one of the smallest text digest stays, so
+    reruns agree. Rows without an id have no group; of those with equal texts one
+    stays.
+    """
+    found = written(hyperminhash.near_duplicates(docs.filter("doc_id is not null")).filter("kept").select("doc_id"))
     # The ids grow with the documents, so they are never broadcast.
     kept = docs.join(found.distinct().hint("merge"), "doc_id", "left_semi").select(docs.columns)
-    once = found.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return kept if once else kept.dropDuplicates(["doc_id"])
+    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        kept = _first_rows(kept, ["doc_id"])
+    nameless = docs.filter("doc_id is null")
+    return kept if nameless.isEmpty() else kept.unionByName(_first_rows(nameless, ["text"]))
+
+
+def _first_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """For each key the row of the smallest digest of its text, and of all its columns where texts are equal."""
+    order = [F.sha2(F.col(c).cast("string").cast("binary"), 256) for c in ["text", *docs.columns]]
+    rows = docs.withColumn("_row", F.struct(F.array(*order).alias("_digests"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_kept")))
+    first = rows.groupBy(*keys).agg(F.min_by("_row._kept", "_row._digests").alias("_kept"))
+    return first.select("_kept.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
