@@ -272,3 +272,26 @@ def test_terms(spark):
     assert idf["cats"] == pytest.approx(np.log(3 / 2)) and idf["sat"] == pytest.approx(np.log(3))
     w = text.tfidf(tf, text.idf(text.doc_freq(tf), docs)).filter("doc_id = 1 AND term = 'sat'").first()
     assert w.w == pytest.approx(np.log(3) / 5)
+
+
+@pytest.mark.parametrize("direct", [1 << 21, 0])
+def test_sets_of_centres_move_side_by_side(spark, monkeypatch, direct):
+    from tidemark.operators import clustering
+
+    monkeypatch.setattr(clustering, "DIRECT", direct)
+    r = np.random.default_rng(2)
+    table = np.round(r.standard_normal((60, 3)), 1)
+    points = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(table)] + [(99, None)], "id int, features array<double>").repartition(3)
+    first = clustering.starting_centers(points, 7, F.col("id"))
+    assert first == table[:7].tolist()
+    # Two centres at one place: the second one stays empty and where it is.
+    starts = [first[:2], first, [first[0], first[0]]]
+    got = clustering.shared_lloyd(points, starts, rounds=30)
+    for start, moved in zip(starts, got, strict=True):
+        want = np.array(start)
+        for _ in range(30):
+            which = ((table[:, None] - want) ** 2).sum(axis=2).argmin(axis=1)
+            want = np.array([table[which == c].mean(axis=0) if (which == c).any() else want[c] for c in range(len(want))])
+        assert np.abs(np.array(moved) - want).max() < 1e-9
+    assert clustering.shared_lloyd(points.limit(0), [first], rounds=2) == [first]
+    assert {r.score for r in clustering.k_sweep(points.filter("id = 99"), ks=(2,)).collect()} == {None}

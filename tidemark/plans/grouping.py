@@ -94,16 +94,51 @@ def kmeans_fit(spark, folder):
     return out.agg(F.count("*").alias("n"), F.avg("distance").alias("mean_distance"))
 
 
-@query("kmeans_final")
+def lloyd_sql(ks: list[int], rounds: int) -> str:
+    """Common tables of k-means for several k, from the points of lowest digest on: ``moved`` has the centres after each round."""
+    means = ", ".join(f"coalesce(avg(x[{j}]) FILTER (near), any_value(m[{j}]))" for j in range(1, WIDTH + 1))
+    return f"""
+    RECURSIVE pts AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    firsts AS (SELECT x, CAST(row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR))) - 1 AS INTEGER) AS c FROM pts),
+    moved AS (
+        SELECT 0 AS r, k, c, x AS m FROM firsts, (SELECT unnest({ks}) AS k) WHERE c < k
+        UNION ALL
+        SELECT r + 1, k, c, [{means}] AS m
+        FROM (SELECT moved.*, vec_id, x, row_number() OVER (PARTITION BY k, vec_id ORDER BY list_distance(x, m), c) = 1 AS near
+              FROM moved, pts WHERE r < {rounds})
+        GROUP BY r, k, c)
+    """
+
+
+def by_digest():
+    return F.md5(F.col("vec_id").cast("string").cast("binary"))
+
+
+@query(
+    "kmeans_final",
+    f"""
+    WITH {lloyd_sql([clustering.FINAL_K], 20)}
+    SELECT c AS cluster, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS dim, round(unnest(m), 8) AS value FROM moved WHERE r = 20
+    """,
+)
 def kmeans_final(spark, folder):
-    """Library fit with a hundred clusters: the centres."""
-    rows = clustering.centers(clustering.fit(points(spark, folder), clustering.FINAL_K))
-    return clustering.centers_frame(spark, rows)
+    """A hundred clusters: the centres after twenty rounds."""
+    pts = points(spark, folder)
+    (rows,) = clustering.shared_lloyd(pts, [clustering.starting_centers(pts, clustering.FINAL_K, by_digest())])
+    return clustering.centers_frame(spark, rows).withColumn("value", rounded("value", 8))
 
 
-@query("k_sweep")
+@query(
+    "k_sweep",
+    f"""
+    WITH {lloyd_sql(list(clustering.SWEEP), 20)},
+    near AS (SELECT k, vec_id, min(list_distance(x, m)) AS d FROM moved, pts WHERE r = 20 GROUP BY ALL)
+    SELECT k, round(avg(d), 8) AS score FROM near GROUP BY k
+    """,
+)
 def k_sweep(spark, folder):
-    return clustering.k_sweep(points(spark, folder))
+    """All numbers of clusters in the same twenty scans."""
+    return clustering.k_sweep(points(spark, folder), order=by_digest()).withColumn("score", rounded("score", 8))
 
 
 @query("kmeans_fit_laws", "SELECT count(*) AS n, true AS nearest, true AS no_worse_than_one FROM embeddings")

@@ -30,7 +30,7 @@ def terms(spark, folder):
 
 
 def counts(spark, folder):
-    return text.doc_terms(table(spark, folder, "documents").select("doc_id", "text"), stopwords(spark))
+    return text.doc_terms(docs(spark, folder), stopwords(spark))
 
 
 def stored_counts(spark, folder):
