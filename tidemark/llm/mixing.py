@@ -79,12 +79,21 @@ def source_cuts(sizes: DataFrame, rates: DataFrame) -> DataFrame:
     by_size = Window.partitionBy("source").orderBy("size", "unit")
     large = rows.filter(is_large()).withColumn("sum", F.sum("size").over(by_size)).filter("sum <= asked")
     large = large.groupBy("source").agg(F.sum("size").alias("used"), F.max(F.struct("size", "unit")).alias("largest"))
-    ranges = rows.filter(~is_large()).groupBy("source", hash_range().alias("range")).agg(F.sum("size").alias("size"), F.first("asked").alias("asked"))
     known = large.withColumnRenamed("source", "_source")
-    ranges = ranges.join(known, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("range"))
-    nearer = ranges.withColumn("twice", 2 * upto - F.col("size")).filter(F.col("twice") <= 2 * (F.col("asked") - F.coalesce("used", F.lit(0))))
-    cut = nearer.groupBy(F.col("source").alias("_source")).agg((F.max("range") + 1).alias("cut"))
+    ranges = written(rows.filter(~is_large()).groupBy("source", hash_range().alias("range")).agg(F.sum("size").alias("size"), F.first("asked").alias("asked")))
+    ranges = ranges.join(known.drop("largest"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    ranges = ranges.withColumn("left", F.col("asked") - F.coalesce("used", F.lit(0))).drop("asked", "used")
+    # First the group of ranges in which the words run out, then the range in it; a window sees only the square root of all ranges.
+    step = 1 << (RANGES.bit_length() // 2)
+    upto = F.sum("size").over(Window.partitionBy("source").orderBy("group"))
+    groups = ranges.groupBy("source", F.floor(F.col("range") / step).alias("group")).agg(F.sum("size").alias("size"), F.first("left").alias("left"))
+    groups = groups.withColumn("before", upto - F.col("size")).filter(F.col("before") <= F.col("left"))
+    last = groups.groupBy(F.col("source").alias("_source")).agg(F.max(F.struct("group", "before")).alias("last"))
+    inside = ranges.join(last, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").filter(F.floor(F.col("range") / step) == F.col("last.group"))
+    upto = F.col("last.before") + F.sum("size").over(Window.partitionBy("source").orderBy("range"))
+    reached = (F.col("range") + 1) * (2 * upto - F.col("size") <= 2 * F.col("left")).cast("int")
+    cut = inside.select(F.col("source").alias("_source"), F.greatest(reached, (F.col("last.group") * step).cast("int")).alias("cut"))
+    cut = cut.groupBy("_source").agg(F.max("cut").alias("cut"))
     out = rates.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     return out.join(known.drop("used"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ _ASCII = np.zeros(256, dtype=bool)
 _ASCII[0x21:0x7F] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
+# White space that the two libraries may tell differently.
+_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".,;:!?")] = True
 
@@ -80,8 +83,10 @@ class Encoder:
         return tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        """The ids of one text as bytes of ``kind``."""
-        return b"".join(ids.tobytes() for _, _, ids, _ in self.encode(pa.array([text])))
+        """The ids of one short text as bytes of ``kind``."""
+        known = self.ranks is not None and not _RARE.search(text)
+        ids = self.ranks.encode_ordinary(text) if known else self.whole.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype=self.kind).tobytes()
 
     def _together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of pieces without other white space than a blank in front, as lines of one text."""
