@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -86,19 +88,64 @@ def _quantiles(samples: DataFrame, shares: list[float]) -> list[float]:
     return sorted(set(found or []))
 
 
-def _weighted(samples: DataFrame, kept: list[str], resamples: int, seed: int) -> DataFrame:
-    """Rows of ``kept`` columns, resample ``r`` and weight ``w``, where w > 0.
+#: Weights that a task holds at a time.
+CELLS = 1 << 20
 
-    The weights are recomputed from the row id wherever they are needed and
-    never stored.
+
+def _sums(samples: DataFrame, group: str, resamples: int, seed: int, gate: str | None = None, ends: list[int] | None = None) -> DataFrame:
+    """``(r, group, n, s)``: summed weights and weighted values per resample and group.
+
+    The digests of a row's id hold its weights in all resamples, so a slice of rows
+    is one matrix of weights in its task, and only sums per group leave the task.
+    With a gate, a row counts in resample r where its gate equals ``ends[r]``.
     """
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((resamples + 3) // 4 - 1)))
-    based = samples.select("id", *kept, blocks.alias("block"))
-    hashed = based.select(*kept, "block", rng.digest(seed, F.col("id"), F.col("block")).alias("d"))
-    spread = hashed.select(*kept, "block", F.posexplode(F.array(*rng.lanes(F.col("d")))).alias("lane", "h"))
-    r = (F.col("block") * 4 + F.col("lane")).alias("r")
-    weighed = spread.select(*kept, r, rng.poisson1(F.col("h")).alias("w"))
-    return weighed.filter((F.col("w") > 0) & (F.col("r") < resamples))
+    blocks = (resamples + 3) // 4
+    digests = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda block: rng.digest(seed, F.col("id"), block))
+    rows = samples.select("x", group, *([gate] if gate else []), F.unhex(F.array_join(digests, "")).alias("_d"))
+    # The group may be the value itself.
+    rows = rows.toDF("x", "g", *(["gate"] if gate else []), "d")
+    cuts = np.array([int(c, 16) for c in rng.poisson1_cuts()], dtype=np.uint32)
+    wanted = np.array(ends, dtype=np.int64) if gate else None
+    step = max(CELLS // resamples, 1)
+
+    def merged(keys, n, s):
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[first], np.add.reduceat(n[order], first), np.add.reduceat(s[order], first)
+
+    def reduce(batches):
+        held = None
+
+        def rows_of(keys, n, s):
+            g, r = np.nonzero(n)
+            return pa.record_batch([pa.array(r.astype(np.int32)), pa.array(keys[g]), pa.array(n[g, r]), pa.array(s[g, r])], names=["r", group, "n", "s"])
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            digest = batch.column("d").cast(pa.binary(16 * blocks))
+            lanes = np.frombuffer(digest.buffers()[1], dtype=">u4").reshape(-1, 4 * blocks)[digest.offset :]
+            x = batch.column("x").to_numpy(zero_copy_only=False)
+            g = batch.column("g").to_numpy(zero_copy_only=False)
+            for lo in range(0, batch.num_rows, step):
+                part = slice(lo, min(lo + step, batch.num_rows))
+                w = np.searchsorted(cuts, lanes[part, :resamples].astype(np.uint32), side="right").astype(np.int64)
+                if gate:
+                    w *= batch.column("gate").to_numpy(zero_copy_only=False)[part, None] == wanted
+                with np.errstate(invalid="ignore"):
+                    s = np.where(w > 0, w * x[part, None], 0.0)
+                found = merged(g[part], w, s)
+                held = merged(*map(np.concatenate, zip(held, found, strict=True))) if held else found
+                if held[1].size > 4 * CELLS:
+                    yield rows_of(*held)
+                    held = None
+        if held:
+            yield rows_of(*held)
+
+    kind = samples.schema[group].dataType.simpleString()
+    sums = rows.mapInArrow(reduce, f"r int, {group} {kind}, n bigint, s double")
+    return sums.groupBy("r", group).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
 
 
 CARRIED = ["r", "trials", "k", "base_n", "base_s"]
@@ -135,12 +182,11 @@ def bootstrap_tails(
     """
     samples = trials.select(F.col(row_id).alias("id"), F.col(column).cast("double").alias("x"))
     samples = samples.filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    n, s = F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("s")
 
     # The edges follow the sample, up to somewhat beyond the end of the tail.
     edges = _quantiles(samples, [1.5 / divisor * (i + 1) / buckets for i in range(buckets)])
     placed = _with_bucket(samples, edges)
-    sums = _weighted(placed, ["x", "b"], resamples, seed).groupBy("r", "b").agg(n, s)
+    sums = _sums(placed, "b", resamples, seed)
     whole = F.sum("n").over(Window.partitionBy("r"))
     first = sums.withColumns({"trials": whole, "base_n": F.lit(0).cast("bigint"), "base_s": F.lit(0.0)})
     first = first.withColumn("k", F.greatest(F.floor(F.col("trials") / divisor), F.lit(1)))
@@ -148,9 +194,11 @@ def bootstrap_tails(
     ended = cut_lineage(_crossing(first, "b"))
 
     while True:
-        found = ended.select("b", "n").collect()
-        ends = sorted({row["b"] for row in found})
-        inside = placed.filter(F.col("b").isin(ends))
+        found = ended.select("r", "b", "n").collect()
+        ends = [-1] * resamples
+        for row in found:
+            ends[row["r"]] = row["b"]
+        inside = placed.filter(F.col("b").isin(sorted(set(ends))))
         if max((row["n"] for row in found if row["b"] % 2 == 0), default=0) <= few_rows:
             break
         finer = _quantiles(inside, [(i + 1) / (buckets + 1) for i in range(buckets)])
@@ -159,14 +207,11 @@ def bootstrap_tails(
             break
         edges = finer
         split = _with_bucket(inside.withColumnRenamed("b", "p"), edges)
-        open_rows = _weighted(split, ["x", "p", "b"], resamples, seed)
-        parents = ended.select(*CARRIED, F.col("b").alias("p"))
-        sums = open_rows.join(F.broadcast(parents), ["r", "p"]).groupBy(*CARRIED, "b").agg(n, s)
-        ended = cut_lineage(_crossing(sums, "b"))
+        sums = _sums(split, "b", resamples, seed, "p", ends)
+        ended = cut_lineage(_crossing(sums.join(F.broadcast(ended.select(*CARRIED)), "r"), "b"))
         placed = split.drop("p")
 
-    rows = _weighted(inside, ["x", "b"], resamples, seed)
-    left = rows.join(F.broadcast(ended.select(*CARRIED, "b")), ["r", "b"]).groupBy(*CARRIED, "x").agg(n)
+    left = _sums(inside, "x", resamples, seed, "b", ends).join(F.broadcast(ended.select(*CARRIED)), "r")
     final = _crossing(left.withColumn("s", F.col("n") * F.col("x")), "x")
     rest = F.col("k") - F.col("base_n")
     return final.select(
