@@ -1,8 +1,11 @@
 from datetime import date, timedelta
+from fractions import Fraction
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from tidemark.operators import regression, timeseries
+from tidemark.operators import regression, timeseries, triangular
 
 
 def history(spark, rows, series="s"):
@@ -99,6 +102,49 @@ def test_ols_gives_null_when_not_solvable(spark):
     assert [r.weights for r in regression.ols(*panel(spark, {"a": np.arange(2.0)}, short), 2).collect()] == [None]
 
 
+def exact_weights(x, y):
+    """Least squares with intercept in fractions."""
+    rows = [[Fraction(1), *map(Fraction, map(float, row))] for row in x]
+    size = len(rows[0])
+    system = [[sum(r[i] * r[j] for r in rows) for j in range(size)] + [sum(r[i] * Fraction(float(v)) for r, v in zip(rows, y))] for i in range(size)]
+    for k in range(size):
+        system[k] = [v / system[k][k] for v in system[k]]
+        for i in range(size):
+            if i != k:
+                system[i] = [a - system[i][k] * b for a, b in zip(system[i], system[k])]
+    return [float(row[-1]) for row in system]
+
+
+@pytest.mark.parametrize("apart, noise", [(1e-7, 1e-6), (1e-5, 1.0)])
+def test_ols_of_nearly_equal_factors(spark, apart, noise):
+    # The products of such columns are singular in doubles, the columns are not.
+    gen = np.random.default_rng(4)
+    a = gen.normal(size=120)
+    x = np.column_stack([a, a + apart * gen.normal(size=120)])
+    y = 2 * x[:, 0] - x[:, 1] + noise * gen.normal(size=120)
+    got, want = regression.ols(*panel(spark, {"a": y}, x), 2).first().weights, exact_weights(x, y)
+    assert np.linalg.norm(np.subtract(got, want)) < 1e-8 * np.linalg.norm(want)
+
+
+def test_triangles_do_not_depend_on_partitions(spark):
+    table = np.random.default_rng(5).normal(size=(300, 3))
+    rows = spark.createDataFrame([("hot" if i % 3 else f"k{i % 9}", [float(v) for v in row]) for i, row in enumerate(table)] + [(None, [0.0] * 3), ("hot", None)], "key string, v array<double>")
+    for parts in (1, 7):
+        got = {r.key: (np.array(r.factor).reshape(-1, 3), r.n) for r in triangular.grouped_triangle(rows.repartition(parts), F.col("v"), 3, "key").collect()}
+        assert set(got) == {"hot", "k0", "k3", "k6"}
+        for key, (factor, n) in got.items():
+            part = np.array([row for i, row in enumerate(table) if ("hot" if i % 3 else f"k{i % 9}") == key])
+            assert n == len(part)
+            np.testing.assert_allclose(factor.T @ factor, part.T @ part, rtol=1e-10, atol=1e-10)
+    assert triangular.grouped_triangle(rows.limit(0), F.col("v"), 3, "key").count() == 0
+
+
+def test_least_squares_shuffle_the_factors_once(spark):
+    rows = spark.range(10).selectExpr("id AS key", "array(1.0D, id * 1.0D) AS v")
+    plan = triangular.grouped_triangle(rows, F.col("v"), 2, "key")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_root_of_a_semidefinite_covariance():
     model = regression.FactorModel(["a", "b"], np.zeros(2), np.array([[1.0, 1.0], [1.0, 1.0]]))
     root = model.root()

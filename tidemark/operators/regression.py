@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import arrays
-from tidemark.operators.gram import grouped_gram, triangle
 from tidemark.operators.joins import lookup_join
+from tidemark.operators.triangular import grouped_triangle
 from tidemark.session import cut_lineage
 
 
@@ -65,21 +66,31 @@ def factor_features(matrix: DataFrame, factors: list[str]) -> DataFrame:
     return matrix.select("date", F.array(*arrays.featurize([F.col(f"`{f}`") for f in factors])).alias("x"))
 
 
+#: Smallest share of the largest singular value of a system that can be solved.
+SINGULAR = 1e-12
+
+
+def _finite(c: Column) -> Column:
+    return F.abs(c) < F.lit(math.inf)
+
+
 def ols(
     returns: DataFrame, features: DataFrame, width: int, instrument: str = "series", y: str = "ret"
 ) -> DataFrame:
     """Least squares with intercept of ``y`` on ``x`` for every instrument.
 
     Gives ``(instrument, weights)`` with the intercept first; the weights are
-    NULL where the system is singular or has too few periods; periods without all
-    features are left out.  Only sums of products are shuffled.  The features are centred and scaled by their overall
-    moments first, which keeps squares, roots and values of one factor apart
-    numerically.
+    NULL where the system is singular (a condition above 1 / ``SINGULAR`` after scaling) or
+    has too few periods; periods without all features are left out, and so are returns that are
+    NULL or not finite.  The triangular factor of an instrument's rows is built in the tasks and
+    merged in one shuffle, so the error grows with the condition of the features and not with its square.
+    The features are centred and scaled by their overall moments first, which keeps squares,
+    roots and values of one factor apart numerically.
     """
     # One row per period, so the table is bounded by the calendar; it is used twice.
-    complete = features.select("date", "x").filter(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+    complete = features.select("date", "x").filter(F.forall("x", lambda v: v.isNotNull() & _finite(v)))
     features = cut_lineage(complete)
-    returns = returns.filter(F.col(y).isNotNull() & ~F.isnan(y))
+    returns = returns.filter(F.col(y).isNotNull() & _finite(F.col(y)))
     moments = features.agg(
         *[F.avg(F.col("x")[j]) for j in range(width)],
         *[F.stddev_pop(F.col("x")[j]) for j in range(width)],
@@ -94,28 +105,27 @@ def ols(
         (F.col("x")[j] - F.lit(float(mean[j]))) / F.lit(float(sd[j])) for j in range(width)
     ]
     size = width + 1
-    # Intercept, features and response in one array; the last column of products belongs to y.
-    products = grouped_gram(joined, F.array(F.lit(1.0), *scaled, F.col(y)), size + 1, instrument)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "value")))
-    sums = products.groupBy(instrument).agg(F.transform(ordered, lambda e: e["value"]).alias("sums"))
-    left, right = triangle(size + 1)
+    # Intercept, features and response in one array; the last column of the factor belongs to y.
+    factors = grouped_triangle(joined, F.array(F.lit(1.0), *scaled, F.col(y)), size + 1, instrument)
 
-    def solve(batch: pd.Series) -> pd.Series:
+    def solve(factor: pd.Series, n: pd.Series) -> pd.Series:
         out = []
-        for values in batch:
-            full = np.zeros((size + 1, size + 1))
-            full[left, right] = full[right, left] = np.asarray(values, dtype=float)
-            gram, moment = full[:size, :size], full[:size, size]
-            enough = gram[0, 0] >= size and np.linalg.matrix_rank(gram, tol=1e-9 * gram[0, 0]) == size
-            if not enough:
+        for values, rows in zip(factor, n, strict=True):
+            r = np.asarray(values, dtype=float).reshape(-1, size + 1)
+            if rows < size:
+                out.append(None)
+                continue
+            upper, moment = r[:size, :size], r[:size, size]
+            spectrum = np.linalg.svd(upper, compute_uv=False)
+            if not spectrum[-1] > SINGULAR * spectrum[0]:
                 out.append(None)
                 continue
-            beta = np.linalg.solve(gram, moment)
+            beta = np.linalg.solve(upper, moment)
             slopes = beta[1:] / sd
             out.append(np.concatenate([[beta[0] - slopes @ mean], slopes]))
         return pd.Series(out, dtype=object)
 
-    return sums.select(instrument, F.pandas_udf(solve, "array<double>")("sums").alias("weights"))
+    return factors.select(instrument, F.pandas_udf(solve, "array<double>")("factor", "n").alias("weights"))
 
 
 def fitted(returns: DataFrame, features: DataFrame, weights: DataFrame, instrument: str = "series") -> DataFrame:
