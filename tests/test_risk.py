@@ -152,6 +152,36 @@ def test_density(spark):
     assert sum(r.density for r in curve) * (values.max() - values.min()) / 100 == pytest.approx(1.0, abs=0.05)
 
 
+@pytest.mark.parametrize("shape", ["normal", "far apart", "hot"])
+def test_density_equals_the_exact_sum(spark, shape):
+    gen = np.random.default_rng(6)
+    values = gen.normal(1e6, 2.0, 3000)
+    if shape == "far apart":
+        values[:3] = [-1e9, 0.0, 1e9]
+    elif shape == "hot":
+        values[:1500] = 1e6
+    h = 1.06 * values.std() * len(values) ** -0.2
+    at = np.concatenate([gen.uniform(values.min(), values.max(), 500), gen.choice(values, 1500), [values.max() + 50 * h]])
+    points = spark.createDataFrame([(i, float(x)) for i, x in enumerate(at)], "point int, x double")
+    got = [r.density for r in density.density_at(frame(spark, values), "x", points).orderBy("point").collect()]
+    want = np.array([np.exp(-0.5 * ((p - values) / h) ** 2).mean() for p in at]) / (h * math.sqrt(2 * math.pi))
+    assert np.abs(np.array(got) - want).max() < 1e-8 * want.max()
+    assert density.boxes(frame(spark, values), "x", float(h)).count() < 60
+
+
+def test_density_of_odd_points(spark):
+    df = frame(spark, [1.0, 2.0, 4.0])
+    points = spark.createDataFrame([(0, None), (1, math.nan), (2, math.inf), (3, 2.0), (3, 2.0), (None, 2.0)], "point int, x double")
+    got = density.density_at(df, "x", points).collect()
+    assert len(got) == 6
+    assert [r.density for r in got if r.x is None or math.isnan(r.x)] == [None, None]
+    assert [r.density for r in got if r.x == math.inf] == [0.0]
+    assert len({r.density for r in got if r.x == 2.0}) == 1
+    assert density.density_at(df, "x", points.limit(0)).count() == 0
+    odd = [r.density for r in density.density_at(frame(spark, [1.0, math.inf]), "x", points).collect()]
+    assert all(math.isnan(d) for d in odd)
+
+
 def test_density_without_spread(spark):
     got = density.density_curve(frame(spark, [3.0] * 5), "x", 4).collect()
     assert [(r.x, r.density) for r in got] == [(3.0, None)] * 4

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -20,8 +20,11 @@ def bandwidth(samples: DataFrame, column: str) -> DataFrame:
     return samples.agg(_bandwidth(F.col(column)).alias("bandwidth"))
 
 
-# Samples that meet all points at a time.
-BLOCK = 4096
+#: Terms of the series of a box. Within half a bandwidth of its centre the terms left out sum
+#: to less than 1e-15 of the kernel's height.
+TERMS = 20
+#: Boxes on either side of a point that it meets; the kernel is below 1e-19 beyond them.
+REACH = 10
 
 
 def _clean(samples: DataFrame, column: str) -> DataFrame:
@@ -30,44 +33,80 @@ def _clean(samples: DataFrame, column: str) -> DataFrame:
     return samples.select(x.alias(column)).filter(F.col(column).isNotNull() & ~F.isnan(column))
 
 
-def _densities(samples: DataFrame, column: str, places: list[float], h: float | None) -> DataFrame:
-    """Mean kernel height at each place: ``(point, x, density)``.
+def boxes(samples: DataFrame, column: str, h: float) -> DataFrame:
+    """``(box, n, moments)``: the sample by boxes of one bandwidth.
 
-    Samples meet the points in blocks inside a task, and one row per point leaves
-    it.  Without spread the density is NULL.
+    ``moments`` holds the sums of v^k / k! for k below ``TERMS``, with v the distance from the
+    centre of the box in units of h times the root of two. One aggregate of
+    sums; however large the sample, few boxes are in use.
     """
-    at = np.asarray(places, dtype=float)
-
-    def heights(batches):
-        total, n = np.zeros(len(at)), 0
-        for batch in batches:
-            x = batch.column(0).to_numpy(zero_copy_only=False)
-            for start in range(0, len(x), BLOCK):
-                z = (at - x[start : start + BLOCK, None]) / h
-                total += np.exp(-0.5 * z * z).sum(axis=0)
-            n += len(x)
-        if n:
-            total /= h * np.sqrt(2 * np.pi)
-            points = pa.array(np.arange(len(at), dtype=np.int32))
-            yield pa.record_batch([points, pa.array(total), pa.array(np.full(len(at), n))], names=["point", "total", "n"])
-
-    place = F.get(F.array(*[F.lit(float(p)) for p in places]), F.col("point"))
-    if not h:
-        points = samples.sparkSession.range(len(places)).select(F.col("id").cast("int").alias("point"))
-        some = points.join(samples.limit(1).select(F.lit(1)), how="left_semi")
-        return some.select("point", place.alias("x"), F.lit(None).cast("double").alias("density"))
-    sums = samples.select(column).mapInArrow(heights, "point int, total double, n long").groupBy("point")
-    return sums.agg((F.sum("total") / F.sum("n")).alias("density")).select("point", place.alias("x"), "density")
+    x, v = F.col(column), F.col("_v")
+    box = F.floor(x / F.lit(h)).cast("bigint")
+    placed = samples.select(x, box.alias("box"))
+    placed = placed.select("box", ((x - _centre(F.col("box"), h)) / F.lit(h * math.sqrt(2))).alias("_v"))
+    # Powers of v are multiplied up column by column, each from the one before.
+    powers = [f"_v{k}" for k in range(1, TERMS)]
+    placed = placed.withColumn("_v1", v)
+    for k in range(2, TERMS):
+        placed = placed.withColumn(f"_v{k}", F.col(f"_v{k - 1}") * v / F.lit(float(k)))
+    sums = placed.groupBy("box").agg(F.count("*").alias("n"), *[F.sum(p).alias(p) for p in powers])
+    return sums.select("box", "n", F.array(F.col("n").cast("double"), *powers).alias("moments"))
 
 
-def estimate(samples: DataFrame, column: str, points: list[float]) -> DataFrame:
-    """Density of the sample at the given points: ``(point, x, density)``.
+def _centre(box: Column, h: float) -> Column:
+    return (box.cast("double") + 0.5) * F.lit(h)
+
+
+def _series(u: Column, moments: Column) -> Column:
+    """Sum of ``moments[k]`` times the Hermite function of degree k at u."""
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("below"), F.exp(-u * u).alias("at"), F.lit(0.0).alias("k"))
+
+    def step(acc: Column, moment: Column) -> Column:
+        above = 2.0 * u * acc["at"] - 2.0 * acc["k"] * acc["below"]
+        return F.struct(
+            (acc["total"] + moment * acc["at"]).alias("total"), acc["at"].alias("below"), above.alias("at"), (acc["k"] + 1.0).alias("k")
+        )
+
+    return F.aggregate(moments, start, step, lambda acc: acc["total"])
+
+
+def density_at(samples: DataFrame, column: str, points: DataFrame) -> DataFrame:
+    """Density of the sample at the rows of ``points(point, x)``: ``(point, x, density)``.
 
-    One aggregate gives the bandwidth, which then is a constant of the second.
+    Samples are reduced to moments in boxes of one bandwidth, and a point
+    meets the boxes within ``REACH`` of its own, so the cost is one pass over the sample
+    and boxes near the points, not samples times points. The error is below 1e-15 of
+    the kernel's height at its centre. Both sides are tables of any size. NULL and NaN
+    samples take no part; a sample without spread gives NULL densities, an empty one
+    no rows, a point that is NULL or NaN a NULL density; with infinite samples all densities are NaN.
     """
     samples = _clean(samples, column)
-    h = bandwidth(samples, column).first()["bandwidth"]
-    return _densities(samples, column, points, h)
+    return _densities(samples, column, points, bandwidth(samples, column).first()["bandwidth"])
+
+
+def _densities(samples: DataFrame, column: str, points: DataFrame, h: float | None) -> DataFrame:
+    points = points.select("point", F.col("x").cast("double").alias("x"))
+    if not h or not math.isfinite(h):
+        some = points.join(samples.limit(1).select(F.lit(1)), how="left_semi")
+        return some.withColumn("density", F.lit(math.nan if h else None).cast("double"))
+    places = points.select("x").filter(F.abs("x") < F.lit(math.inf)).distinct()
+    own = F.floor(F.col("x") / F.lit(h)).cast("bigint")
+    near = places.select("x", F.explode(F.sequence(own - REACH, own + REACH)).alias("box"))
+    table = boxes(samples, column, h)
+    u = (F.col("x") - _centre(F.col("box"), h)) / F.lit(h * math.sqrt(2))
+    met = near.join(table, "box").select("x", _series(u, F.col("moments")).alias("height"))
+    heights = met.groupBy("x").agg(F.sum("height").alias("height"))
+    total = samples.agg(F.count("*").alias("_n"))
+    scaled = F.coalesce(F.greatest("height", F.lit(0.0)), F.lit(0.0)) / (F.col("_n") * F.lit(h * math.sqrt(2 * math.pi)))
+    density = F.when(F.col("x").isNotNull() & ~F.isnan("x"), scaled).alias("density")
+    # One row on the right side.
+    return points.join(heights, "x", "left").join(F.broadcast(total)).select("point", "x", density)
+
+
+def estimate(samples: DataFrame, column: str, points: list[float]) -> DataFrame:
+    """Density of the sample at the given points: ``(point, x, density)``."""
+    spark = samples.sparkSession
+    return density_at(samples, column, spark.createDataFrame([(i, float(x)) for i, x in enumerate(points)], "point int, x double"))
 
 
 # Fixed value: steps of a curve.
@@ -80,4 +119,6 @@ def density_curve(samples: DataFrame, column: str, steps: int = STEPS) -> DataFr
     h, low, high = samples.agg(_bandwidth(c), F.min(c), F.max(c)).first()
     if low is None:
         low = high = 0.0
-    return _densities(samples, column, [low + i * (high - low) / steps for i in range(steps)], h)
+    point = F.col("id").cast("int")
+    points = samples.sparkSession.range(steps).select(point.alias("point"), (F.lit(low) + F.col("id") * F.lit(high - low) / F.lit(steps)).alias("x"))
+    return _densities(samples, column, points, h)
