@@ -79,28 +79,28 @@ def density_at(samples: DataFrame, column: str, points: DataFrame) -> DataFrame:
     the kernel's height at its centre. Both sides are tables of any size. NULL and NaN
     samples take no part; a sample without spread gives NULL densities, an empty one
     no rows, a point that is NULL or NaN a NULL density; with infinite samples all densities are NaN.
+    Equal rows of points give one row.
     """
-    samples = _clean(samples, column)
-    return _densities(samples, column, points, bandwidth(samples, column).first()["bandwidth"])
+    samples, c = _clean(samples, column), F.col(column)
+    return _densities(samples, column, points, *samples.agg(_bandwidth(c), F.count(c)).first())
 
 
-def _densities(samples: DataFrame, column: str, points: DataFrame, h: float | None) -> DataFrame:
-    points = points.select("point", F.col("x").cast("double").alias("x"))
+def _densities(samples: DataFrame, column: str, points: DataFrame, h: float | None, n: int) -> DataFrame:
+    x = F.col("x")
+    points = points.select("point", x.cast("double").alias("x"))
     if not h or not math.isfinite(h):
-        some = points.join(samples.limit(1).select(F.lit(1)), how="left_semi")
-        return some.withColumn("density", F.lit(math.nan if h else None).cast("double"))
-    places = points.select("x").filter(F.abs("x") < F.lit(math.inf)).distinct()
-    own = F.floor(F.col("x") / F.lit(h)).cast("bigint")
-    near = places.select("x", F.explode(F.sequence(own - REACH, own + REACH)).alias("box"))
-    table = boxes(samples, column, h)
-    u = (F.col("x") - _centre(F.col("box"), h)) / F.lit(h * math.sqrt(2))
-    met = near.join(table, "box").select("x", _series(u, F.col("moments")).alias("height"))
-    heights = met.groupBy("x").agg(F.sum("height").alias("height"))
-    total = samples.agg(F.count("*").alias("_n"))
-    scaled = F.coalesce(F.greatest("height", F.lit(0.0)), F.lit(0.0)) / (F.col("_n") * F.lit(h * math.sqrt(2 * math.pi)))
-    density = F.when(F.col("x").isNotNull() & ~F.isnan("x"), scaled).alias("density")
-    # One row on the right side.
-    return points.join(heights, "x", "left").join(F.broadcast(total)).select("point", "x", density)
+        return points.distinct().withColumn("density", F.lit(math.nan if h else None).cast("double")).filter(F.lit(n > 0))
+    # Far beyond all samples a point meets no box.
+    own = F.when(F.abs(x / F.lit(h)) < F.lit(2.0**62), F.floor(x / F.lit(h)).cast("bigint"))
+    placed = points.withColumn("_own", own)
+    near = placed.select("point", "x", "_own", F.explode_outer(F.sequence(F.col("_own") - REACH, F.col("_own") + REACH)).alias("box"))
+    u = (x - _centre(F.col("box"), h)) / F.lit(h * math.sqrt(2))
+    met = near.join(boxes(samples, column, h), "box", "left").withColumn("_height", _series(u, F.col("moments")))
+    # A row of points that stands there twice meets every box twice.
+    copies = F.greatest(F.count_if(F.col("box") == F.col("_own")), F.lit(1))
+    sums = met.groupBy("point", "x").agg((F.coalesce(F.sum("_height"), F.lit(0.0)) / copies).alias("_height"))
+    density = F.greatest("_height", F.lit(0.0)) / F.lit(n * h * math.sqrt(2 * math.pi))
+    return sums.select("point", "x", F.when(x.isNotNull() & ~F.isnan(x), density).alias("density"))
 
 
 def estimate(samples: DataFrame, column: str, points: list[float]) -> DataFrame:
@@ -116,9 +116,9 @@ STEPS = 100
 def density_curve(samples: DataFrame, column: str, steps: int = STEPS) -> DataFrame:
     """Density from the minimum up to, not including, the maximum, in equal steps."""
     samples, c = _clean(samples, column), F.col(column)
-    h, low, high = samples.agg(_bandwidth(c), F.min(c), F.max(c)).first()
+    h, n, low, high = samples.agg(_bandwidth(c), F.count(c), F.min(c), F.max(c)).first()
     if low is None:
         low = high = 0.0
     point = F.col("id").cast("int")
     points = samples.sparkSession.range(steps).select(point.alias("point"), (F.lit(low) + F.col("id") * F.lit(high - low) / F.lit(steps)).alias("x"))
-    return _densities(samples, column, points, h)
+    return _densities(samples, column, points, h, n)

@@ -9,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Keys of one batch that leaves a task.
+KEYS = 1024
+
+
 def _segments(batch: pa.RecordBatch, key: str) -> Iterator[tuple[object, slice]]:
     """Runs of equal keys of a batch."""
     encoded = batch.column(key).dictionary_encode()
@@ -28,9 +32,12 @@ def _reduced(key: str, kind: pa.DataType, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, factor, n = None, None, 0
+        done: list[tuple] = []
 
-        def row() -> pa.RecordBatch:
-            columns = [pa.array([last], type=kind), pa.array([factor.ravel()], type=pa.list_(pa.float64())), pa.array([n], type=pa.int64())]
+        def rows() -> pa.RecordBatch:
+            names, factors, counts = zip(*done, strict=True)
+            done.clear()
+            columns = [pa.array(names, type=kind), pa.array(factors, type=pa.list_(pa.float64())), pa.array(counts, type=pa.int64())]
             return pa.record_batch(columns, names=[key, "_vec", "_n"])
 
         for batch in batches:
@@ -42,12 +49,16 @@ def _reduced(key: str, kind: pa.DataType, width: int):
             for name, part in _segments(batch, key):
                 table = flat[ends[part.start] : ends[part.stop]].reshape(-1, width)
                 if factor is not None and name != last:
-                    yield row()
+                    done.append((last, factor.ravel(), n))
                     factor, n = None, 0
+                    if len(done) == KEYS:
+                        yield rows()
                 table = table if factor is None else np.vstack([factor, table])
                 last, factor, n = name, np.linalg.qr(table, mode="r"), n + int(counts[part].sum())
         if factor is not None:
-            yield row()
+            done.append((last, factor.ravel(), n))
+        if done:
+            yield rows()
 
     return run
 
