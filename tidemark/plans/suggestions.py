@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import recommend
+from tidemark.operators import innertop, recommend
 from tidemark.operators.joins import resolve_alias
 from tidemark.plans.catalog import query, rounded, table
 from tidemark.plans.inputs import aliases, plays
@@ -100,3 +100,22 @@ def factor_gap(spark, folder, **options):
 def als_fit_gap(spark, folder):
     """The same after the whole fit of ``als_factors``."""
     return factor_gap(spark, folder)
+
+
+@query(
+    "recommend_users",
+    """
+    WITH scores AS (
+        SELECT CAST(q.vec_id AS BIGINT) AS user, CAST(e.vec_id AS BIGINT) AS item,
+               list_inner_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score
+        FROM embeddings e, embeddings q WHERE q.vec_id % 20 = 0),
+    best AS (SELECT *, row_number() OVER (PARTITION BY user ORDER BY score DESC, item) AS rank FROM scores QUALIFY rank <= 5)
+    SELECT user, item, round(score, 8) AS score, CAST(rank AS INTEGER) AS rank FROM best
+    """,
+)
+def recommend_users(spark, folder):
+    """Five items for each user whose id is divisible by 20, in one go."""
+    factors = given_factors(spark, folder)
+    stored = innertop.store_by_norm(factors)
+    best = innertop.top_inner(stored, factors.filter(F.col("id") % 20 == 0), 5)
+    return best.select(F.col("query").cast("long").alias("user"), F.col("id").cast("long").alias("item"), rounded("score", 8).alias("score"), F.col("rank").cast("int").alias("rank"))
