@@ -61,3 +61,19 @@ def test_term_counts_round_trip(spark, tmp_path):
     assert sorted(back, key=len) == [{"alpha": 5}, {"alpha": 2, "beta": 1}]
     termcounts.save_term_counts(tf, str(tmp_path / "counts"))
     assert spark.read.parquet(str(tmp_path / "counts")).exceptAll(tf).count() == 0
+
+
+def test_histories_are_read_in_one_scan(spark, tmp_path):
+    files = {"ok": "2014-01-01,1\n2014-01-02,2", "text": "2014-01-01,x\n2014-01-02,2", "short": "2014-01-01,1\n2014-01-02", "day": "2014-13-01,1", "none": ""}
+    for name, body in files.items():
+        (tmp_path / f"{name}.csv").write_text(f"Date,Open\n{body}\n")
+    kept = histories.read_histories(spark, str(tmp_path))
+    assert sorted((r.series, str(r.date), r.value) for r in kept.collect()) == [("ok", "2014-01-01", 1.0), ("ok", "2014-01-02", 2.0)]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan
+
+
+def test_rows_without_a_series_stay(spark):
+    rows = spark.createDataFrame([(None, None, 1.0), ("a", "2014-01-01", None), ("a", "2014-01-02", 1.0), ("b", "2014-01-01", 2.0)], "series string, date string, value double")
+    assert sorted(r.value for r in histories.drop_bad_series(rows).collect()) == [1.0, 2.0]
+    assert histories.drop_bad_series(rows.limit(0)).count() == 0

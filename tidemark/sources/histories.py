@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.text import split_fields
-from tidemark.operators.joins import lookup_join
 
 COMMA_DATE = "yyyy-MM-dd"
 TAB_DATE = "MMM d, yyyy"
@@ -46,10 +45,14 @@ def parse_history_tsv(lines: DataFrame, series: str = "series", strict: bool = T
 
 
 def drop_bad_series(parsed: DataFrame, series: str = "series") -> DataFrame:
-    """Leave out every series that has a row without a date or a value."""
+    """Leave out every series that has a row without a date or a value.
+
+    The rows are read once and dealt by series, as the steps on histories need
+    them anyway. Rows without a series are kept.
+    """
     bad = F.col("date").isNull() | F.col("value").isNull()
-    broken = parsed.filter(bad).select(series).distinct()
-    return lookup_join(parsed, broken, [series], how="left_anti")
+    broken = F.bool_or(bad).over(Window.partitionBy(series))
+    return parsed.withColumn("_broken", broken).filter(F.col(series).isNull() | ~F.col("_broken")).drop("_broken")
 
 
 def _file_series() -> Column:
