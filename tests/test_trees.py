@@ -88,3 +88,13 @@ def test_one_class_equal_points_and_none(spark):
     assert trees.grow(same.limit(0), [("gini", 10)], 3).classes == 0
     grid = classify.grid_search(same, same, depths=(1, 2), bins=(4,)).collect()
     assert len(grid) == 4 and {r.accuracy for r in grid} == {30 / 35}
+
+
+def test_edges_are_exact_quantiles_of_many_values(spark):
+    x = np.random.default_rng(8).standard_normal((30_000, 2)).round(5)
+    x[:9000, 1] = 0.25  # one value that holds many ranks
+    rows = spark.createDataFrame(x.tolist(), "a double, b double").selectExpr("array(a, b) features")
+    for bins, edges in trees.bin_edges(rows.repartition(5), (10, 300)).items():
+        for f in range(2):
+            ranked = np.sort(x[:, f])
+            assert edges[f].tolist() == sorted({ranked[max(math.ceil(i / bins * 30_000), 1) - 1] for i in range(1, bins)})

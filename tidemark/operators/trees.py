@@ -1,6 +1,6 @@
 """Decision trees grown for several settings in the same passes.
 
-Features are cut into bins once, at sampled quantiles, and the points stored as
+Features are cut into bins once, at their exact quantiles, and the points stored as
 bin codes. As long as a node has many points, one pass over them counts classes
 per (tree, node, feature, bin) for all trees together and the counts, merged by
 a shuffle, give the best splits of the level. A node that has become small goes,
@@ -10,12 +10,13 @@ is the upper part of a deeper one, so settings that differ in depth share a tree
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from tidemark.session import discard, written
@@ -27,6 +28,8 @@ COUNTERS = 1 << 23
 #: Decimals in which the gains of splits are compared; equal ones go to the lowest feature, then the lowest bin.
 DECIMALS = 6
 _SKETCH = 10_000
+#: Slices of a feature among which its quantiles are looked for.
+SLICES = 2048
 
 
 @dataclass
@@ -41,15 +44,71 @@ class Tree:
 
 
 def bin_edges(points: DataFrame, bins: tuple[int, ...]) -> dict[int, list[np.ndarray]]:
-    """For each number of bins, the edges of every feature: its distinct quantiles. A value belongs to the first edge not below it."""
-    cells = points.select(F.posexplode("features").alias("feature", "x"))
-    shares = [[i / n for i in range(1, n)] for n in bins]
-    sketches = [F.percentile_approx(F.col("x").cast("double"), F.array(*map(F.lit, s)), _SKETCH).alias(f"_{n}") for n, s in zip(bins, shares, strict=True) if s]
+    """For each number of bins, the edges of every feature: its distinct quantiles. A value belongs to the first edge not below it.
+
+    Quantiles are exact. A sketch cuts every feature into slices, one aggregate counts their values, and only the
+    slices that hold a wanted rank are looked at value by value; equal values are counted, not listed.
+    """
+    cells = points.select(F.posexplode("features").alias("feature", "x")).select("feature", F.col("x").cast("double").alias("x")).filter("x is not null")
+    shares = F.array(*(F.lit(i / SLICES) for i in range(1, SLICES)))
+    rows = cells.groupBy("feature").agg(F.count("*").alias("n"), F.percentile_approx("x", shares, _SKETCH).alias("cuts")).orderBy("feature").collect()
     out: dict[int, list[np.ndarray]] = {n: [] for n in bins}
-    # One row per feature.
-    for row in cells.groupBy("feature").agg(F.count("*").alias("n"), *sketches).orderBy("feature").collect():
+    if not rows:
+        return out
+    cuts = {r["feature"]: np.unique(r["cuts"]) for r in rows}
+    # Ranks from 1, as a share of the values is rounded up.
+    ranks = {r["feature"]: {n: [max(math.ceil(i / n * r["n"]), 1) for i in range(1, n)] for n in bins} for r in rows}
+    width = max(cuts) + 1
+
+    def sliced(features: np.ndarray, x: np.ndarray) -> np.ndarray:
+        places = np.empty(len(x), dtype=np.int32)
+        for f, c in cuts.items():
+            mine = features == f
+            places[mine] = np.searchsorted(c, x[mine], side="left")
+        return places
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((width, SLICES), dtype=np.int64)
+        for batch in batches:
+            features, x = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            sums += np.bincount(features.astype(np.int64) * SLICES + sliced(features, x), minlength=sums.size).reshape(sums.shape)
+        feature, place = np.nonzero(sums)
+        yield pa.record_batch([pa.array(feature.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(sums[feature, place])], names=["feature", "slice", "n"])
+
+    sizes = np.zeros((width, SLICES), dtype=np.int64)
+    for r in cells.mapInArrow(counted, "feature int, slice int, n long").groupBy("feature", "slice").agg(F.sum("n").alias("n")).collect():
+        sizes[r["feature"], r["slice"]] = r["n"]
+    before = np.cumsum(sizes, axis=1) - sizes
+    wanted: dict[tuple[int, int], set[int]] = {}
+    for f, by_bins in ranks.items():
+        for rank in {rank for many in by_bins.values() for rank in many}:
+            place = int(np.searchsorted(before[f], rank, side="left")) - 1
+            wanted.setdefault((f, place), set()).add(rank - int(before[f, place]))
+    looked = np.zeros((width, SLICES), dtype=bool)
+    for key in wanted:
+        looked[key] = True
+
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features, x = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            places = sliced(features, x)
+            mine = np.flatnonzero(looked[features, places])
+            yield pa.record_batch([pa.array(features[mine]), pa.array(places[mine]), pa.array(x[mine])], names=["feature", "slice", "x"])
+
+    values = cells.mapInArrow(picked, "feature int, slice int, x double").groupBy("feature", "slice", "x").agg(F.count("*").alias("n"))
+    up_to = F.sum("n").over(Window.partitionBy("feature", "slice").orderBy("x"))
+    asked = points.sparkSession.createDataFrame([(f, s, sorted(r)) for (f, s), r in wanted.items()], "feature int, slice int, ranks array<long>") if wanted else None
+    found: dict[tuple[int, int], float] = {}
+    if asked is not None:
+        held = values.withColumn("up_to", up_to).join(F.broadcast(asked), ["feature", "slice"])
+        held = held.withColumn("ranks", F.filter("ranks", lambda r: (r <= F.col("up_to")) & (r > F.col("up_to") - F.col("n"))))
+        # One row per feature and rank at most.
+        for r in held.filter(F.size("ranks") > 0).select("feature", "slice", "x", "ranks").collect():
+            for rank in r["ranks"]:
+                found[r["feature"], int(before[r["feature"], r["slice"]]) + rank] = r["x"]
+    for f in sorted(ranks):
         for n in bins:
-            out[n].append(np.unique(row[f"_{n}"]) if n > 1 else np.zeros(0))
+            out[n].append(np.unique([found[f, rank] for rank in ranks[f][n]]) if n > 1 else np.zeros(0))
     return out
 
 
