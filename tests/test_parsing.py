@@ -88,3 +88,13 @@ def test_history_lines(spark):
     tsv = spark.createDataFrame([("o", "Oct 3, 2014\t89.74"), ("o", "Jan 12, 2010\t80")], "series string, value string")
     got = histories.parse_history_tsv(tsv)
     assert [(str(d), v) for d, v in values(got, "date", "value")] == [("2010-01-12", 80.0), ("2014-10-03", 89.74)]
+
+
+def test_maps_are_parsed_once(spark, tmp_path):
+    from tidemark.plans.parsing import parse_term_freq_map
+
+    spark.createDataFrame([(1, "b a b"), (2, ""), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = parse_term_freq_map(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [(1, "a", 1), (1, "b", 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(map_from_entries" not in plan and plan.count("map_from_entries(get") <= 1

@@ -132,7 +132,9 @@ def parse_term_freq_map(spark, folder):
     maps = text_ops.term_freq_maps(text_ops.term_freq(tokens))
     entry = F.transform(F.map_entries("term_freqs"), lambda e: F.concat_ws(" -> ", e["key"], e["value"].cast("string")))
     lines = maps.select("doc_id", F.concat(F.lit("Map("), F.array_join(entry, ", "), F.lit(")")).alias("value"))
-    return delimited.parse_term_freq_maps(lines).select("doc_id", F.explode("term_freqs").alias("term", "tf"))
+    # The outer form, as the inner one parses every line again in a filter for empty maps.
+    cut = delimited.parse_term_freq_maps(lines).select("doc_id", F.explode_outer("term_freqs").alias("term", "tf"))
+    return cut.filter("term is not null")
 
 
 @query(

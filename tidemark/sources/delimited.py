@@ -139,8 +139,9 @@ def parse_term_freq_maps(lines: DataFrame) -> DataFrame:
         )
         return F.transform(kept, lambda e: F.struct(e["term"].alias("key"), e["tf"].alias("value")))
 
-    # The one-element array binds the sorted entries, so they are sorted once.
-    pairs = F.get(F.transform(F.array(F.array_sort(entries)), last_ones), F.lit(0))
+    # The one-element array binds the sorted entries, so they are sorted once. sort_array compares entries natively,
+    # array_sort by a lambda expression for every pair.
+    pairs = F.get(F.transform(F.array(F.sort_array(entries)), last_ones), F.lit(0))
     return lines.withColumn("term_freqs", F.map_from_entries(pairs)).drop("value")
 
 
