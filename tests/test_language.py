@@ -199,3 +199,14 @@ def test_text_job_with_lemmas(spark, learn):
     _, _, terms = concept_analysis(docs, spark.createDataFrame([("the",)], "word string"), lemmas=lemmas, learn_lemmas=learn)
     found = {r.term for r in terms.collect()}
     assert {"cat", "dog"} <= found and ("bird" in found) == learn
+
+
+def test_texts_are_cut_once(spark):
+    from tidemark.operators import sentences, text
+
+    docs = spark.createDataFrame([(1, "Ab. c ab. Ab"), (2, " "), (3, None)], "doc_id long, text string")
+    counts, tokens = sentences.word_counts(docs), text.tokenize(docs)
+    assert sorted(map(tuple, counts.collect())) == [("ab", 3, 2, 1), ("c", 1, 0, 1)]
+    assert sorted(map(tuple, tokens.collect())) == [(1, 0, "Ab"), (1, 1, "c"), (1, 2, "ab"), (1, 3, "Ab")]
+    for frame in (counts, tokens):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1

@@ -37,11 +37,18 @@ _BATCH = 100_000
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word, total, stops, lowers``: occurrences of each lower-cased word, with a full stop behind it, in lower case."""
-    tokens = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(f"{BLANK}+"), F.lit(0))).alias("token"))
+    # The outer form, as the inner one cuts every text once more, in a filter for texts without tokens.
+    tokens = docs.select(F.explode_outer(F.regexp_extract_all(F.col(text), F.lit(f"{BLANK}+"), F.lit(0))).alias("token"))
+    # Each distinct token is taken apart once, not each occurrence.
+    tokens = tokens.groupBy("token").agg(F.count("*").alias("n"))
     core, mark = (F.regexp_extract("token", PARTS, i) for i in (1, 2))
-    words = tokens.select(core.alias("core"), mark.alias("mark")).filter("core <> ''")
+    words = tokens.select(core.alias("core"), mark.alias("mark"), "n").filter("core <> ''")
+
+    def counted(which: Column) -> Column:
+        return F.sum(F.when(which, F.col("n")).otherwise(F.lit(0)))
+
     return words.groupBy(F.lower("core").alias("word")).agg(
-        F.count("*").alias("total"), F.count_if(F.col("mark") == ".").alias("stops"), F.count_if(F.col("core").rlike(r"^\p{Ll}")).alias("lowers")
+        F.sum("n").alias("total"), counted(F.col("mark") == ".").alias("stops"), counted(F.col("core").rlike(r"^\p{Ll}")).alias("lowers")
     )
 
 
