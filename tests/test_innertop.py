@@ -59,3 +59,11 @@ def test_odd_rows_and_queries(spark):
     empty = innertop.store_by_norm(table.limit(0))
     assert innertop.top_inner(empty, table, 5).count() == 0
     assert [r.blocks for r in innertop.blocks_needed(empty, table, 5).collect()] == [0, 0]
+
+
+def test_copies_of_the_queries_do_not_pass_the_driver(spark):
+    rows = spark.createDataFrame([(i, [float(i % 7), float(i % 5)]) for i in range(60)], "id long, features array<double>")
+    found = innertop.top_inner(innertop.store_by_norm(rows, block=4), rows.filter("id % 20 = 0"), 3)
+    assert found.count() == 9
+    rows = found.collect()
+    assert len(rows) == 9 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
