@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import arrays
+from tidemark.operators import implicit
 from tidemark.operators.gram import gram_matrix
 
 # Settings of the training run.
@@ -19,20 +19,9 @@ def fit_implicit(
     reg: float = REGULARIZATION,
     alpha: float = ALPHA,
     seed: int = 1,
-) -> ALSModel:
+) -> implicit.ImplicitFactors:
     """Factorise ``(user, item, rating)`` counts; ids must fit an integer."""
-    als = ALS(
-        rank=rank,
-        maxIter=iterations,
-        regParam=reg,
-        alpha=alpha,
-        implicitPrefs=True,
-        userCol="user",
-        itemCol="item",
-        ratingCol="rating",
-        seed=seed,
-    )
-    return als.fit(ratings.select("user", "item", "rating"))
+    return implicit.fit(ratings, rank, iterations, reg, alpha, seed)
 
 
 def factors_as_text(factors: DataFrame) -> DataFrame:
@@ -59,7 +48,7 @@ def recommend(user_factors: DataFrame, item_factors: DataFrame, user: int, n: in
     return best.withColumn("rank", rank)
 
 
-def recommend_products(model: ALSModel, user: int, n: int = 5) -> DataFrame:
+def recommend_products(model: implicit.ImplicitFactors, user: int, n: int = 5) -> DataFrame:
     return recommend(model.userFactors, model.itemFactors, user, n)
 
 
@@ -81,12 +70,15 @@ def normal_equation_gap(
     ratings each u must satisfy
     (sum of y y' + sum of alpha r y y' over the rated + reg n) u = sum of (1 + alpha r) y over the rated.
     """
-    y = item_factors.select(F.col("id").alias("item"), F.col("features").cast("array<double>").alias("y"))
-    u = user_factors.select(F.col("id").alias("user"), F.col("features").cast("array<double>").alias("u"))
+    # Factors are joined as they are stored, and widened after the shuffles.
+    y = item_factors.select(F.col("id").alias("item"), F.col("features").alias("y"))
+    u = user_factors.select(F.col("id").alias("user"), F.col("features").alias("u"))
     rank = u.select(F.size("u")).first()[0]
     whole = gram_matrix(y, F.col("y"), rank)
     r = F.col("rating").cast("double") * F.lit(alpha)
-    rated = ratings.join(y, "item").join(u, "user").withColumn("p", r * arrays.dot(F.col("y"), F.col("u")))
+    rated = ratings.join(y, "item").join(u, "user")
+    rated = rated.withColumns({name: F.col(name).cast("array<double>") for name in ("y", "u")})
+    rated = rated.withColumn("p", r * arrays.dot(F.col("y"), F.col("u")))
     left = [F.sum(F.col("p") * F.col("y")[j]).alias(f"a{j}") for j in range(rank)]
     right = [F.sum((1.0 + r) * F.col("y")[j]).alias(f"b{j}") for j in range(rank)]
     sums = rated.groupBy("user").agg(F.count("*").alias("n"), F.first("u").alias("u"), *left, *right)
