@@ -16,6 +16,8 @@ from tidemark.session import cut_lineage, remove, storage, stored
 SUMS, HELD = 1 << 25, 1 << 25
 # Ratings of one block at most (rows of any size go in pieces), of one stored piece, and those worth a task.
 BLOCK, PIECE, SMALL = 1 << 24, 1 << 17, 1 << 18
+# Ratings that are multiplied at a time, few enough for a core's cache, and those of a row that is not padded.
+STACK, LONG = 1 << 13, 1 << 9
 PART = 1 << 16  # rows of factors in one stored row
 
 
@@ -130,7 +132,10 @@ def rating_blocks(ratings: DataFrame, own: str, other: str, mine: Side, theirs:
     placed = ratings.select(F.col(own).alias("own"), F.col(other).alias("other"), "value").repartition(mine.blocks, "own")
     placed = placed.select(
         block_of(F.col("own"), mine.blocks).alias("block"), band_of(F.col("other"), theirs.blocks, theirs.per_band).alias("band"), "own", "other", "value"
-    ).sortWithinPartitions("block", "band", "own", "other", "value")
+    )
+    # One number as the only key, which is sorted by its digits.
+    place = F.col("block").cast("long") * theirs.blocks + F.col("band")
+    placed = placed.sortWithinPartitions(place * (1 << 32) + F.col("own").cast("long") + (1 << 31))
 
     def cut(batches):
         held, size, block, band = [], 0, None, None
@@ -140,6 +145,11 @@ def rating_blocks(ratings: DataFrame, own: str, other: str, mine: Side, theirs:
             starts, ends = np.array(runs(keys)).T
             counts, places = (ends - starts).astype(np.int32), np.searchsorted(rows, keys[starts]).astype(np.int32)
             positions = order[np.searchsorted(ascending, others)]
+            for i in np.flatnonzero(counts >= LONG):
+                # Factors of a long row are read from front to back.
+                some = slice(starts[i], ends[i])
+                forward = starts[i] + np.argsort(positions[some])
+                positions[some], values[some] = positions[forward], values[forward]
             numbers = [pa.array([v], pa.int32()) for v in (block, block // mine.per_band, band, len(rows))]
             arrays = [pa.array([a.tobytes()]) for a in (places, counts, positions, values)]
             return pa.record_batch([*numbers, *arrays], names=["block", "own_band", "band", "size", "own", "count", "pos", "value"])
@@ -175,23 +185,39 @@ def padded(counts: np.ndarray) -> np.ndarray:
 
 
 def add_piece(left, right, explicit, factors, own, counts, positions, values, alpha):
-    """Add the ratings of a piece to the sums of its rows; rows of like counts are one stack of small products."""
+    """Add the ratings of a piece to the sums of its rows: long rows one by one, others in stacks of like counts."""
+    rank = factors.shape[1]
     weights = alpha * np.abs(values.astype(np.float64))
     aims = np.where(values > 0, 1.0 + weights, 0.0)
     starts = np.cumsum(counts) - counts
     explicit[own] += np.add.reduceat((values > 0).astype(np.float64), starts)
-    widths = padded(counts)
-    for width in np.unique(widths):
-        alike = np.flatnonzero(widths == width)
-        step = max(1, PIECE // int(width))
-        for some in (alike[i : i + step] for i in range(0, len(alike), step)):
-            at = starts[some, None] + np.arange(width)
-            inside = np.arange(width) < counts[some, None]
-            at[~inside] = 0
-            y = factors.take(positions[at], axis=0).astype(np.float64)
-            weighted = y * np.where(inside, weights[at], 0.0)[:, :, None]
-            left[own[some]] += np.matmul(weighted.transpose(0, 2, 1), y)
-            right[own[some]] += np.matmul(np.where(inside, aims[at], 0.0)[:, None, :], y)[:, 0]
+
+    def products(at, outside=None):
+        y = factors.take(positions.take(at), axis=0).astype(np.float64)
+        scale, aim = weights.take(at), aims.take(at)
+        if outside is not None:
+            scale[outside] = aim[outside] = 0.0
+        both = np.empty((*at.shape, rank + 1))
+        np.multiply(y, scale[..., None], out=both[..., :rank])
+        both[..., rank] = aim
+        return np.matmul(both.swapaxes(-1, -2), y)
+
+    for i in np.flatnonzero(counts >= LONG):
+        end = starts[i] + counts[i]
+        for lo in range(starts[i], end, STACK):
+            sums = products(np.arange(lo, min(lo + STACK, end)))
+            left[own[i]] += sums[:rank]
+            right[own[i]] += sums[rank]
+    widths = np.where(counts < LONG, padded(counts), 0)
+    for width in np.unique(widths[widths > 0]):
+        alike, steps = np.flatnonzero(widths == width), np.arange(width)
+        many = max(1, STACK // int(width))
+        for some in (alike[i : i + many] for i in range(0, len(alike), many)):
+            at, outside = starts[some, None] + steps, steps >= counts[some, None]
+            at[outside] = 0
+            sums = products(at, outside)
+            left[own[some]] += sums[:, :rank]
+            right[own[some]] += sums[:, rank]
 
 
 def half_step(blocks: DataFrame, path: str, rank: int, reg: float, alpha: float) -> DataFrame:
