@@ -1,6 +1,7 @@
 """Operators over vectors, conversations and archive records; the pipeline."""
 
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import no_documents, odd_documents
 from tidemark.llm import chat, revisits, spherical
+from tidemark.session import checkpoint_folder
 
 import corpus_pipeline
 import public_tokenizers
@@ -67,6 +69,28 @@ def test_no_link_is_lost_over_cells_and_blocks(spark, monkeypatch):
     check_vectors(spark, rows)
 
 
+def test_no_link_is_lost_over_parts(spark, monkeypatch):
+    for name, value in (("CELL", 24), ("BLOCK", 16), ("PART", 60), ("HIGH", 8), ("WIDE", 12), ("EDGES", 20), ("AXES", 3)):
+        monkeypatch.setattr(spherical, name, value, raising=False)
+    r = np.random.default_rng(9)
+    centre = r.normal(size=(10, 6))
+    x = centre[r.integers(0, 10, 500)] + r.normal(size=(500, 6)) * 0.12
+    x[:90] = x[0] + r.normal(size=(90, 6)) * 0.03
+    x[100:140] = x[100]
+    check_vectors(spark, [(k, [float(np.float32(c)) for c in v], int(k % 3 == 0)) for k, v in enumerate(x)])
+
+
+def test_vectors_are_not_copied_to_the_cells_of_their_guests(spark, monkeypatch):
+    monkeypatch.setattr(spherical, "CELL", 24)
+    x = np.random.default_rng(10).normal(size=(2000, 32)).astype(np.float32)
+    folder = checkpoint_folder(spark).removeprefix("file:")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+    before = size()
+    got = spherical.near_duplicate_vectors(vector_table(spark, [(k, v.tolist(), 1) for k, v in enumerate(x)]))
+    assert got.filter("n_links = 0 and kept").count() == 2000
+    assert size() - before < x.nbytes
+
+
 def test_conversations_read_back(spark):
     r = np.random.default_rng(6)
     said = ["", None, HARD, "<turn>system\n", "a\\", "\\n", "é\n\n</turn>\n", "word " * 900, "short one", "<", "\\\\<"]
